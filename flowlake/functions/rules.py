@@ -89,9 +89,25 @@ def floor_at_zero(c: Column | str) -> Column:
     return F.greatest(F.coalesce(_c(c), F.lit(0.0)), F.lit(0.0))
 
 
+def cents(c: Column | str) -> Column:
+    """Amount as exact integer cents (LongType).
+
+    Money is summed in cents: integer addition is exact and associative, so
+    totals do not depend on the order rows reach an aggregate, and a LONG
+    sum buffer stays on the fast primitive path (a DECIMAL sum buffer wider
+    than 18 digits falls back to BigDecimal arithmetic per row). Amounts
+    with more than two decimals are rounded to the cent.
+    """
+    return F.rint(_c(c).cast("double") * 100).cast("long")
+
+
+def from_cents(c: Column | str) -> Column:
+    """Integer cents back to a DOUBLE amount (exact for |x| < 2^53 cents)."""
+    return _c(c) / F.lit(100)
+
+
 def money(c: Column | str) -> Column:
-    """Amount as exact DECIMAL(18,2), the type sums are taken in, so totals
-    do not depend on the order rows reach an aggregate."""
+    """Amount as DECIMAL(18,2) (for callers that want a decimal value)."""
     return _c(c).cast("decimal(18,2)")
 
 

@@ -2,20 +2,24 @@
 
 Facts (contributions, transfers, expenditures) are much larger than the
 dimensions (committees, candidate cycles), and every gold measure is a SUM
-or COUNT. So each rollup aggregates the facts on their own join key *before*
-joining the dimensions (eager aggregation, Yan & Larson, VLDB 1995), then
-re-aggregates on the output keys:
-
-    facts ─ partial agg ─ shuffle(key) ─ final agg ─┐
-                                                    ├─ join dims ─ agg(out keys)
-    dims (size-checked broadcast, else shuffled) ───┘
-
-This shuffles one row per (key, map task) instead of every fact row, and a
-hot key (one committee holding a third of all rows) is collapsed map-side
-before it can skew a reducer. Sums are taken in exact DECIMAL(18,2), so the
-result does not depend on the order rows arrive in, and cast to DOUBLE at
-the end. Joins against duplicated dimension rows multiply sums and counts
-exactly as a join-then-aggregate plan would.
+or COUNT, which decompose. Each rollup therefore picks its plan from the
+size check of its dimensions (``_rollup``):
+
+  dims broadcastable (the usual case: registers of committees/candidates)
+    facts ─ broadcast join dims (map side) ─ partial agg ─ shuffle ─ final agg
+    One shuffle; the partial aggregate collapses a hot key (one committee
+    holding a third of all rows) before it reaches a reducer.
+
+  a dim too large to broadcast
+    facts ─ partial agg ─ shuffle(join key) ─ final agg ─┐
+                                                         ├─ shuffled join ─ agg(out keys)
+    dims ────────────────────────────────────────────────┘
+    Eager aggregation (Yan & Larson, VLDB 1995): the join shuffles one row
+    per join key instead of every fact row.
+
+Both plans give identical results: sums are taken in exact integer cents
+(order-independent), and a join against duplicated dimension rows multiplies
+sums and counts exactly as join-then-aggregate does.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lookups as L
 from ..functions import rules
-from ..plans.joins import sized_broadcast
+from ..plans.joins import fits_broadcast, sized_broadcast
 
 EDGE_COLUMNS = ["source_node", "source_type", "target_node", "transaction_flow",
                 "election_cycle", "weight", "transaction_count"]
@@ -55,48 +59,79 @@ def even_cycles(cycles: DataFrame) -> DataFrame:
 
 
 def _sum_amount(col: str = "trans_amt") -> F.Column:
-    return F.sum(rules.money(col))
+    """Exact sum of amounts in integer cents."""
+    return F.sum(rules.cents(col))
 
 
-def _committee_dim(committees: DataFrame, *cols: str) -> DataFrame:
-    return sized_broadcast(committees.select(*cols))
+def _rollup(fact: DataFrame, fact_keys: list[str], dims: list[tuple[DataFrame, str]],
+            out_keys: list, eager: bool | None = None) -> DataFrame:
+    """Attach dimensions to a fact and aggregate amount (cents) and count.
 
+    The plan is chosen by the size check of the dimensions:
 
-def geo_summary(individual: DataFrame, committees: DataFrame, cycles: DataFrame) -> DataFrame:
+    * every dimension broadcastable -> join map-side first (no shuffle), then
+      one aggregate whose partial phase collapses hot keys before the only
+      shuffle;
+    * otherwise -> aggregate the fact on its join keys first (eager
+      aggregation), so the shuffled join moves one row per key instead of
+      every fact row.
+
+    Output: ``out_keys`` + ``_amt`` (cents) + ``_n`` (count).
+    """
+    if eager is None:
+        eager = not all(fits_broadcast(d) for d, _ in dims)
+    if eager:
+        base = fact.groupBy(*fact_keys).agg(_sum_amount().alias("_amt"), F.count(F.lit(1)).alias("_n"))
+        amount, count = F.sum("_amt"), F.sum("_n")
+    else:
+        base = fact.select(*fact_keys, rules.cents("trans_amt").alias("_amt"))
+        amount, count = F.sum("_amt"), F.count(F.lit(1))
+    for dim, key in dims:
+        base = base.join(sized_broadcast(dim), key)
+    return base.groupBy(*out_keys).agg(amount.alias("_amt"), count.alias("_n"))
+
+
+def _cycle_dim(cycles: DataFrame, *cols: str) -> DataFrame:
+    return even_cycles(cycles).select(*cols)
+
+
+def _cycle_text() -> F.Column:
+    return F.col("election_cycle").cast("string").alias("election_cycle")
+
+
+def geo_summary(individual: DataFrame, committees: DataFrame, cycles: DataFrame,
+                eager: bool | None = None) -> DataFrame:
     """Donations per candidate, office, cycle and donor state:
     ``ABS(SUM(amount))`` and ``COUNT(*)``; blank states dropped, even cycles
     only. A donation counts once per even cycle of its candidate."""
-    per_com = (
-        individual.where(rules.is_non_blank("contrib_state"))
-        .groupBy("com_id", "contrib_state")
-        .agg(_sum_amount().alias("_amt"), F.count(F.lit(1)).alias("_n"))
-    )
-    cyc = sized_broadcast(even_cycles(cycles).select("cand_id", "cand_name", "cand_off", "election_cycle"))
-    joined = per_com.join(_committee_dim(committees, "com_id", "cand_id"), "com_id").join(cyc, "cand_id")
-    return joined.groupBy(
-        "cand_id",
-        "cand_name",
-        F.col("cand_off").alias("office_type"),
-        F.col("election_cycle").cast("string").alias("election_cycle"),
-        F.col("contrib_state").alias("state"),
-    ).agg(
-        F.abs(F.sum("_amt")).cast("double").alias("total_amount"),
-        F.sum("_n").alias("total_donations"),
+    r = _rollup(
+        individual.where(rules.is_non_blank("contrib_state")),
+        ["com_id", "contrib_state"],
+        [(committees.select("com_id", "cand_id"), "com_id"),
+         (_cycle_dim(cycles, "cand_id", "cand_name", "cand_off", "election_cycle"), "cand_id")],
+        ["cand_id", "cand_name", F.col("cand_off").alias("office_type"), _cycle_text(),
+         F.col("contrib_state").alias("state")],
+        eager,
     )
+    return r.select("cand_id", "cand_name", "office_type", "election_cycle", "state",
+                    rules.from_cents(F.abs("_amt")).alias("total_amount"),
+                    F.col("_n").alias("total_donations"))
 
 
-def indiv_rollup(individual: DataFrame, committees: DataFrame, exact: bool = False) -> DataFrame:
-    """Individual money per candidate (via the receiving committee)."""
-    per_com = individual.groupBy("com_id").agg(_sum_amount().alias("_amt"))
-    out = (per_com.join(_committee_dim(committees, "com_id", "cand_id"), "com_id")
-           .groupBy("cand_id").agg(F.sum("_amt").alias("individual_funds")))
-    return out if exact else out.withColumn("individual_funds", F.col("individual_funds").cast("double"))
+def indiv_rollup(individual: DataFrame, committees: DataFrame, exact: bool = False,
+                 eager: bool | None = None) -> DataFrame:
+    """Individual money per candidate (via the receiving committee);
+    ``exact`` keeps integer cents."""
+    r = _rollup(individual, ["com_id"], [(committees.select("com_id", "cand_id"), "com_id")],
+                ["cand_id"], eager)
+    funds = F.col("_amt") if exact else rules.from_cents("_amt")
+    return r.select("cand_id", funds.alias("individual_funds"))
 
 
 def committee_rollup(direct: DataFrame, exact: bool = False) -> DataFrame:
     """Committee money given directly to each candidate."""
     out = direct.groupBy("cand_id").agg(_sum_amount().alias("committee_funds"))
-    return out if exact else out.withColumn("committee_funds", F.col("committee_funds").cast("double"))
+    return out if exact else out.withColumn("committee_funds", rules.from_cents("committee_funds"))
 
 
 def donor_type_summary(individual: DataFrame, committees: DataFrame, direct: DataFrame,
@@ -111,77 +146,77 @@ def donor_type_summary(individual: DataFrame, committees: DataFrame, direct: Dat
     return joined.where((F.col("individual_funds") > 0) | (F.col("committee_funds") > 0)).select(
         "cand_id",
         "cand_name",
-        F.col("election_cycle").cast("string").alias("election_cycle"),
-        rules.floor_at_zero(F.col("individual_funds").cast("double")).alias("individual_funds"),
-        rules.floor_at_zero(F.col("committee_funds").cast("double")).alias("committee_funds"),
+        _cycle_text(),
+        rules.floor_at_zero(rules.from_cents("individual_funds")).alias("individual_funds"),
+        rules.floor_at_zero(rules.from_cents("committee_funds")).alias("committee_funds"),
     )
 
 
-def _edges(grouped: DataFrame, source_type: str, flow: str, min_weight: float | None) -> DataFrame:
-    if min_weight is not None:
-        grouped = grouped.where(F.col("_w") > F.lit(min_weight))
-    return grouped.select(
+def _edges(r: DataFrame, source_type: str, flow: str, min_weight: float | None) -> DataFrame:
+    r = r.withColumn("_w", F.abs("_amt"))
+    if min_weight is not None:  # threshold compared exactly, in cents
+        r = r.where(F.col("_w") > F.lit(int(round(min_weight * 100))))
+    return r.select(
         "source_node",
         F.lit(source_type).alias("source_type"),
         "target_node",
         F.lit(flow).alias("transaction_flow"),
         "election_cycle",
-        F.col("_w").cast("double").alias("weight"),
-        F.col("transaction_count"),
+        rules.from_cents("_w").alias("weight"),
+        F.col("_n").alias("transaction_count"),
     )
 
 
-def _edge_agg(df: DataFrame, *keys) -> DataFrame:
-    return df.groupBy(*keys).agg(F.abs(F.sum("_amt")).alias("_w"), F.sum("_n").alias("transaction_count"))
-
-
 def edges_individual(individual: DataFrame, committees: DataFrame, cycles: DataFrame,
-                     min_weight: float | None = L.INDIVIDUAL_MIN_WEIGHT) -> DataFrame:
+                     min_weight: float | None = L.INDIVIDUAL_MIN_WEIGHT,
+                     eager: bool | None = None) -> DataFrame:
     """Donor -> candidate edges (even cycles), kept when ``ABS(SUM)`` exceeds
     ``min_weight``."""
-    per = individual.groupBy("contrib_name", "com_id").agg(
-        _sum_amount().alias("_amt"), F.count(F.lit(1)).alias("_n"))
-    cyc = sized_broadcast(even_cycles(cycles).select("cand_id", "cand_name", "election_cycle"))
-    joined = per.join(_committee_dim(committees, "com_id", "cand_id"), "com_id").join(cyc, "cand_id")
-    g = _edge_agg(joined, F.col("contrib_name").alias("source_node"), F.col("cand_name").alias("target_node"),
-                  F.col("election_cycle").cast("string").alias("election_cycle"))
-    return _edges(g, L.SOURCE_INDIVIDUAL, L.FLOW_DIRECT, min_weight)
+    r = _rollup(
+        individual, ["contrib_name", "com_id"],
+        [(committees.select("com_id", "cand_id"), "com_id"),
+         (_cycle_dim(cycles, "cand_id", "cand_name", "election_cycle"), "cand_id")],
+        [F.col("contrib_name").alias("source_node"), F.col("cand_name").alias("target_node"), _cycle_text()],
+        eager,
+    )
+    return _edges(r, L.SOURCE_INDIVIDUAL, L.FLOW_DIRECT, min_weight)
 
 
 def _committee_to_candidate(payments: DataFrame, committees: DataFrame, cycles: DataFrame,
-                            flow: str, min_weight: float | None) -> DataFrame:
-    per = payments.groupBy("com_id", "cand_id").agg(_sum_amount().alias("_amt"), F.count(F.lit(1)).alias("_n"))
-    cyc = sized_broadcast(even_cycles(cycles).select("cand_id", "cand_name", "election_cycle"))
-    joined = per.join(_committee_dim(committees, "com_id", "com_name"), "com_id").join(cyc, "cand_id")
-    g = _edge_agg(joined, F.col("com_name").alias("source_node"), F.col("cand_name").alias("target_node"),
-                  F.col("election_cycle").cast("string").alias("election_cycle"))
-    return _edges(g, L.SOURCE_COMMITTEE, flow, min_weight)
+                            flow: str, min_weight: float | None, eager: bool | None) -> DataFrame:
+    r = _rollup(
+        payments, ["com_id", "cand_id"],
+        [(committees.select("com_id", "com_name"), "com_id"),
+         (_cycle_dim(cycles, "cand_id", "cand_name", "election_cycle"), "cand_id")],
+        [F.col("com_name").alias("source_node"), F.col("cand_name").alias("target_node"), _cycle_text()],
+        eager,
+    )
+    return _edges(r, L.SOURCE_COMMITTEE, flow, min_weight)
 
 
 def edges_direct(direct: DataFrame, committees: DataFrame, cycles: DataFrame,
-                 min_weight: float | None = None) -> DataFrame:
+                 min_weight: float | None = None, eager: bool | None = None) -> DataFrame:
     """Committee -> candidate direct contributions (no threshold)."""
-    return _committee_to_candidate(direct, committees, cycles, L.FLOW_PAC_TO_CANDIDATE, min_weight)
+    return _committee_to_candidate(direct, committees, cycles, L.FLOW_PAC_TO_CANDIDATE, min_weight, eager)
 
 
 def edges_independent(independent: DataFrame, committees: DataFrame, cycles: DataFrame,
-                      min_weight: float | None = None) -> DataFrame:
+                      min_weight: float | None = None, eager: bool | None = None) -> DataFrame:
     """Committee -> candidate independent expenditures, for and against
     alike (no threshold)."""
-    return _committee_to_candidate(independent, committees, cycles, L.FLOW_INDEPENDENT, min_weight)
+    return _committee_to_candidate(independent, committees, cycles, L.FLOW_INDEPENDENT, min_weight, eager)
 
 
 def edges_transfer(transfers: DataFrame, committees: DataFrame, cycle: str = L.TRANSFER_CYCLE,
-                   min_weight: float | None = L.TRANSFER_MIN_WEIGHT) -> DataFrame:
+                   min_weight: float | None = L.TRANSFER_MIN_WEIGHT,
+                   eager: bool | None = None) -> DataFrame:
     """Committee -> committee transfers; both ends resolved against the
     committee table (source and target roles), labelled with a fixed cycle."""
-    per = transfers.groupBy("com_id", "other_com_id").agg(
-        _sum_amount().alias("_amt"), F.count(F.lit(1)).alias("_n"))
-    src = _committee_dim(committees, F.col("com_id"), F.col("com_name").alias("source_node"))
-    tgt = _committee_dim(committees, F.col("com_id").alias("other_com_id"), F.col("com_name").alias("target_node"))
-    joined = per.join(src, "com_id").join(tgt, "other_com_id")
-    g = _edge_agg(joined, "source_node", "target_node", F.lit(cycle).alias("election_cycle"))
-    return _edges(g, L.SOURCE_COMMITTEE, L.FLOW_TRANSFER, min_weight)
+    src = committees.select("com_id", F.col("com_name").alias("source_node"))
+    tgt = committees.select(F.col("com_id").alias("other_com_id"), F.col("com_name").alias("target_node"))
+    r = _rollup(transfers, ["com_id", "other_com_id"], [(src, "com_id"), (tgt, "other_com_id")],
+                ["source_node", "target_node", F.lit(cycle).alias("election_cycle")], eager)
+    return _edges(r, L.SOURCE_COMMITTEE, L.FLOW_TRANSFER, min_weight)
 
 
 def network_edges(individual: DataFrame, committees: DataFrame, cycles: DataFrame,

@@ -20,9 +20,8 @@ Selection = str | DataFrame | None
 
 
 def exact_sum(c: str | F.Column) -> F.Column:
-    """Order-independent sum of 2-decimal amounts (exact DECIMAL), as DOUBLE."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast("decimal(38,2)")).cast("double")
+    """Order-independent sum of 2-decimal amounts (integer cents), as DOUBLE."""
+    return rules.from_cents(F.sum(rules.cents(c)))
 
 
 def _select(df: DataFrame, column: str, value: Selection) -> DataFrame:
@@ -94,7 +93,7 @@ def with_share(df: DataFrame, value: str, share: str = "share") -> DataFrame:
     """``value / total``. Used only on results bounded by the number of
     categories (flows, donor types), so the un-partitioned window holds a
     handful of rows."""
-    total = F.sum(F.col(value).cast("decimal(38,2)")).over(Window.partitionBy()).cast("double")
+    total = rules.from_cents(F.sum(rules.cents(value)).over(Window.partitionBy()))
     return df.withColumn(share, F.col(value) / total)
 
 

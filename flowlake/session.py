@@ -8,6 +8,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Dimensions are broadcast explicitly after a size check
+    # (plans.joins.sized_broadcast); keep the planner from broadcasting a
+    # fact-sized side on its own estimate.
+    "spark.sql.autoBroadcastJoinThreshold": "1MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
