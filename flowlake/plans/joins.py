@@ -39,8 +39,8 @@ def broadcast_limit(df: DataFrame) -> int:
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` (None when unavailable)."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes().toString()))
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(str(size.toString()))
     except Exception:
         return None
 
