@@ -210,6 +210,54 @@ def _raw_cm_api(d):
     ]
 
 
+def _raw_cn(d):
+    """cn.txt layout (text) from nation."""
+    return [
+        ("CAND_ID", f"'h' || {_s('n_nationkey')}"),
+        ("CAND_NAME", "n_name"),
+        ("CAND_PTY_AFFILIATION", "CASE WHEN n_nationkey % 2 = 0 THEN 'DEM' ELSE 'REP' END"),
+        ("CAND_ELECTION_YR", CYCLE_TEXT),
+        ("CAND_OFFICE_ST", _state("n_nationkey")),
+        ("CAND_OFFICE", OFFICE),
+        ("CAND_OFFICE_DISTRICT", "'01'"),
+        ("CAND_ICI", "'C'"),
+        ("CAND_STATUS", "'C'"),
+        ("CAND_PCC", f"'C' || {_s('n_nationkey')}"),
+        ("CAND_ST1", NULL),
+        ("CAND_ST2", NULL),
+        ("CAND_CITY", NULL),
+        ("CAND_ST", _state("n_nationkey")),
+        ("CAND_ZIP", NULL),
+    ]
+
+
+def _raw_itoth(d):
+    """itoth.txt layout (text) from lineitem: committee-to-committee transfers."""
+    return [
+        ("CMTE_ID", f"'C' || {_s('l_suppkey')}"),
+        ("AMNDT_IND", "'N'"),
+        ("RPT_TP", "'Q3'"),
+        ("TRANSACTION_PGI", "'G2026'"),
+        ("IMAGE_NUM", _s("l_orderkey")),
+        ("TRANSACTION_TP", "'24G'"),
+        ("ENTITY_TP", "'PAC'"),
+        ("NAME", f"'COMMITTEE ' || {_s('(l_orderkey + l_linenumber) % 10')}"),
+        ("CITY", NULL),
+        ("STATE", _state("l_suppkey")),
+        ("ZIP_CODE", NULL),
+        ("EMPLOYER", NULL),
+        ("OCCUPATION", NULL),
+        ("TRANSACTION_DT", _mdy("l_shipdate", d)),
+        ("TRANSACTION_AMT", AMOUNT_TEXT),
+        ("OTHER_ID", f"'c' || {_s('(l_orderkey + l_linenumber) % 10')}"),
+        ("TRAN_ID", f"'O' || {_s('l_orderkey')} || '-' || {_s('l_linenumber')}"),
+        ("FILE_NUM", NULL),
+        ("MEMO_CD", NULL),
+        ("MEMO_TEXT", NULL),
+        ("SUB_ID", _s("l_orderkey * 8 + l_linenumber")),
+    ]
+
+
 def _raw_itcont(d):
     """itcont.txt layout (text) from lineitem + orders + customer."""
     return [
@@ -324,6 +372,8 @@ ROLES = {
     "payment_text": ("lineitem_supplier", None, _payment_text),
     "raw_cm": ("supplier", None, _raw_cm),
     "raw_cm_api": ("supplier", None, _raw_cm_api),
+    "raw_cn": ("nation", None, _raw_cn),
+    "raw_itoth": ("lineitem", None, _raw_itoth),
     "raw_itcont": ("lineitem_orders_customer", None, _raw_itcont),
     "raw_itcont_api": ("orders_customer", None, _raw_itcont_api),
     "raw_itpas2": ("lineitem", None, _raw_itpas2),
@@ -361,6 +411,20 @@ def sql(role: str) -> str:
     return f"SELECT {items} FROM {FROM[source]}{w}"
 
 
+def land_bronze(spark: SparkSession, sf_dir: str, bronze_root: str, landing_root: str) -> None:
+    """Write the five bulk files and the snapshot files derived from the
+    test tables (used by the end-to-end job tests)."""
+    from ..sources import delimited, snapshots
+
+    for role, name in (("raw_cm", "cm.txt"), ("raw_cn", "cn.txt"), ("raw_itcont", "itcont.txt"),
+                       ("raw_itoth", "itoth.txt"), ("raw_itpas2", "itpas2.txt")):
+        delimited.write_delimited(frame(spark, sf_dir, role), f"{bronze_root}/{name}")
+    for role, prefix in (("raw_cm_api", "api_raw_committees"), ("raw_itcont_api", "api_raw_individual_contribs"),
+                         ("raw_disb_api", "api_raw_committee_disbursements"),
+                         ("raw_ie_api", "api_raw_independent_expenditures")):
+        snapshots.write_snapshot(frame(spark, sf_dir, role), landing_root, prefix, "20260101_000000")
+
+
 def silver_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The six gold inputs, keyed by silver dataset name."""
     return {
