@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 from collections import OrderedDict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -28,40 +29,53 @@ def _tasks_by_file(tasks):
     return groups
 
 
+def _build_group(spark: SparkSession, bulk_file: str, group, bronze_root, landing_root, out_root, layouts):
+    bulk_path = f"{bronze_root.rstrip('/')}/{bulk_file}" if bronze_root else None
+    layout = layouts.get(bulk_file)
+    if len(group) == 1:
+        dataset, prefix = group[0]
+        df = silver.build_silver(spark, dataset, bulk_path, landing_root, prefix, layout=layout)
+        if df is None:
+            log.warning("no source for %s; skipped", dataset)
+            return {}
+        return {dataset: tables.write_silver(df, out_root, dataset, observe=True)}
+    bulk = silver.read_bulk(spark, bulk_path, layout)
+    api = {d: snapshots.read_snapshots(spark, landing_root, p) if landing_root else None for d, p in group}
+    if bulk is None and all(v is None for v in api.values()):
+        log.warning("no source for %s; skipped", [d for d, _ in group])
+        return {}
+    split = silver.build_split_silver(bulk, api, tuple(d for d, _ in group))
+    tables.write_split_silver(split, out_root)
+    return {d: None for d, _ in group}
+
+
 def run_silver(spark: SparkSession, bronze_root: str | None, landing_root: str | None, out_root: str,
-               tasks=R.SILVER_TASKS, layouts: dict[str, list[str]] | None = None) -> dict[str, dict | None]:
+               tasks=R.SILVER_TASKS, layouts: dict[str, list[str]] | None = None,
+               max_parallel: int = 4) -> dict[str, dict | None]:
     """Build and write all silver tables; returns per-dataset write metrics
     (row counts observed during the write). A dataset with no source at all
-    is skipped."""
+    is skipped.
+
+    The datasets are independent jobs; up to ``max_parallel`` of them are
+    submitted at once (Spark runs concurrent jobs side by side), so the
+    cluster is not idle during the tail of each small job."""
     layouts = {**R.BULK_LAYOUTS, **(layouts or {})}
-    done: dict[str, dict | None] = {}
-    for bulk_file, group in _tasks_by_file(tasks).items():
-        bulk_path = f"{bronze_root.rstrip('/')}/{bulk_file}" if bronze_root else None
-        layout = layouts.get(bulk_file)
-        if len(group) == 1:
-            dataset, prefix = group[0]
-            df = silver.build_silver(spark, dataset, bulk_path, landing_root, prefix, layout=layout)
-            if df is None:
-                log.warning("no source for %s; skipped", dataset)
-                continue
-            done[dataset] = tables.write_silver(df, out_root, dataset, observe=True)
-            continue
-        bulk = silver.read_bulk(spark, bulk_path, layout)
-        api = {d: snapshots.read_snapshots(spark, landing_root, p) if landing_root else None for d, p in group}
-        if bulk is None and all(v is None for v in api.values()):
-            log.warning("no source for %s; skipped", [d for d, _ in group])
-            continue
-        split = silver.build_split_silver(bulk, api, tuple(d for d, _ in group))
-        tables.write_split_silver(split, out_root)
-        for d, _ in group:
-            done[d] = None
+    groups = list(_tasks_by_file(tasks).items())
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(groups)))) as pool:
+        futures = [pool.submit(_build_group, spark, f, g, bronze_root, landing_root, out_root, layouts)
+                   for f, g in groups]
+        done: dict[str, dict | None] = {}
+        for fut in futures:
+            done.update(fut.result())
     return done
 
 
-def run_gold(spark: SparkSession, root: str, partition_by_cycle: bool = True, **edge_params) -> None:
-    """Read the six silver tables and write the three gold tables."""
+def run_gold(spark: SparkSession, root: str, partition_by_cycle: bool = True, max_parallel: int = 3,
+             **edge_params) -> None:
+    """Read the six silver tables and write the three gold tables (as
+    concurrent jobs)."""
     tables.write_gold(gold.build_gold(tables.load_silver(spark, root), **edge_params), root,
-                      partition_by_cycle=partition_by_cycle)
+                      partition_by_cycle=partition_by_cycle, max_parallel=max_parallel)
 
 
 def run_all(spark: SparkSession, bronze_root: str | None, landing_root: str | None, root: str) -> None:

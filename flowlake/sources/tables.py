@@ -75,11 +75,19 @@ def load_silver(spark: SparkSession, root: str, datasets=GOLD_INPUTS) -> dict[st
     return {d: _read_silver(spark, root, d) for d in datasets}
 
 
-def write_gold(tables: Mapping[str, DataFrame], root: str, partition_by_cycle: bool = False) -> None:
-    for name, df in tables.items():
+def write_gold(tables: Mapping[str, DataFrame], root: str, partition_by_cycle: bool = False,
+               max_parallel: int = 1) -> None:
+    """Write the gold tables; with ``max_parallel`` > 1 as concurrent jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(item):
+        name, df = item
         part = ["election_cycle"] if partition_by_cycle and "election_cycle" in df.columns else None
         write_table(df, table_path(root, "gold", name), partition_by=part)
 
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(tables)))) as pool:
+        list(pool.map(one, tables.items()))
+
 
 def load_gold(spark: SparkSession, root: str, names=GOLD_TABLES, cache: bool = False) -> dict[str, DataFrame]:
     """Gold tables for the views. ``cache`` keeps them in executor memory
