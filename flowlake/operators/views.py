@@ -132,13 +132,12 @@ def donor_mix(donor: DataFrame, candidate: Selection, cycle: Selection) -> DataF
     sel = view_filter(donor, cycle=cycle, candidate=candidate, candidate_column="cand_name")
     first = sel.orderBy("cand_id", "cand_name", "election_cycle",
                         "individual_funds", "committee_funds").limit(1)
-    long = first.select(
-        "cand_name", "election_cycle",
-        F.explode(F.array(
-            F.struct(F.lit(L.MIX_INDIVIDUAL).alias("source_type"), F.col("individual_funds").alias("amount")),
-            F.struct(F.lit(L.MIX_COMMITTEE).alias("source_type"), F.col("committee_funds").alias("amount")),
-        )).alias("_m"),
-    ).select("cand_name", "election_cycle", "_m.source_type", "_m.amount")
+    long = first.unpivot(
+        ["cand_name", "election_cycle"], ["individual_funds", "committee_funds"], "source_type", "amount",
+    ).select("cand_name", "election_cycle",
+             rules.lookup("source_type", {"individual_funds": L.MIX_INDIVIDUAL,
+                                          "committee_funds": L.MIX_COMMITTEE}).alias("source_type"),
+             "amount")
     return with_share(long, "amount")
 
 

@@ -81,7 +81,11 @@ def stored_gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     back to the raw tables, and the views scan the stored tables instead of
     recomputing the joins (a selection such as "latest cycle" reads the
     table twice; both are cheap scans with partition pruning)."""
-    key = (spark.sparkContext.applicationId, sf)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext
+        app = str(id(spark))
+    key = (app, sf)
     root = _GOLD_ROOTS.get(key)
     if root is None:
         root = new_scratch(spark, "gold")

@@ -113,3 +113,11 @@ def test_split_requires_disjoint_codes(spark):
     with pytest.raises(ValueError):
         silver.build_split_silver(None, {}, ("committee_contributions_to_candidates",
                                              "committee_contributions_to_candidates"))
+
+
+def test_layouts_from_header_files(spark, tmp_dir):
+    with open(f"{tmp_dir}/cm_header_file.csv", "w") as f:
+        f.write(",".join(R.BULK_LAYOUTS["cm.txt"]) + "\n")
+    got = delimited.layouts_from_headers(spark, {"cm.txt": f"{tmp_dir}/cm_header_file.csv",
+                                                 "cn.txt": f"{tmp_dir}/missing.csv"})
+    assert got == {"cm.txt": R.BULK_LAYOUTS["cm.txt"]}
