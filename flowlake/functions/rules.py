@@ -37,8 +37,8 @@ def normalize_date(c: Column | str) -> Column:
     s = F.trim(raw)
     digits = F.length(F.regexp_replace(raw, "[^0-9]", ""))
     return (
-        F.when(raw.contains("-"), F.date_format(F.try_to_timestamp(s, F.lit("yyyy-M-d")), "yyyy-MM-dd"))
-        .when(digits == 8, F.date_format(F.try_to_timestamp(s, F.lit("MMddyyyy")), "yyyy-MM-dd"))
+        F.when(raw.contains("-"), F.date_format(F.try_to_date(s, "yyyy-M-d"), "yyyy-MM-dd"))
+        .when(digits == 8, F.date_format(F.try_to_date(s, "MMddyyyy"), "yyyy-MM-dd"))
         .otherwise(F.lit(None).cast("string"))
     )
 
