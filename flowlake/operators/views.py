@@ -60,6 +60,13 @@ def candidate_list(network_view: DataFrame) -> DataFrame:
             .select("target_node").distinct().orderBy("target_node"))
 
 
+def first_listed(listing: DataFrame) -> DataFrame:
+    """One row: the first entry of a one-column sorted list (the default
+    choice of a select box)."""
+    (c,) = listing.columns
+    return listing.agg(F.min(c).alias(c))
+
+
 def first_candidate(geo_view: DataFrame) -> DataFrame:
     """One row: the first name of the sorted candidate list."""
     return geo_view.agg(F.min("cand_name").alias("cand_name"))

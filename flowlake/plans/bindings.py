@@ -5,16 +5,17 @@ candidates and payments. Each role is declared once as a list of
 ``(column, SQL expression)`` over the test tables. The Spark side applies
 the expressions with ``selectExpr`` on the joined source frames; the DuckDB
 oracle uses the very same text inside CTEs. Only date formatting differs
-between the two dialects. Every role grows with the scale factor except the
-candidate role, which (like a real candidate register) is a small dimension.
+between the two dialects. Every role grows with the scale factor (part keys
+span twenty times the supplier keys, so every committee has a candidate and
+every transfer target is a committee).
 
 Roles
-  committee    supplier        com_id 'C'||s_suppkey, cand_id 'H'||s_nationkey
-  candidate    nation          cand_id 'H'||n_nationkey, cycles as list text
+  committee    supplier        com_id 'C'||s_suppkey, cand_id 'H'||s_suppkey
+  candidate    part            cand_id 'H'||p_partkey, cycles as list text
   individual   lineitem+orders+customer (donor = customer)
-  pas2         lineitem        committee -> candidate payments, code per flag
+  pas2         lineitem        committee 'C'||l_suppkey -> candidate 'H'||l_partkey, code per flag
   direct       pas2 with code 24K;  independent: pas2 with 24E/24A
-  transfers    lineitem        committee -> committee 'C'||((orderkey+line)%10)
+  transfers    lineitem        committee 'C'||l_suppkey -> committee 'C'||floor(l_partkey/20)
   raw_*        text-shaped sources for the silver layer
 """
 
@@ -56,13 +57,15 @@ TRANS_TYPE = ("CASE WHEN l_linenumber = 7 THEN '24Z' "
 # donor state with blanks: '' for BUILDING, NULL for MACHINERY
 CONTRIB_STATE = (f"CASE WHEN c_mktsegment = 'BUILDING' THEN '' "
                  f"WHEN c_mktsegment = 'MACHINERY' THEN {NULL} ELSE {_state('c_nationkey')} END")
-CYCLE_TEXT = ("CASE WHEN n_nationkey = 24 THEN '' "
-              "WHEN n_nationkey % 5 = 0 THEN '[2022, 2024]' "
-              "WHEN n_nationkey % 5 = 1 THEN '2024' "
-              "WHEN n_nationkey % 5 = 2 THEN '[' || chr(39) || '2024' || chr(39) || ', ' || chr(39) || '2026' || chr(39) || ']' "
-              "WHEN n_nationkey % 5 = 3 THEN '2025, nan' "
-              "WHEN n_nationkey % 10 = 4 THEN '[\"2026\"]' ELSE '2026,' END")
-OFFICE = "CASE n_regionkey % 3 WHEN 0 THEN 'H' WHEN 1 THEN 'S' ELSE 'P' END"
+CYCLE_TEXT = ("CASE WHEN p_partkey % 50 = 49 THEN '' "
+              "WHEN p_partkey % 5 = 0 THEN '[2022, 2024]' "
+              "WHEN p_partkey % 5 = 1 THEN '2024' "
+              "WHEN p_partkey % 5 = 2 THEN '[' || chr(39) || '2024' || chr(39) || ', ' || chr(39) || '2026' || chr(39) || ']' "
+              "WHEN p_partkey % 5 = 3 THEN '2025, nan' "
+              "WHEN p_partkey % 10 = 4 THEN '[\"2026\"]' ELSE '2026,' END")
+OFFICE = "CASE p_size % 3 WHEN 0 THEN 'H' WHEN 1 THEN 'S' ELSE 'P' END"
+CAND_NAME = f"upper(p_name) || ' #' || {_s('p_partkey')}"
+TRANSFER_TARGET = _s("CAST(FLOOR(l_partkey / 20) AS BIGINT)")
 
 
 def _raw_date(x: str, d: str) -> str:
@@ -77,7 +80,7 @@ def _raw_date(x: str, d: str) -> str:
 
 FROM = {
     "supplier": "supplier",
-    "nation": "nation",
+    "part": "part",
     "lineitem": "lineitem",
     "orders_customer": "orders JOIN customer ON o_custkey = c_custkey",
     "lineitem_orders_customer": ("lineitem JOIN orders ON l_orderkey = o_orderkey "
@@ -90,7 +93,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    if source in ("supplier", "nation", "lineitem"):
+    if source in ("supplier", "part", "lineitem"):
         return _table(spark, sf_dir, source)
     orders, customer = _table(spark, sf_dir, "orders"), _table(spark, sf_dir, "customer")
     oc = orders.join(customer, orders.o_custkey == customer.c_custkey)
@@ -106,7 +109,7 @@ def _source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
 
 def _committee(d):
     return [
-        ("cand_id", f"'H' || {_s('s_nationkey')}"),
+        ("cand_id", f"'H' || {_s('s_suppkey')}"),
         ("com_city", f"'CITY ' || {_s('s_nationkey')}"),
         ("com_design", "CASE WHEN s_suppkey % 2 = 0 THEN 'P' ELSE 'U' END"),
         ("com_id", f"'C' || {_s('s_suppkey')}"),
@@ -121,12 +124,12 @@ def _committee(d):
 def _candidate(d):
     return [
         ("cand_el_yr", CYCLE_TEXT),
-        ("cand_id", f"'H' || {_s('n_nationkey')}"),
-        ("cand_name", "n_name"),
+        ("cand_id", f"'H' || {_s('p_partkey')}"),
+        ("cand_name", CAND_NAME),
         ("cand_off", OFFICE),
-        ("cand_off_state", _state("n_nationkey")),
-        ("cand_party", "CASE WHEN n_nationkey % 2 = 0 THEN 'DEM' ELSE 'REP' END"),
-        ("com_id", f"'C' || {_s('n_nationkey')}"),
+        ("cand_off_state", _state("p_partkey")),
+        ("cand_party", "CASE WHEN p_partkey % 2 = 0 THEN 'DEM' ELSE 'REP' END"),
+        ("com_id", f"'C' || {_s('p_partkey')}"),
     ]
 
 
@@ -148,7 +151,7 @@ def _individual(d):
 
 def _pas2(d):
     return [
-        ("cand_id", f"'H' || {_s('l_partkey % 25')}"),
+        ("cand_id", f"'H' || {_s('l_partkey')}"),
         ("com_id", f"'C' || {_s('l_suppkey')}"),
         ("trans_amt", AMOUNT),
         ("trans_type", TRANS_TYPE),
@@ -158,7 +161,7 @@ def _pas2(d):
 def _transfers(d):
     return [
         ("com_id", f"'C' || {_s('l_suppkey')}"),
-        ("other_com_id", f"'C' || {_s('(l_orderkey + l_linenumber) % 10')}"),
+        ("other_com_id", f"'C' || {TRANSFER_TARGET}"),
         ("trans_amt", AMOUNT),
     ]
 
@@ -193,7 +196,7 @@ def _raw_cm(d):
         ("CMTE_FILING_FREQ", "'Q'"),
         ("ORG_TP", NULL),
         ("CONNECTED_ORG_NM", NULL),
-        ("CAND_ID", f"'h' || {_s('s_nationkey')}"),
+        ("CAND_ID", f"'h' || {_s('s_suppkey')}"),
     ]
 
 
@@ -205,28 +208,28 @@ def _raw_cm_api(d):
         ("name", "upper(s_name)"),
         ("designation_full", "CASE WHEN s_suppkey % 2 = 0 THEN 'Principal campaign committee' ELSE 'Unauthorized' END"),
         ("committee_type_full", "CASE WHEN s_suppkey % 5 = 0 THEN 'None' ELSE 'PAC' END"),
-        ("candidate_ids", f"'[' || chr(39) || 'H' || {_s('s_nationkey')} || chr(39) || ']'"),
+        ("candidate_ids", f"'[' || chr(39) || 'H' || {_s('s_suppkey')} || chr(39) || ']'"),
         ("cycles", "'[2024, 2026]'"),
     ]
 
 
 def _raw_cn(d):
-    """cn.txt layout (text) from nation."""
+    """cn.txt layout (text) from part."""
     return [
-        ("CAND_ID", f"'h' || {_s('n_nationkey')}"),
-        ("CAND_NAME", "n_name"),
-        ("CAND_PTY_AFFILIATION", "CASE WHEN n_nationkey % 2 = 0 THEN 'DEM' ELSE 'REP' END"),
+        ("CAND_ID", f"'h' || {_s('p_partkey')}"),
+        ("CAND_NAME", CAND_NAME),
+        ("CAND_PTY_AFFILIATION", "CASE WHEN p_partkey % 2 = 0 THEN 'DEM' ELSE 'REP' END"),
         ("CAND_ELECTION_YR", CYCLE_TEXT),
-        ("CAND_OFFICE_ST", _state("n_nationkey")),
+        ("CAND_OFFICE_ST", _state("p_partkey")),
         ("CAND_OFFICE", OFFICE),
         ("CAND_OFFICE_DISTRICT", "'01'"),
         ("CAND_ICI", "'C'"),
         ("CAND_STATUS", "'C'"),
-        ("CAND_PCC", f"'C' || {_s('n_nationkey')}"),
+        ("CAND_PCC", f"'C' || {_s('p_partkey')}"),
         ("CAND_ST1", NULL),
         ("CAND_ST2", NULL),
         ("CAND_CITY", NULL),
-        ("CAND_ST", _state("n_nationkey")),
+        ("CAND_ST", _state("p_partkey")),
         ("CAND_ZIP", NULL),
     ]
 
@@ -241,7 +244,7 @@ def _raw_itoth(d):
         ("IMAGE_NUM", _s("l_orderkey")),
         ("TRANSACTION_TP", "'24G'"),
         ("ENTITY_TP", "'PAC'"),
-        ("NAME", f"'COMMITTEE ' || {_s('(l_orderkey + l_linenumber) % 10')}"),
+        ("NAME", f"'COMMITTEE ' || {TRANSFER_TARGET}"),
         ("CITY", NULL),
         ("STATE", _state("l_suppkey")),
         ("ZIP_CODE", NULL),
@@ -249,7 +252,7 @@ def _raw_itoth(d):
         ("OCCUPATION", NULL),
         ("TRANSACTION_DT", _mdy("l_shipdate", d)),
         ("TRANSACTION_AMT", AMOUNT_TEXT),
-        ("OTHER_ID", f"'c' || {_s('(l_orderkey + l_linenumber) % 10')}"),
+        ("OTHER_ID", f"'c' || {TRANSFER_TARGET}"),
         ("TRAN_ID", f"'O' || {_s('l_orderkey')} || '-' || {_s('l_linenumber')}"),
         ("FILE_NUM", NULL),
         ("MEMO_CD", NULL),
@@ -313,7 +316,7 @@ def _raw_itpas2(d):
         ("IMAGE_NUM", _s("l_orderkey")),
         ("TRANSACTION_TP", TRANS_TYPE),
         ("ENTITY_TP", "'PAC'"),
-        ("NAME", f"'ENTITY ' || {_s('l_partkey % 25')}"),
+        ("NAME", f"'ENTITY ' || {_s('l_partkey')}"),
         ("CITY", NULL),
         ("STATE", _state("l_partkey")),
         ("ZIP_CODE", NULL),
@@ -322,7 +325,7 @@ def _raw_itpas2(d):
         ("TRANSACTION_DT", _mdy("l_shipdate", d)),
         ("TRANSACTION_AMT", AMOUNT_TEXT),
         ("OTHER_ID", NULL),
-        ("CAND_ID", f"'h' || {_s('l_partkey % 25')}"),
+        ("CAND_ID", f"'h' || {_s('l_partkey')}"),
         ("TRAN_ID", f"'P' || {_s('l_orderkey')} || '-' || {_s('l_linenumber')}"),
         ("FILE_NUM", NULL),
         ("MEMO_CD", NULL),
@@ -335,11 +338,11 @@ def _raw_disb_api(d):
     """Committee-disbursement snapshot fields (text) from orders."""
     return [
         ("committee_id", f"'C' || {_s('o_custkey % 100')}"),
-        ("candidate_id", f"'H' || {_s('o_custkey % 25')}"),
+        ("candidate_id", f"'H' || {_s('o_custkey')}"),
         ("election_type_full", "'G2026'"),
         ("transaction_type", "CASE o_orderstatus WHEN 'F' THEN '24K' WHEN 'O' THEN '24E' ELSE '24Z' END"),
         ("entity_type", "'PAC'"),
-        ("recipient_name", f"'RECIPIENT ' || {_s('o_custkey % 25')}"),
+        ("recipient_name", f"'RECIPIENT ' || {_s('o_custkey')}"),
         ("disbursement_date", _iso("o_orderdate", d)),
         ("disbursement_amount", ORDER_AMOUNT_TEXT),
         ("transaction_id", f"'B' || {_s('o_orderkey')}"),
@@ -350,11 +353,11 @@ def _raw_ie_api(d):
     """Independent-expenditure snapshot fields (text) from orders."""
     return [
         ("committee_id", f"'C' || {_s('o_custkey % 100')}"),
-        ("candidate_id", f"'H' || {_s('o_custkey % 25')}"),
+        ("candidate_id", f"'H' || {_s('o_custkey')}"),
         ("election_type_full", "'G2026'"),
         ("transaction_type", "CASE o_orderstatus WHEN 'F' THEN '24K' WHEN 'O' THEN '24A' ELSE '24E' END"),
         ("entity_type", "'SUPERPAC'"),
-        ("contributor_name", f"'SPENDER ' || {_s('o_custkey % 25')}"),
+        ("contributor_name", f"'SPENDER ' || {_s('o_custkey')}"),
         ("contribution_receipt_date", _iso("o_orderdate", d)),
         ("contribution_receipt_amount", ORDER_AMOUNT_TEXT),
         ("transaction_id", f"'E' || {_s('o_orderkey')}"),
@@ -363,7 +366,7 @@ def _raw_ie_api(d):
 
 ROLES = {
     "committee": ("supplier", None, _committee),
-    "candidate": ("nation", None, _candidate),
+    "candidate": ("part", None, _candidate),
     "individual": ("lineitem_orders_customer", None, _individual),
     "pas2": ("lineitem", None, _pas2),
     "direct": ("lineitem", f"({TRANS_TYPE}) = '24K'", _pas2),
@@ -372,7 +375,7 @@ ROLES = {
     "payment_text": ("lineitem_supplier", None, _payment_text),
     "raw_cm": ("supplier", None, _raw_cm),
     "raw_cm_api": ("supplier", None, _raw_cm_api),
-    "raw_cn": ("nation", None, _raw_cn),
+    "raw_cn": ("part", None, _raw_cn),
     "raw_itoth": ("lineitem", None, _raw_itoth),
     "raw_itcont": ("lineitem_orders_customer", None, _raw_itcont),
     "raw_itcont_api": ("orders_customer", None, _raw_itcont_api),

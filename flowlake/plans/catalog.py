@@ -285,10 +285,15 @@ def q_view_default_cycle(spark, sf):
     return views.latest_cycle(_stored_network(spark, sf))
 
 
-@query("view_filter", O.with_ctes(
-    "SELECT * FROM network WHERE election_cycle = '2024' AND target_node = 'NATION_1'", "network"))
+@query("view_filter", O.with_ctes("""
+SELECT * FROM network WHERE election_cycle = '2024' AND target_node =
+  (SELECT min(target_node) FROM network WHERE election_cycle = '2024' AND source_type <> 'Committee/PAC')""",
+                                  "network"))
 def q_view_filter(spark, sf):
-    return views.view_filter(_stored_network(spark, sf), cycle="2024", candidate="NATION_1")
+    """Network tab with cycle 2024 and the first listed candidate selected."""
+    net = _stored_network(spark, sf)
+    first = views.first_listed(views.candidate_list(views.view_filter(net, cycle="2024")))
+    return views.view_filter(net, cycle="2024", candidate=first)
 
 
 @query("view_candidate_list", O.with_ctes(
