@@ -106,15 +106,6 @@ def from_cents(c: Column | str) -> Column:
     return _c(c) / F.lit(100)
 
 
-def money(c: Column | str) -> Column:
-    """Amount as DECIMAL(18,2) (for callers that want a decimal value)."""
-    return _c(c).cast("decimal(18,2)")
-
-
-def as_double(c: Column | str) -> Column:
-    return _c(c).cast("double")
-
-
 def lookup(c: Column | str, mapping: Mapping[str, str], fallback_to_key: bool = True) -> Column:
     """Map lookup done JVM-side through a literal map column."""
     m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])

@@ -38,10 +38,6 @@ from ..functions import lookups as L
 from ..functions import rules
 from ..plans.joins import fits_broadcast, sized_broadcast
 
-EDGE_COLUMNS = ["source_node", "source_type", "target_node", "transaction_flow",
-                "election_cycle", "weight", "transaction_count"]
-
-
 def explode_cycles(candidates: DataFrame, even_only: bool = False) -> DataFrame:
     """Candidate -> one row per election cycle parsed from list text.
 

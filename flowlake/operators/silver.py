@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import registry as R
 from ..functions import rules
-from ..sources.delimited import CORRUPT_COLUMN, read_delimited
+from ..sources.delimited import read_delimited
 from ..sources.snapshots import read_snapshots
 
 DATASET_COLUMN = "dataset"
@@ -212,6 +212,3 @@ def layer_counts(bulk_raw: DataFrame | None, api_raw: DataFrame | None, silver:
             parts.append(df.select(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("rows")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
-
-def drop_corrupt(df: DataFrame) -> DataFrame:
-    return df.drop(CORRUPT_COLUMN) if CORRUPT_COLUMN in df.columns else df

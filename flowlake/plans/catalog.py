@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import registry as R
-from ..functions import lookups as L
 from ..functions import rules
 from ..operators import gold, silver, views
 from ..sources import delimited, snapshots, tables

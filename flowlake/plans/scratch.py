@@ -1,7 +1,6 @@
 """Shared scratch locations.
 
-Intermediate files (landed snapshots, written silver/gold tables, lineage
-cuts) go under the folder the cluster names in ``spark.checkpoint.dir`` --
+Intermediate files (landed snapshots, written silver/gold tables) go under the folder the cluster names in ``spark.checkpoint.dir`` --
 a shared file system every executor can reach. Only when the session has
 none (local runs and tests) is a temporary folder created and registered as
 the checkpoint directory.
@@ -13,7 +12,7 @@ import logging
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 log = logging.getLogger(__name__)
 
@@ -42,9 +41,3 @@ def new_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared root."""
     return f"{shared_root(spark)}/flowlake/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint (written to the shared checkpoint folder), so a
-    lost executor does not force recomputation from the raw sources."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=eager)

@@ -112,12 +112,3 @@ def header_schema(names: list[str]) -> StructType:
     """All-string schema for a headerless delimited file."""
     return StructType([StructField(n, StringType(), True) for n in names])
 
-
-def silver_schema(dataset: str) -> StructType:
-    """Schema of a silver table: all text except the DOUBLE amount."""
-    from pyspark.sql.types import DoubleType
-
-    return StructType([
-        StructField(c, DoubleType() if c in AMOUNT_COLUMNS else StringType(), False)
-        for c in target_columns(dataset)
-    ])
