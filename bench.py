@@ -16,6 +16,9 @@ Timed units (best of ``$BENCH_REPEAT`` after a full warm-up pass):
   comparison with the plan the size check picks.
 
 ``value`` = silver_job + gold_job + views (the end-to-end workload).
+
+With ``BENCH_EVENT_LOG=1`` Spark's event log is written to a scratch folder
+and the slowest stages are summarised on stderr (stdout keeps one line).
 """
 
 from __future__ import annotations
@@ -45,6 +48,10 @@ def main() -> None:
     from flowlake.session import get_session
 
     conf = {"spark.sql.shuffle.partitions": str(max(8, cpus * 2)), "spark.driver.memory": "16g"}
+    event_dir = None
+    if os.environ.get("BENCH_EVENT_LOG"):
+        event_dir = tempfile.mkdtemp(prefix="flowlake-events-")
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = get_session(f"local[{cpus}]", app="flowlake-bench", conf=conf)
     try:
         if not spark.sparkContext.getCheckpointDir():
@@ -88,15 +95,25 @@ def main() -> None:
     for n in HEADLINE + ["geo_summary_eager"]:
         units[n] = (lambda n=n: run_query(n))
 
-    for fn in units.values():  # warm-up pass: JIT, readers, stored gold for the views
-        fn()
-    times = {n: round(min(fn() for _ in range(repeat)), 3) for n, fn in units.items()}
+    def labelled(name, fn):
+        spark.sparkContext.setJobDescription(f"bench {name}")
+        return fn()
+
+    for n, fn in units.items():  # warm-up pass: JIT, readers, stored gold for the views
+        labelled(n, fn)
+    times = {n: round(min(labelled(n, fn) for _ in range(repeat)), 3) for n, fn in units.items()}
     total = round(times["silver_job"] + times["gold_job"] + times["views"], 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "pipeline_silver_gold_views", "value": total, "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                       "cpus": cpus}))
     spark.stop()
+    if event_dir:
+        import subprocess
+
+        subprocess.run([sys.executable, os.path.join(os.path.dirname(os.path.abspath(__file__)),
+                                                     "scripts", "stage_times.py"), event_dir, "20"],
+                       stdout=sys.stderr, check=False)
 
 
 if __name__ == "__main__":

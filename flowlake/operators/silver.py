@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .. import registry as R
 from ..functions import rules
 from ..sources.delimited import read_delimited
+from ..sources.paths import path_exists
 from ..sources.snapshots import read_snapshots
 
 DATASET_COLUMN = "dataset"
@@ -130,6 +131,8 @@ def read_bulk(spark: SparkSession, path: str | None, layout: str | list[str] | N
               flag_corrupt: bool = False) -> DataFrame | None:
     if not path or layout is None:
         return None
+    if path_exists(spark, path) is False:
+        return None
     try:
         df = read_delimited(spark, path, layout, flag_corrupt=flag_corrupt)
         df.schema  # resolve the path now: a missing file skips the source

@@ -29,7 +29,16 @@ def _tasks_by_file(tasks):
     return groups
 
 
+def _describe(spark: SparkSession, text: str) -> None:
+    """Label the jobs of the current thread (shown in the event log)."""
+    try:
+        spark.sparkContext.setJobDescription(text)
+    except Exception:
+        pass
+
+
 def _build_group(spark: SparkSession, bulk_file: str, group, bronze_root, landing_root, out_root, layouts):
+    _describe(spark, "silver " + "+".join(d for d, _ in group))
     bulk_path = f"{bronze_root.rstrip('/')}/{bulk_file}" if bronze_root else None
     layout = layouts.get(bulk_file)
     if len(group) == 1:

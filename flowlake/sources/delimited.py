@@ -26,14 +26,10 @@ def read_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
 def layouts_from_headers(spark: SparkSession, headers: dict[str, str]) -> dict[str, list[str]]:
     """Bulk file -> column names, read from header-only CSV files; a missing
     header file leaves its bulk file out (that source is then skipped)."""
-    out = {}
-    for bulk_file, header_path in headers.items():
-        try:
-            out[bulk_file] = read_header(spark, header_path)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-    return out
+    from .paths import path_exists
+
+    return {bulk_file: read_header(spark, header_path) for bulk_file, header_path in headers.items()
+            if path_exists(spark, header_path) is not False}
 
 
 def read_delimited(

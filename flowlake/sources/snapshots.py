@@ -78,6 +78,10 @@ def read_snapshots(spark: SparkSession, landing_root: str, prefix: str) -> DataF
     Returns None when no snapshot exists (the dataset then runs on its bulk
     source alone).
     """
+    from .paths import path_exists
+
+    if path_exists(spark, snapshot_glob(landing_root, prefix)) is False:
+        return None
     try:
         return spark.read.option("mergeSchema", True).parquet(snapshot_glob(landing_root, prefix))
     except Exception as e:  # no matching path

@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..registry import GOLD_INPUTS
+from ..registry import DATASET_CODES, GOLD_INPUTS
 
 GOLD_TABLES = ("geo_summary", "donor_type_summary", "network_metrics")
 GOLD_SCHEMAS = {
@@ -63,11 +63,14 @@ def load_split_silver(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _read_silver(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    try:
-        return spark.read.parquet(table_path(root, "silver", dataset))
-    except Exception:
-        path = f"{table_path(root, 'silver', SPLIT_FOLDER)}/dataset={dataset}"
-        return spark.read.parquet(path)
+    """A dataset's own folder, or its partition of the code-split table
+    (tried first for the datasets cut by transaction code)."""
+    own = table_path(root, "silver", dataset)
+    split = f"{table_path(root, 'silver', SPLIT_FOLDER)}/dataset={dataset}"
+    from .paths import path_exists
+
+    first, second = (split, own) if dataset in DATASET_CODES else (own, split)
+    return spark.read.parquet(second if path_exists(spark, first) is False else first)
 
 
 def load_silver(spark: SparkSession, root: str, datasets=GOLD_INPUTS) -> dict[str, DataFrame]:
@@ -82,6 +85,10 @@ def write_gold(tables: Mapping[str, DataFrame], root: str, partition_by_cycle: b
 
     def one(item):
         name, df = item
+        try:
+            df.sparkSession.sparkContext.setJobDescription(f"gold {name}")
+        except Exception:
+            pass
         part = ["election_cycle"] if partition_by_cycle and "election_cycle" in df.columns else None
         write_table(df, table_path(root, "gold", name), partition_by=part)
 

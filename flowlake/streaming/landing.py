@@ -25,6 +25,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .. import registry as R
 from ..operators import silver
 from ..plans.joins import sized_broadcast
+from ..sources.paths import path_exists
 from ..sources.snapshots import snapshot_glob
 
 
@@ -43,6 +44,9 @@ def snapshot_stream(spark: SparkSession, landing_root: str, prefix: str, dataset
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    found = path_exists(spark, path)
+    if found is not None:
+        return found
     try:
         spark.read.parquet(path).schema
         return True
