@@ -382,7 +382,8 @@ def _tab2(spark, sf):
 
 O.CTE["t2_first"] = ("""
 SELECT d.* FROM donor d JOIN t2_sel s ON d.cand_name = s.cand AND d.election_cycle = s.cyc
-ORDER BY cand_id, cand_name, election_cycle, individual_funds, committee_funds LIMIT 1""", ["donor", "t2_sel"])
+ORDER BY cand_id NULLS FIRST, cand_name NULLS FIRST, election_cycle NULLS FIRST,
+         individual_funds NULLS FIRST, committee_funds NULLS FIRST LIMIT 1""", ["donor", "t2_sel"])
 O.CTE["t2_mix"] = ("""
 SELECT cand_name, election_cycle, 'Individual Donors' AS source_type, individual_funds AS amount FROM t2_first
 UNION ALL
@@ -416,7 +417,7 @@ def q_view_state_map(spark, sf):
 
 
 @query("view_top_states", O.with_ctes(
-    "SELECT * FROM t3_map ORDER BY total_amount DESC, state LIMIT 5", "t3_map"))
+    "SELECT * FROM t3_map ORDER BY total_amount DESC, state NULLS FIRST LIMIT 5", "t3_map"))
 def q_view_top_states(spark, sf):
     return views.top_states(_tab3_map(spark, sf))
 

@@ -18,6 +18,24 @@ DEFAULTS = {
 }
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 400_000) -> dict:
+    """Shuffle and split sizing for a run over ``input_bytes`` of input.
+
+    Start with about one shuffle partition per ``partition_bytes`` of input
+    (AQE then coalesces small ones toward the same advisory size, and splits
+    skewed ones), and read files in splits of the same size, so each task's
+    working set stays well inside executor memory and spills stay rare.
+    """
+    n = int(min(max_partitions, max(200, input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def get_session(master: str | None = None, app: str = "flowlake", conf: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)
     if master:

@@ -67,3 +67,11 @@ def test_no_python_udf(spark, name):
         pytest.skip("writes files; covered by the parity test")
     plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
     assert "PythonUDF" not in plan and "EvalPython" not in plan
+
+
+def test_scale_conf():
+    from flowlake.session import scale_conf
+
+    c = scale_conf(100 * (1 << 40))
+    assert c["spark.sql.shuffle.partitions"] == "400000"
+    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
