@@ -96,16 +96,17 @@ def flow_composition(view: DataFrame) -> DataFrame:
         exact_sum("weight").alias("weight"), F.sum("transaction_count").alias("transaction_count"))
 
 
-def with_share(df: DataFrame, value: str, share: str = "share") -> DataFrame:
-    """``value / total``. Used only on results bounded by the number of
-    categories (flows, donor types), so the un-partitioned window holds a
-    handful of rows."""
+def _with_share(df: DataFrame, value: str, share: str = "share") -> DataFrame:
+    """``value / total`` over an un-partitioned window. Private on purpose:
+    it is applied only to results bounded by a fixed number of categories
+    (the four flow labels, the two donor types), so the single window
+    partition holds at most four rows whatever the data size."""
     total = rules.from_cents(F.sum(rules.cents(value)).over(Window.partitionBy()))
     return df.withColumn(share, F.col(value) / total)
 
 
 def flow_share(view: DataFrame) -> DataFrame:
-    return with_share(flow_composition(view), "weight")
+    return _with_share(flow_composition(view), "weight")
 
 
 def _order_all(df: DataFrame, first: str, desc: bool = True) -> list[F.Column]:
@@ -145,7 +146,7 @@ def donor_mix(donor: DataFrame, candidate: Selection, cycle: Selection) -> DataF
              rules.lookup("source_type", {"individual_funds": L.MIX_INDIVIDUAL,
                                           "committee_funds": L.MIX_COMMITTEE}).alias("source_type"),
              "amount")
-    return with_share(long, "amount")
+    return _with_share(long, "amount")
 
 
 def candidate_states(geo: DataFrame, candidate: Selection, cycle: Selection) -> DataFrame:
