@@ -76,14 +76,29 @@ def _rollup(fact: DataFrame, fact_keys: list[str], dims: list[tuple[DataFrame, s
     if eager is None:
         eager = key_collapses or not all(fits_broadcast(d) for d, _ in dims)
     if eager:
-        base = fact.groupBy(*fact_keys).agg(_sum_amount().alias("_amt"), F.count(F.lit(1)).alias("_n"))
-        amount, count = F.sum("_amt"), F.sum("_n")
-    else:
-        base = fact.select(*fact_keys, rules.cents("trans_amt").alias("_amt"))
-        amount, count = F.sum("_amt"), F.count(F.lit(1))
+        return _from_preaggregated(_preaggregate(fact, fact_keys), dims, out_keys)
+    base = fact.select(*fact_keys, rules.cents("trans_amt").alias("_amt"))
     for dim, key in dims:
         base = base.join(sized_broadcast(dim), key)
-    return base.groupBy(*out_keys).agg(amount.alias("_amt"), count.alias("_n"))
+    return base.groupBy(*out_keys).agg(F.sum("_amt").alias("_amt"), F.count(F.lit(1)).alias("_n"))
+
+
+def _preaggregate(fact: DataFrame, keys: list[str]) -> DataFrame:
+    """Facts summed (cents) and counted per key: ``keys`` + ``_amt`` + ``_n``."""
+    return fact.groupBy(*keys).agg(_sum_amount().alias("_amt"), F.count(F.lit(1)).alias("_n"))
+
+
+def _from_preaggregated(pre: DataFrame, dims: list[tuple[DataFrame, str]], out_keys: list) -> DataFrame:
+    for dim, key in dims:
+        pre = pre.join(sized_broadcast(dim), key)
+    return pre.groupBy(*out_keys).agg(F.sum("_amt").alias("_amt"), F.sum("_n").alias("_n"))
+
+
+def committee_state_rollup(individual: DataFrame) -> DataFrame:
+    """Individual money per (committee, donor state): the shared input of
+    the geographic summary and the donor-type summary. Its size is bounded
+    by committees x states, not by the number of contributions."""
+    return _preaggregate(individual, ["com_id", "contrib_state"])
 
 
 def _cycle_dim(cycles: DataFrame, *cols: str) -> DataFrame:
@@ -94,31 +109,35 @@ def _cycle_text() -> F.Column:
     return F.col("election_cycle").cast("string").alias("election_cycle")
 
 
-def geo_summary(individual: DataFrame, committees: DataFrame, cycles: DataFrame,
-                eager: bool | None = None) -> DataFrame:
+def geo_summary(individual: DataFrame | None, committees: DataFrame, cycles: DataFrame,
+                eager: bool | None = None, rollup: DataFrame | None = None) -> DataFrame:
     """Donations per candidate, office, cycle and donor state:
     ``ABS(SUM(amount))`` and ``COUNT(*)``; blank states dropped, even cycles
-    only. A donation counts once per even cycle of its candidate."""
-    r = _rollup(
-        individual.where(rules.is_non_blank("contrib_state")),
-        ["com_id", "contrib_state"],
-        [(committees.select("com_id", "cand_id"), "com_id"),
-         (_cycle_dim(cycles, "cand_id", "cand_name", "cand_off", "election_cycle"), "cand_id")],
-        ["cand_id", "cand_name", F.col("cand_off").alias("office_type"), _cycle_text(),
-         F.col("contrib_state").alias("state")],
-        eager,
-    )
+    only. A donation counts once per even cycle of its candidate. With
+    ``rollup`` (``committee_state_rollup``) the facts are not read again."""
+    dims = [(committees.select("com_id", "cand_id"), "com_id"),
+            (_cycle_dim(cycles, "cand_id", "cand_name", "cand_off", "election_cycle"), "cand_id")]
+    keys = ["cand_id", "cand_name", F.col("cand_off").alias("office_type"), _cycle_text(),
+            F.col("contrib_state").alias("state")]
+    if rollup is not None:
+        r = _from_preaggregated(rollup.where(rules.is_non_blank("contrib_state")), dims, keys)
+    else:
+        r = _rollup(individual.where(rules.is_non_blank("contrib_state")), ["com_id", "contrib_state"],
+                    dims, keys, eager)
     return r.select("cand_id", "cand_name", "office_type", "election_cycle", "state",
                     rules.from_cents(F.abs("_amt")).alias("total_amount"),
                     F.col("_n").alias("total_donations"))
 
 
-def indiv_rollup(individual: DataFrame, committees: DataFrame, exact: bool = False,
-                 eager: bool | None = None) -> DataFrame:
+def indiv_rollup(individual: DataFrame | None, committees: DataFrame, exact: bool = False,
+                 eager: bool | None = None, rollup: DataFrame | None = None) -> DataFrame:
     """Individual money per candidate (via the receiving committee);
-    ``exact`` keeps integer cents."""
-    r = _rollup(individual, ["com_id"], [(committees.select("com_id", "cand_id"), "com_id")],
-                ["cand_id"], eager)
+    ``exact`` keeps integer cents; ``rollup`` as in ``geo_summary``."""
+    dims = [(committees.select("com_id", "cand_id"), "com_id")]
+    if rollup is not None:
+        r = _from_preaggregated(rollup.select("com_id", "_amt", "_n"), dims, ["cand_id"])
+    else:
+        r = _rollup(individual, ["com_id"], dims, ["cand_id"], eager)
     funds = F.col("_amt") if exact else rules.from_cents("_amt")
     return r.select("cand_id", funds.alias("individual_funds"))
 
@@ -129,12 +148,12 @@ def committee_rollup(direct: DataFrame, exact: bool = False) -> DataFrame:
     return out if exact else out.withColumn("committee_funds", rules.from_cents("committee_funds"))
 
 
-def donor_type_summary(individual: DataFrame, committees: DataFrame, direct: DataFrame,
-                       cycles: DataFrame) -> DataFrame:
+def donor_type_summary(individual: DataFrame | None, committees: DataFrame, direct: DataFrame,
+                       cycles: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
     """Per candidate and even cycle: individual vs committee funds, each
     floored at zero; rows where neither raw sum is positive are dropped
     (a NULL side does not count as positive)."""
-    ind = sized_broadcast(indiv_rollup(individual, committees, exact=True))
+    ind = sized_broadcast(indiv_rollup(individual, committees, exact=True, rollup=rollup))
     com = sized_broadcast(committee_rollup(direct, exact=True))
     cyc = even_cycles(cycles).select("cand_id", "cand_name", "election_cycle")
     joined = cyc.join(ind, "cand_id", "left").join(com, "cand_id", "left")
@@ -229,15 +248,26 @@ def network_edges(individual: DataFrame, committees: DataFrame, cycles: DataFram
     return reduce(lambda a, b: a.unionByName(b), branches)
 
 
-def build_gold(silver: dict[str, DataFrame], **edge_params) -> dict[str, DataFrame]:
-    """The three gold tables from the six silver tables (lazy)."""
+def build_gold(silver: dict[str, DataFrame], shared_path: str | None = None,
+               **edge_params) -> dict[str, DataFrame]:
+    """The three gold tables from the six silver tables.
+
+    With ``shared_path`` the (committee, state) rollup of the individual
+    contributions is written there first and both the geographic and the
+    donor-type summary read it, so the largest fact table is scanned and
+    aggregated once for the two of them (and the written rollup survives a
+    lost executor). Without it everything stays lazy."""
     cycles = explode_cycles(silver["candidate_master"])
     com = silver["committee_master"]
     ind = silver["individual_contributions"]
     direct = silver["committee_contributions_to_candidates"]
+    rollup = None
+    if shared_path:
+        committee_state_rollup(ind).write.mode("overwrite").parquet(shared_path)
+        rollup = ind.sparkSession.read.parquet(shared_path)
     return {
-        "geo_summary": geo_summary(ind, com, cycles),
-        "donor_type_summary": donor_type_summary(ind, com, direct, cycles),
+        "geo_summary": geo_summary(ind, com, cycles, rollup=rollup),
+        "donor_type_summary": donor_type_summary(ind, com, direct, cycles, rollup=rollup),
         "network_metrics": network_edges(ind, com, cycles, direct,
                                          silver["inter_committee_transactions"],
                                          silver["independent_expenditures"], **edge_params),

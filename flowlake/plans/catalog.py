@@ -88,7 +88,8 @@ def stored_gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     root = _GOLD_ROOTS.get(key)
     if root is None:
         root = new_scratch(spark, "gold")
-        tables.write_gold(gold.build_gold(_in(spark, sf)), root, partition_by_cycle=True)
+        tables.write_gold(gold.build_gold(_in(spark, sf), shared_path=f"{root}/_shared"), root,
+                          partition_by_cycle=True, max_parallel=3)
         _GOLD_ROOTS[key] = root
     return tables.load_gold(spark, root)
 
@@ -615,7 +616,8 @@ def q_silver_split_codes(spark, sf):
 @query("sink_roundtrip", O.with_ctes("SELECT * FROM network", "network"))
 def q_sink_roundtrip(spark, sf):
     root = new_scratch(spark, "sink_roundtrip")
-    tables.write_gold(gold.build_gold(_in(spark, sf)), root, partition_by_cycle=True)
+    tables.write_gold(gold.build_gold(_in(spark, sf), shared_path=f"{root}/_shared"), root,
+                      partition_by_cycle=True, max_parallel=3)
     return tables.load_gold(spark, root)["network_metrics"]
 
 

@@ -83,8 +83,9 @@ def run_gold(spark: SparkSession, root: str, partition_by_cycle: bool = True, ma
              **edge_params) -> None:
     """Read the six silver tables and write the three gold tables (as
     concurrent jobs)."""
-    tables.write_gold(gold.build_gold(tables.load_silver(spark, root), **edge_params), root,
-                      partition_by_cycle=partition_by_cycle, max_parallel=max_parallel)
+    shared = tables.table_path(root, "gold", "_shared_committee_state")
+    tables.write_gold(gold.build_gold(tables.load_silver(spark, root), shared_path=shared, **edge_params),
+                      root, partition_by_cycle=partition_by_cycle, max_parallel=max_parallel)
 
 
 def run_all(spark: SparkSession, bronze_root: str | None, landing_root: str | None, root: str) -> None:

@@ -107,3 +107,13 @@ def test_donor_mix_and_empty_metrics(fx, spark):
                    "Political Committees (PACs)": (5000.0, round(5000 / 21500, 6))}
     empty = views.network_metrics(views.view_filter(fx["net"], cycle="1900")).first()
     assert (empty.total_flow, empty.edge_count, empty.mean_weight) == (0.0, 0, 0.0)
+
+
+def test_shared_rollup_gives_same_gold(fx, tmp_dir):
+    silver_in = {"candidate_master": fx["cand"], "committee_master": fx["com"], "individual_contributions": fx["ind"],
+                 "committee_contributions_to_candidates": fx["direct"], "inter_committee_transactions": fx["tr"],
+                 "independent_expenditures": fx["ie"]}
+    lazy = gold.build_gold(silver_in)
+    shared = gold.build_gold(silver_in, shared_path=f"{tmp_dir}/shared")
+    for name in ("geo_summary", "donor_type_summary"):
+        assert sorted(map(tuple, lazy[name].collect())) == sorted(map(tuple, shared[name].collect()))
