@@ -116,8 +116,8 @@ def test_split_requires_disjoint_codes(spark):
 
 
 def test_layouts_from_header_files(spark, tmp_dir):
-    with open(f"{tmp_dir}/cm_header_file.csv", "w") as f:
+    with open(f"{tmp_dir}/committee_columns.csv", "w") as f:
         f.write(",".join(R.BULK_LAYOUTS["cm.txt"]) + "\n")
-    got = delimited.layouts_from_headers(spark, {"cm.txt": f"{tmp_dir}/cm_header_file.csv",
+    got = delimited.layouts_from_headers(spark, {"cm.txt": f"{tmp_dir}/committee_columns.csv",
                                                  "cn.txt": f"{tmp_dir}/missing.csv"})
     assert got == {"cm.txt": R.BULK_LAYOUTS["cm.txt"]}
