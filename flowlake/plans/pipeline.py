@@ -13,7 +13,8 @@ import logging
 from collections import OrderedDict
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .. import registry as R
 from ..operators import gold, silver
@@ -37,33 +38,70 @@ def _describe(spark: SparkSession, text: str) -> None:
         pass
 
 
+def _observe_bulk(df: DataFrame | None):
+    """Raw rows and malformed rows (wrong field count), counted while the
+    write job scans the file."""
+    if df is None:
+        return None, None
+    obs = Observation()
+    # A metric over every raw column keeps the whole row in the scan; with
+    # CSV column pruning the parser would otherwise tokenize only the mapped
+    # columns and never notice a row with the wrong field count. (A
+    # non-nullable expression such as a struct would be folded to count(1).)
+    raw = [F.col(f"`{c}`") for c in df.columns if c != silver.CORRUPT_COLUMN]
+    return df.observe(obs, F.count(F.lit(1)).alias("bulk_rows"),
+                      F.count(silver.CORRUPT_COLUMN).alias("malformed_rows"),
+                      F.count(F.coalesce(*raw)).alias("non_empty_rows")), obs
+
+
+def _observe_rows(df: DataFrame | None, name: str):
+    if df is None:
+        return None, None
+    obs = Observation()
+    return df.observe(obs, F.count(F.lit(1)).alias(name)), obs
+
+
+def _metrics(*observations) -> dict:
+    out: dict = {}
+    for o in observations:
+        if o is not None:
+            out.update(o.get)
+    return out
+
+
 def _build_group(spark: SparkSession, bulk_file: str, group, bronze_root, landing_root, out_root, layouts):
+    """Read the sources of one bulk file's dataset(s) once, build, write.
+    Returns per-dataset metrics observed during the write (no extra scans)."""
     _describe(spark, "silver " + "+".join(d for d, _ in group))
     bulk_path = f"{bronze_root.rstrip('/')}/{bulk_file}" if bronze_root else None
-    layout = layouts.get(bulk_file)
-    if len(group) == 1:
-        dataset, prefix = group[0]
-        df = silver.build_silver(spark, dataset, bulk_path, landing_root, prefix, layout=layout)
-        if df is None:
-            log.warning("no source for %s; skipped", dataset)
-            return {}
-        return {dataset: tables.write_silver(df, out_root, dataset, observe=True)}
-    bulk = silver.read_bulk(spark, bulk_path, layout)
-    api = {d: snapshots.read_snapshots(spark, landing_root, p) if landing_root else None for d, p in group}
+    bulk, bulk_obs = _observe_bulk(silver.read_bulk(spark, bulk_path, layouts.get(bulk_file), flag_corrupt=True))
+    api, api_obs = {}, {}
+    for d, prefix in group:
+        raw = snapshots.read_snapshots(spark, landing_root, prefix) if landing_root else None
+        api[d], api_obs[d] = _observe_rows(raw, "api_rows")
     if bulk is None and all(v is None for v in api.values()):
         log.warning("no source for %s; skipped", [d for d, _ in group])
         return {}
+    if len(group) == 1:
+        dataset = group[0][0]
+        out = silver.silver_from_sources(dataset, bulk, api[dataset])
+        written = tables.write_silver(out, out_root, dataset, observe=True)
+        return {dataset: {**_metrics(bulk_obs, api_obs[dataset]), **(written or {})}}
     split = silver.build_split_silver(bulk, api, tuple(d for d, _ in group))
+    split, split_obs = _observe_rows(split, "rows")
     tables.write_split_silver(split, out_root)
-    return {d: None for d, _ in group}
+    shared = _metrics(bulk_obs, split_obs)
+    return {d: {**shared, **_metrics(api_obs[d])} for d, _ in group}
 
 
 def run_silver(spark: SparkSession, bronze_root: str | None, landing_root: str | None, out_root: str,
                tasks=R.SILVER_TASKS, layouts: dict[str, list[str]] | None = None,
                max_parallel: int = 4) -> dict[str, dict | None]:
-    """Build and write all silver tables; returns per-dataset write metrics
-    (row counts observed during the write). A dataset with no source at all
-    is skipped.
+    """Build and write all silver tables. Returns per-dataset metrics
+    observed during the write job itself: ``bulk_rows`` and
+    ``malformed_rows`` of the bulk scan, ``api_rows`` of the snapshots and
+    ``rows`` written (for a split source, rows of all its datasets). A
+    dataset with no source at all is skipped.
 
     The datasets are independent jobs; up to ``max_parallel`` of them are
     submitted at once (Spark runs concurrent jobs side by side), so the

@@ -60,7 +60,27 @@ def test_silver_written(spark, built):
     for d, df in silver.items():
         assert df.columns == R.target_columns(d)
         assert df.count() > 0
-    assert metrics["individual_contributions"]["rows"] == silver["individual_contributions"].count()
+    m = metrics["individual_contributions"]
+    assert m["rows"] == silver["individual_contributions"].count()
+    assert m["bulk_rows"] == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert m["malformed_rows"] == 0 and m["api_rows"] > 0
+    assert metrics["independent_expenditures"]["rows"] > 0
+
+
+def test_malformed_rows_counted(spark, tmp_dir):
+    from flowlake import registry as R2
+
+    os_root = tmp_dir
+    good = "|".join(["C1"] + ["x"] * (len(R2.BULK_LAYOUTS["cm.txt"]) - 1))
+    import os
+    os.makedirs(f"{os_root}/bronze", exist_ok=True)
+    with open(f"{os_root}/bronze/cm.txt", "w") as f:
+        f.write(good + "\n" + "C2|short row\n" + good.replace("C1", "C3") + "|extra\n")
+    out = pipeline.run_silver(spark, f"{os_root}/bronze", None, os_root,
+                              tasks=[("committee_master", "cm.txt", "api_raw_committees")])
+    assert out["committee_master"]["bulk_rows"] == 3
+    assert out["committee_master"]["malformed_rows"] == 2
+    assert out["committee_master"]["rows"] == 3
 
 
 @pytest.mark.parametrize("table,cte", [("geo_summary", "geo"), ("donor_type_summary", "donor"),
