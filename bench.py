@@ -12,8 +12,10 @@ Timed units (best of ``$BENCH_REPEAT`` after a full warm-up pass):
 * ``views``       -- the dashboard views over the stored gold tables.
 * per-query timings of the headline catalogue queries (geo_summary,
   donor_type_summary, network_edges, silver_dedup), executed in full through
-  the ``noop`` sink, and ``geo_summary_eager`` (eager aggregation forced) for
-  comparison with the plan the size check picks.
+  the ``noop`` sink, ``geo_summary_eager`` (eager aggregation forced) for
+  comparison with the plan the size check picks, and ``*_shuffled``: the
+  same queries with no register broadcastable (the plan shape of a run
+  whose registers exceed the broadcast limit).
 
 ``value`` = silver_job + gold_job + views (the end-to-end workload).
 
@@ -95,6 +97,21 @@ def main() -> None:
     for n in HEADLINE + ["geo_summary_eager"]:
         units[n] = (lambda n=n: run_query(n))
 
+    def shuffled(name: str) -> float:
+        keys = ("flowlake.broadcast.maxBytes", "spark.sql.autoBroadcastJoinThreshold",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold")
+        old = {k: spark.conf.get(k, None) for k in keys}
+        for k, v in zip(keys, ("1", "-1", "-1")):
+            spark.conf.set(k, v)
+        try:
+            return run_query(name)
+        finally:
+            for k, v in old.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+    for n in ("geo_summary", "network_edges"):
+        units[f"{n}_shuffled"] = (lambda n=n: shuffled(n))
+
     def labelled(name, fn):
         spark.sparkContext.setJobDescription(f"bench {name}")
         return fn()
