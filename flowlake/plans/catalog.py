@@ -575,7 +575,7 @@ def q_layer_counts(spark, sf):
     bulk = silver.read_bulk(spark, f"{root}/bronze/itcont.txt", "itcont.txt")
     api = snapshots.read_snapshots(spark, f"{root}/landing", "api_raw_individual_contribs")
     out = silver.silver_from_sources(_IND, bulk, api)
-    metrics = tables.write_silver(out, root, _IND, observe=True)
+    tables.write_silver(out, root, _IND)
     written = spark.read.parquet(tables.table_path(root, "silver", _IND))
     counts = silver.layer_counts(bulk, api, written)
     return counts.select("layer", F.col("rows").alias("row_count"))
