@@ -121,3 +121,15 @@ def test_layouts_from_header_files(spark, tmp_dir):
     got = delimited.layouts_from_headers(spark, {"cm.txt": f"{tmp_dir}/committee_columns.csv",
                                                  "cn.txt": f"{tmp_dir}/missing.csv"})
     assert got == {"cm.txt": R.BULK_LAYOUTS["cm.txt"]}
+
+
+def test_land_json_with_given_schema(spark, tmp_dir):
+    src = f"{tmp_dir}/in.json"
+    with open(src, "w") as f:
+        f.write('{"committee_id": "C1", "cycles": [2024, 2026], "ignored": 1}\n')
+    schema = "committee_id string, cycles array<string>"
+    out = snapshots.land_json(spark, src, f"{tmp_dir}/landing", "api_raw_committees", ts="20260101_000000",
+                              schema=schema)
+    df = spark.read.parquet(out)
+    assert sorted(df.columns) == ["committee_id", "cycles"]
+    assert df.first().cycles == '["2024","2026"]'
