@@ -63,25 +63,32 @@ def _repeat_words(words: Column) -> Column:
     does not cover: O(n log n) for any length.  Texts whose windows are all
     distinct (a hash set tells) skip the sort.
     """
-    n = F.size(words)
-    windows = F.transform(
-        F.sequence(F.lit(1), n - 2),
-        lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i), F.get(words, i + 1)),
-    )
-    return F.when(n >= 3, windows).otherwise(F.array().cast("array<string>"))
+    def of(w: Column) -> Column:
+        window = lambda i: F.concat_ws(" ", F.get(w, i - 1), F.get(w, i), F.get(w, i + 1))
+        return F.when(F.size(w) >= 3, F.transform(F.sequence(F.lit(1), F.size(w) - 2), window)).otherwise(
+            F.array().cast("array<string>"))
+
+    return _let(words, of)
+
+
+def _let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, wherever the optimizer moves the expression."""
+    return F.element_at(F.transform(F.array(value), f), 1)
 
 
 def _positions(pairs: Column) -> Column:
-    def repeated(x: Column, k: Column) -> Column:
-        same = lambda j: F.coalesce(F.get(pairs, j)["w"] == x["w"], F.lit(False))
-        return F.when(same(k - 1) | same(k + 1), x["i"])
+    def of(p: Column) -> Column:
+        same = lambda x, j: F.coalesce(F.get(p, j)["w"] == x["w"], F.lit(False))
+        return F.transform(p, lambda x, k: F.when(same(x, k - 1) | same(x, k + 1), x["i"]))
 
-    return F.sort_array(F.array_compact(F.transform(pairs, repeated)))
+    return F.sort_array(F.array_compact(_let(pairs, of)))
 
 
 def _covered(at: Column) -> Column:
-    steps = F.transform(at, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - p, F.lit(3))))
-    return F.aggregate(steps, F.lit(0).cast("long"), lambda a, b: a + b)
+    def of(a: Column) -> Column:
+        return F.transform(a, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(a, k + 1) - p, F.lit(3))))
+
+    return F.aggregate(_let(at, of), F.lit(0).cast("long"), lambda a, b: a + b)
 
 
 def metrics(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -163,4 +170,7 @@ def keep_good(df: DataFrame, text: str = "text", rules: tuple[Threshold, ...] =
     bad = base_failed()
     for c in compile_rules(rules):
         bad = bad | c
-    return m.filter(~bad).select("row.*")
+    # a filter is moved below deterministic projections, which would compute every metric once
+    # more per use; the row number keeps it here
+    judged = m.select("row", (~bad).alias("good"), F.monotonically_increasing_id().alias("n"))
+    return judged.filter("good and n >= 0").select("row.*")
