@@ -77,6 +77,10 @@ def train(snippets: list[tuple[str, str]], units: int = UNITS, steps: int = STEP
         "out": rng.normal(0, 0.3, (2, h, k)),
         "out_bias": np.zeros(k),
     }
+    # padding keeps the state as it is (update gate open, never learned), so that a text's
+    # probabilities do not depend on how far its window is padded
+    p["table"][:, PAD] = 0
+    p["table"][:, PAD, h:2 * h] = 30
     if k == 1:
         return {"langs": langs}
     texts = [np.frombuffer(s.encode(), np.uint8) for _, s in snippets]
@@ -141,6 +145,7 @@ def _gradients(p: dict, x: np.ndarray, y: np.ndarray) -> dict:
     out["table"] = np.zeros_like(p["table"])
     for d in (0, 1):
         np.add.at(out["table"][d], both[d].ravel(), at_input[d].reshape(-1, 3 * h))
+    out["table"][:, PAD] = 0
     return out
 
 
@@ -213,7 +218,7 @@ class Reader:
         sizes = np.array([len(t) for t in texts], np.int64)
         if len(self.langs) < 2:
             return np.ones((len(texts), 1))
-        flat = np.frombuffer(b"".join(texts), np.uint8)
+        flat = np.frombuffer(b"".join(texts), np.uint8).astype(np.int16)  # PAD does not fit a byte
         first = np.cumsum(sizes) - sizes
         n_windows = -(-sizes // CORE)
         doc = np.repeat(np.arange(len(texts)), n_windows)
