@@ -19,6 +19,13 @@ from .lookups import EMPLOYER_DEFAULT, OFFICE_LABELS, STATE_NAMES
 # before it is split on commas.
 _LIST_NOISE = r"[\[\]\s'\"]"
 
+# The time of an ISO date-time, with or without fraction and offset.
+_TIME_OF_DAY = r"(?<=\d)[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?$"
+
+# Amounts of this size or more (and non-finite ones) are taken for garbage:
+# their cents would not leave room to add up in a LONG.
+AMOUNT_LIMIT = 1e12
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -28,13 +35,14 @@ def normalize_date(c: Column | str) -> Column:
     """Two-format date text to ISO ``yyyy-MM-dd`` text.
 
     * text containing ``-`` is read as year-month-day (one-digit month and
-      day accepted);
+      day accepted; the time of an ISO date-time is left out);
     * text with exactly 8 digits (after dropping non-digits) is read as
       ``MMddyyyy``;
-    * everything else, and every unparsable value, becomes NULL.
+    * everything else, and every unparsable value, becomes NULL (counted by
+      ``rejected_date``).
     """
     raw = _c(c)
-    s = F.trim(raw)
+    s = F.regexp_replace(F.trim(raw), _TIME_OF_DAY, "")
     digits = F.length(F.regexp_replace(raw, "[^0-9]", ""))
     return (
         F.when(raw.contains("-"), F.date_format(F.try_to_date(s, "yyyy-M-d"), "yyyy-MM-dd"))
@@ -44,9 +52,30 @@ def normalize_date(c: Column | str) -> Column:
 
 
 def normalize_amount(c: Column | str) -> Column:
-    """Amount text to DOUBLE; NULL, unparsable text and NaN become 0.0."""
+    """Amount text to DOUBLE; NULL, unparsable text, NaN, infinities and
+    amounts of ``AMOUNT_LIMIT`` or more become 0.0 (all but NULL and blank
+    text are counted by ``rejected_amount``)."""
     v = _c(c).cast("string").try_cast("double")
-    return F.coalesce(F.nanvl(v, F.lit(0.0)), F.lit(0.0))
+    return F.when(F.abs(v) < AMOUNT_LIMIT, v).otherwise(F.lit(0.0))
+
+
+def rejected_date(c: Column | str) -> Column:
+    """True where non-blank date text could not be read."""
+    return (F.trim(_c(c)) != "") & normalize_date(c).isNull()
+
+
+def rejected_amount(c: Column | str) -> Column:
+    """True where non-blank amount text was replaced by 0.0."""
+    raw = _c(c).cast("string")
+    v = raw.try_cast("double")
+    return (F.trim(raw) != "") & ~F.coalesce(F.abs(v) < AMOUNT_LIMIT, F.lit(False))
+
+
+def sub_cent(c: Column | str) -> Column:
+    """True where an accepted amount has digits below the cent, which
+    ``cents`` rounds away."""
+    v = normalize_amount(c) * 100
+    return F.abs(v - F.rint(v)) > F.lit(1e-6) * F.greatest(F.lit(1.0), F.abs(v) * 1e-9)
 
 
 def normalize_id(c: Column | str) -> Column:
@@ -96,9 +125,11 @@ def cents(c: Column | str) -> Column:
     totals do not depend on the order rows reach an aggregate, and a LONG
     sum buffer stays on the fast primitive path (a DECIMAL sum buffer wider
     than 18 digits falls back to BigDecimal arithmetic per row). Amounts
-    with more than two decimals are rounded to the cent.
+    with more than two decimals are rounded to the cent (``sub_cent`` counts
+    them); what ``normalize_amount`` would reject counts as 0.
     """
-    return F.rint(_c(c).cast("double") * 100).cast("long")
+    v = _c(c).cast("double")
+    return F.when(F.abs(v) >= AMOUNT_LIMIT, F.lit(0.0)).otherwise(F.rint(v * 100)).cast("long")
 
 
 def from_cents(c: Column | str) -> Column:

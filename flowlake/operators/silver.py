@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import registry as R
@@ -112,23 +112,43 @@ def clean(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                      *[clean_column(c) for c in df.columns if c not in keep])
 
 
+def rejections(df: DataFrame) -> list[F.Column]:
+    """Counters over raw canonical columns: values the cleaning rules cannot
+    read (``bad_*``) and amounts with digits below the cent."""
+    out = []
+    for c in df.columns:
+        if c in R.DATE_COLUMNS:
+            out.append(F.count_if(rules.rejected_date(c)).alias(f"bad_{c}"))
+        elif c in R.AMOUNT_COLUMNS:
+            out += [F.count_if(rules.rejected_amount(c)).alias(f"bad_{c}"),
+                    F.count_if(rules.sub_cent(c)).alias(f"sub_cent_{c}")]
+    return out
+
+
+def _counted(df: DataFrame, obs: Observation | None) -> DataFrame:
+    metrics = rejections(df) if obs is not None else []
+    return df.observe(obs, F.count(F.lit(1)).alias("candidate_rows"), *metrics) if obs is not None else df
+
+
 def dedup(df: DataFrame) -> DataFrame:
     """DISTINCT over the whole row."""
     return df.dropDuplicates()
 
 
-def silver_from_sources(dataset: str, bulk_raw: DataFrame | None, api_raw: DataFrame | None) -> DataFrame | None:
-    """Align, unify, filter, clean and dedup already-read sources."""
+def silver_from_sources(dataset: str, bulk_raw: DataFrame | None, api_raw: DataFrame | None,
+                        obs: Observation | None = None) -> DataFrame | None:
+    """Align, unify, filter, clean and dedup already-read sources; ``obs``
+    collects the rejection counters during the job."""
     bulk = project_bulk(bulk_raw, dataset) if bulk_raw is not None else None
     api = project_api(api_raw, dataset) if api_raw is not None else None
     unified = unify(bulk, api)
     if unified is None:
         return None
-    return dedup(clean(filter_codes(unified, dataset)))
+    return dedup(clean(_counted(filter_codes(unified, dataset), obs)))
 
 
 def read_bulk(spark: SparkSession, path: str | None, layout: str | list[str] | None,
-              flag_corrupt: bool = False) -> DataFrame | None:
+              flag_corrupt: bool = True) -> DataFrame | None:
     if not path or layout is None:
         return None
     if path_exists(spark, path) is False:
@@ -168,6 +188,7 @@ def build_split_silver(
     bulk_raw: DataFrame | None,
     api_raw: Mapping[str, DataFrame | None],
     datasets: tuple[str, ...] = ("committee_contributions_to_candidates", "independent_expenditures"),
+    obs: Observation | None = None,
 ) -> DataFrame:
     """Several datasets cut from one bulk source by transaction code, built
     with one scan of the bulk file and one distinct.
@@ -202,7 +223,7 @@ def build_split_silver(
     if not parts:
         raise ValueError("no source for the split datasets")
     unified = reduce(lambda a, b: a.unionByName(b), parts).where(F.col(DATASET_COLUMN).isNotNull())
-    return dedup(clean(unified, keep=(DATASET_COLUMN,)))
+    return dedup(clean(_counted(unified, obs), keep=(DATASET_COLUMN,)))
 
 
 def layer_counts(bulk_raw: DataFrame | None, api_raw: DataFrame | None, silver: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lookups as L
 from ..functions import rules
+from ..plans.joins import sized_broadcast
 
 Selection = str | DataFrame | None
 
@@ -29,7 +30,7 @@ def _select(df: DataFrame, column: str, value: Selection) -> DataFrame:
         return df
     if isinstance(value, DataFrame):
         (sel_col,) = value.columns
-        return df.join(F.broadcast(value.select(F.col(sel_col).alias(column))), column)
+        return df.join(sized_broadcast(value.select(F.col(sel_col).alias(column))), column)
     return df.where(F.col(column) == F.lit(value))
 
 
@@ -45,6 +46,8 @@ def view_filter(df: DataFrame, cycle: Selection = None, office: Selection = None
 
 
 def cycle_list(df: DataFrame) -> DataFrame:
+    """Sorted cycles of a gold table, or of its small cycles table
+    (``tables.load_cycles``), which spares the scan of the table itself."""
     return df.select("election_cycle").distinct().orderBy("election_cycle")
 
 
@@ -100,9 +103,10 @@ def _with_share(df: DataFrame, value: str, share: str = "share") -> DataFrame:
     """``value / total`` over an un-partitioned window. Private on purpose:
     it is applied only to results bounded by a fixed number of categories
     (the four flow labels, the two donor types), so the single window
-    partition holds at most four rows whatever the data size."""
+    partition holds at most four rows whatever the data size. The shares of
+    a zero total are NULL."""
     total = rules.from_cents(F.sum(rules.cents(value)).over(Window.partitionBy()))
-    return df.withColumn(share, F.col(value) / total)
+    return df.withColumn(share, F.try_divide(F.col(value), total))
 
 
 def flow_share(view: DataFrame) -> DataFrame:

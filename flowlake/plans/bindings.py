@@ -49,6 +49,9 @@ NULL = "CAST(NULL AS STRING)"
 PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
 SIGNED = f"CASE WHEN l_returnflag = 'R' THEN -{PRICE} ELSE {PRICE} END"
 AMOUNT = f"CAST({SIGNED} AS DOUBLE)"
+# an amount that no total can hold, on a few orders
+WILD_AMOUNT = (f"CASE WHEN l_orderkey % 1000 = 7 THEN CAST('inf' AS DOUBLE) "
+               f"WHEN l_orderkey % 1000 = 13 THEN CAST('1e30' AS DOUBLE) ELSE {AMOUNT} END")
 AMOUNT_TEXT = _s(SIGNED)
 ORDER_AMOUNT_TEXT = _s("CAST(o_totalprice AS DECIMAL(18,2))")
 TRANS_TYPE = ("CASE WHEN l_linenumber = 7 THEN '24Z' "
@@ -72,7 +75,8 @@ def _raw_date(x: str, d: str) -> str:
     """Date text in the forms the bulk files carry, plus malformed ones."""
     unpadded = f"{_s(f'year({x})')} || '-' || {_s(f'month({x})')} || '-' || {_s(f'day({x})')}"
     return (f"CASE l_linenumber % 3 WHEN 0 THEN {_iso(x, d)} WHEN 1 THEN {_mdy(x, d)} "
-            f"ELSE CASE l_orderkey % 4 WHEN 0 THEN 'junk' WHEN 1 THEN {unpadded} "
+            f"ELSE CASE l_orderkey % 6 WHEN 0 THEN 'junk' WHEN 1 THEN {unpadded} "
+            f"WHEN 3 THEN {_iso(x, d)} || 'T00:00:00' WHEN 4 THEN {_iso(x, d)} || ' 23:59:59.5+01:00' "
             f"WHEN 2 THEN ' ' || {_mdy(x, d)} ELSE '0230' || {_s(f'year({x})')} END END")
 
 
@@ -144,7 +148,7 @@ def _individual(d):
         ("contrib_zip", _s("10000 + c_custkey % 90000")),
         ("election_type", "CASE WHEN l_linenumber % 2 = 0 THEN 'P2026' ELSE 'G2026' END"),
         ("other_com_id", "''"),
-        ("trans_amt", AMOUNT),
+        ("trans_amt", WILD_AMOUNT),
         ("trans_date", _iso("l_shipdate", d)),
     ]
 
@@ -173,7 +177,8 @@ def _payment_text(d):
         ("l_linenumber", "l_linenumber"),
         ("raw_date", _raw_date("l_shipdate", d)),
         ("raw_amount", (f"CASE l_linenumber % 5 WHEN 0 THEN 'None' WHEN 1 THEN 'nan' WHEN 2 THEN '' "
-                        f"WHEN 3 THEN {NULL} ELSE {AMOUNT_TEXT} END")),
+                        f"WHEN 3 THEN {NULL} ELSE CASE l_orderkey % 9 WHEN 0 THEN 'inf' WHEN 1 THEN '1e30' "
+                        f"WHEN 2 THEN '1,000.00' WHEN 3 THEN '$5' ELSE {AMOUNT_TEXT} END END")),
         ("raw_id", f"'  ' || lower(s_name) || ' '"),
         ("raw_label", f"CASE WHEN s_suppkey % 3 = 0 THEN {NULL} ELSE ' ' || lower(s_name) END"),
     ]

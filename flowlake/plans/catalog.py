@@ -18,8 +18,10 @@ from .. import registry as R
 from ..functions import rules
 from ..operators import gold, silver, views
 from ..sources import delimited, snapshots, tables
+from ..sources.paths import fingerprint
 from . import bindings as B
 from . import oracle as O
+from . import pipeline
 from .scratch import new_scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,28 +72,30 @@ def _donor(spark, sf):
                                    gold.explode_cycles(s["candidate_master"]))
 
 
-_GOLD_ROOTS: dict[tuple[str, str], str] = {}
+_GOLD_ROOTS: dict[tuple[str, str, str], str] = {}
 
 
-def stored_gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Gold tables as the dashboard reads them: built once per session and
-    input, written as Parquet (network and geo partitioned by cycle) under
-    the shared scratch root, then read back. Writing them cuts the lineage
-    back to the raw tables, and the views scan the stored tables instead of
-    recomputing the joins (a selection such as "latest cycle" reads the
-    table twice; both are cheap scans with partition pruning)."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # sessions without a local SparkContext
-        app = str(id(spark))
-    key = (app, sf)
-    root = _GOLD_ROOTS.get(key)
-    if root is None:
+def stored_gold_root(spark: SparkSession, sf: str) -> str:
+    """Where the gold tables of an input are stored, as a dashboard reads
+    them: built once per application and state of the input files (names,
+    sizes, times), network and geo partitioned by cycle, under the shared
+    scratch root. Writing them cuts the lineage back to the raw tables."""
+    inputs = [f"{sf.rstrip('/')}/{t}.parquet" for t in ("supplier", "part", "orders", "customer", "lineitem")]
+    key = (spark.sparkContext.applicationId, sf, fingerprint(spark, *inputs))
+    if key not in _GOLD_ROOTS:
         root = new_scratch(spark, "gold")
         tables.write_gold(gold.build_gold(_in(spark, sf), shared_path=f"{root}/_shared"), root,
                           partition_by_cycle=True, max_parallel=3)
         _GOLD_ROOTS[key] = root
-    return tables.load_gold(spark, root)
+    return _GOLD_ROOTS[key]
+
+
+def stored_gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return tables.load_gold(spark, stored_gold_root(spark, sf))
+
+
+def _stored_cycles(spark, sf, name):
+    return tables.load_cycles(spark, stored_gold_root(spark, sf), name)
 
 
 def _stored_network(spark, sf):
@@ -108,8 +112,8 @@ def _stored_donor(spark, sf):
 
 def _net_view(spark, sf):
     """Network tab default: latest cycle, all candidates."""
-    net = _stored_network(spark, sf)
-    return views.view_filter(net, cycle=views.latest_cycle(net))
+    latest = views.latest_cycle(_stored_cycles(spark, sf, "network_metrics"))
+    return views.view_filter(_stored_network(spark, sf), cycle=latest)
 
 
 # ------------------------------------------------------------------ gold
@@ -132,14 +136,14 @@ def q_geo_summary(spark, sf):
 
 
 @query("indiv_rollup", O.with_ctes(
-    "SELECT cand_id, CAST(individual_funds AS DOUBLE) AS individual_funds FROM indiv_agg", "indiv_agg"))
+    "SELECT cand_id, CAST(c AS DOUBLE) / 100 AS individual_funds FROM raised", "raised"))
 def q_indiv_rollup(spark, sf):
     s = _in(spark, sf)
     return gold.indiv_rollup(s["individual_contributions"], s["committee_master"])
 
 
 @query("committee_rollup", O.with_ctes(
-    "SELECT cand_id, CAST(committee_funds AS DOUBLE) AS committee_funds FROM comm_agg", "comm_agg"))
+    "SELECT cand_id, CAST(c AS DOUBLE) / 100 AS committee_funds FROM given", "given"))
 def q_committee_rollup(spark, sf):
     return gold.committee_rollup(B.frame(spark, sf, "direct"))
 
@@ -150,9 +154,9 @@ def q_donor_type_summary(spark, sf):
 
 
 @query("floor_at_zero", O.with_ctes("""
-SELECT c.cand_id, CAST(i.individual_funds AS DOUBLE) AS individual_funds,
-       GREATEST(COALESCE(CAST(i.individual_funds AS DOUBLE), 0.0), 0.0) AS floored_funds
-FROM candidate c LEFT JOIN indiv_agg i ON c.cand_id = i.cand_id""", "candidate", "indiv_agg"))
+SELECT cand_id, CAST(c AS DOUBLE) / 100 AS individual_funds,
+       CASE WHEN c > 0 THEN CAST(c AS DOUBLE) / 100 ELSE 0.0 END AS floored_funds
+FROM candidate LEFT JOIN raised USING (cand_id)""", "candidate", "raised"))
 def q_floor_at_zero(spark, sf):
     s = _in(spark, sf)
     ind = gold.indiv_rollup(s["individual_contributions"], s["committee_master"])
@@ -193,8 +197,8 @@ def q_network_edges(spark, sf):
     return _network(spark, sf)
 
 
-O.CTE["having_ind"] = (O._edge_individual(SCALED_INDIVIDUAL_MIN), ["individual", "committee", "cand_cycles_all"])
-O.CTE["having_tr"] = (O._edge_transfer(SCALED_TRANSFER_MIN), ["transfers", "committee"])
+O.CTE["having_ind"] = (O._edge_individual(SCALED_INDIVIDUAL_MIN), ["individual", "register", "race"])
+O.CTE["having_tr"] = (O._edge_transfer(SCALED_TRANSFER_MIN), ["transfers", "register"])
 
 
 @query("having_threshold", O.with_ctes(
@@ -233,39 +237,30 @@ def q_filter_non_blank(spark, sf):
 # ------------------------------------------------------------------ scalar rules
 
 
-@query("normalize_date", O.with_ctes("""
-SELECT l_orderkey, l_linenumber, raw_date,
-       CASE WHEN raw_date LIKE '%-%' THEN strftime(try_strptime(trim(raw_date), '%Y-%m-%d'), '%Y-%m-%d')
-            WHEN length(regexp_replace(raw_date, '[^0-9]', '', 'g')) = 8
-            THEN strftime(try_strptime(trim(raw_date), '%m%d%Y'), '%Y-%m-%d')
-            ELSE NULL END AS trans_date
-FROM payment_text""", "payment_text"))
+def _rule(source: str, target: str, sql: str):
+    return O.with_ctes(f"SELECT l_orderkey, l_linenumber, {source}, {sql} AS {target} FROM payment_text",
+                       "payment_text")
+
+
+@query("normalize_date", _rule("raw_date", "trans_date", O.date_sql("raw_date")))
 def q_normalize_date(spark, sf):
     p = B.frame(spark, sf, "payment_text")
     return p.select("l_orderkey", "l_linenumber", "raw_date", rules.normalize_date("raw_date").alias("trans_date"))
 
 
-@query("normalize_amount", O.with_ctes("""
-SELECT l_orderkey, l_linenumber, raw_amount,
-       CASE WHEN isnan(TRY_CAST(raw_amount AS DOUBLE)) THEN 0.0
-            ELSE COALESCE(TRY_CAST(raw_amount AS DOUBLE), 0.0) END AS trans_amt
-FROM payment_text""", "payment_text"))
+@query("normalize_amount", _rule("raw_amount", "trans_amt", O.amount_sql("raw_amount")))
 def q_normalize_amount(spark, sf):
     p = B.frame(spark, sf, "payment_text")
     return p.select("l_orderkey", "l_linenumber", "raw_amount", rules.normalize_amount("raw_amount").alias("trans_amt"))
 
 
-@query("normalize_id", O.with_ctes("""
-SELECT l_orderkey, l_linenumber, raw_id, TRIM(UPPER(COALESCE(raw_id, ''))) AS com_id FROM payment_text""",
-                                   "payment_text"))
+@query("normalize_id", _rule("raw_id", "com_id", O.id_sql("raw_id")))
 def q_normalize_id(spark, sf):
     p = B.frame(spark, sf, "payment_text")
     return p.select("l_orderkey", "l_linenumber", "raw_id", rules.normalize_id("raw_id").alias("com_id"))
 
 
-@query("normalize_label", O.with_ctes("""
-SELECT l_orderkey, l_linenumber, raw_label, TRIM(UPPER(COALESCE(raw_label, 'NOT SPECIFIED'))) AS contrib_emp
-FROM payment_text""", "payment_text"))
+@query("normalize_label", _rule("raw_label", "contrib_emp", O.label_sql("raw_label")))
 def q_normalize_label(spark, sf):
     p = B.frame(spark, sf, "payment_text")
     return p.select("l_orderkey", "l_linenumber", "raw_label", rules.normalize_label("raw_label").alias("contrib_emp"))
@@ -276,13 +271,13 @@ def q_normalize_label(spark, sf):
 
 @query("view_cycle_list", O.with_ctes("SELECT DISTINCT election_cycle FROM network", "network"))
 def q_view_cycle_list(spark, sf):
-    return views.cycle_list(_stored_network(spark, sf))
+    return views.cycle_list(_stored_cycles(spark, sf, "network_metrics"))
 
 
 @query("view_default_cycle", O.with_ctes(
     "SELECT max(election_cycle) AS election_cycle FROM network", "network"))
 def q_view_default_cycle(spark, sf):
-    return views.latest_cycle(_stored_network(spark, sf))
+    return views.latest_cycle(_stored_cycles(spark, sf, "network_metrics"))
 
 
 @query("view_filter", O.with_ctes("""
@@ -337,12 +332,45 @@ def q_view_flow_composition(spark, sf):
 
 
 @query("view_flow_share", O.with_ctes("""
-SELECT *, weight / CAST(SUM(CAST(weight AS DECIMAL(38,2))) OVER () AS DOUBLE) AS share FROM flow_comp""",
+SELECT *, weight / nullif(CAST(SUM(CAST(weight AS DECIMAL(38,2))) OVER () AS DOUBLE), 0) AS share FROM flow_comp""",
                                       "flow_comp"))
 def q_view_flow_share(spark, sf):
     return views.flow_share(_net_view(spark, sf))
 
 
+@query("view_flow_share_zero_total", O.with_ctes("""
+SELECT transaction_flow, 0.0::DOUBLE AS weight, transaction_count, NULL::DOUBLE AS share FROM flow_comp""", "flow_comp"))
+def q_view_flow_share_zero_total(spark, sf):
+    """Flows whose weights net to zero have no shares."""
+    return views.flow_share(_net_view(spark, sf).withColumn("weight", F.lit(0.0)))
+
+
+@query("view_empty_selection", """
+SELECT 'network_metrics' AS view, 1 AS n_rows, 0.0::DOUBLE AS total_flow, 0 AS edge_count, 0.0::DOUBLE AS mean_weight
+UNION ALL SELECT v, 0, NULL, NULL, NULL FROM (VALUES ('flow_share'), ('top_edges'), ('candidate_list'),
+                                              ('donor_mix'), ('state_map'), ('candidate_states')) t(v)""")
+def q_view_empty_selection(spark, sf):
+    """Every view of a cycle that no table holds: zero metrics, no rows."""
+    g = stored_gold(spark, sf)
+    net = views.view_filter(g["network_metrics"], cycle="1900")
+    geo, donor = g["geo_summary"], g["donor_type_summary"]
+    listed = {
+        "flow_share": views.flow_share(net), "top_edges": views.top_edges(net),
+        "candidate_list": views.candidate_list(net),
+        "donor_mix": views.donor_mix(donor, candidate="NOBODY", cycle="1900"),
+        "state_map": views.state_map(geo, cycle="1900", office="P"),
+        "candidate_states": views.candidate_states(geo, candidate="NOBODY", cycle="1900"),
+    }
+    none = F.lit(None)
+    out = views.network_metrics(net).select(F.lit("network_metrics").alias("view"), F.lit(1).alias("n_rows"),
+                                            "total_flow", F.col("edge_count").cast("int"), "mean_weight")
+    for name, df in listed.items():
+        out = out.unionAll(df.agg(F.count(F.lit(1)).cast("int").alias("n_rows")).select(
+            F.lit(name).alias("view"), "n_rows", none.cast("double").alias("total_flow"),
+            none.cast("int").alias("edge_count"), none.cast("double").alias("mean_weight")))
+    return out
+
+
 @query("view_top_edges", O.with_ctes("SELECT * FROM top_edges", "top_edges"))
 def q_view_top_edges(spark, sf):
     return views.top_edges(_net_view(spark, sf))
@@ -376,7 +404,7 @@ def q_view_office_label(spark, sf):
 def _tab2(spark, sf):
     """Donor tab defaults: latest donor cycle, office P, first candidate."""
     geo, donor = _stored_geo(spark, sf), _stored_donor(spark, sf)
-    cyc = views.latest_cycle(donor)
+    cyc = views.latest_cycle(_stored_cycles(spark, sf, "donor_type_summary"))
     cand = views.first_candidate(views.view_filter(geo, cycle=cyc, office="P"))
     return geo, donor, cyc, cand
 
@@ -393,7 +421,7 @@ FROM t2_first""", ["t2_first"])
 
 
 @query("view_donor_mix", O.with_ctes("""
-SELECT *, amount / CAST(SUM(CAST(amount AS DECIMAL(38,2))) OVER () AS DOUBLE) AS share FROM t2_mix""", "t2_mix"))
+SELECT *, amount / nullif(CAST(SUM(CAST(amount AS DECIMAL(38,2))) OVER () AS DOUBLE), 0) AS share FROM t2_mix""", "t2_mix"))
 def q_view_donor_mix(spark, sf):
     _, donor, cyc, cand = _tab2(spark, sf)
     return views.donor_mix(donor, candidate=cand, cycle=cyc)
@@ -409,7 +437,8 @@ def q_view_candidate_states(spark, sf):
 
 def _tab3_map(spark, sf):
     geo = _stored_geo(spark, sf)
-    return views.state_map(geo, cycle=views.latest_cycle(geo), office="P")
+    latest = views.latest_cycle(_stored_cycles(spark, sf, "geo_summary"))
+    return views.state_map(geo, cycle=latest, office="P")
 
 
 @query("view_state_map", O.with_ctes("SELECT * FROM t3_map", "t3_map"))
@@ -448,7 +477,7 @@ def q_scan_snapshots(spark, sf):
     api = B.frame(spark, sf, "raw_cm_api")
     snapshots.write_snapshot(api, root, "api_raw_committees", "20260101_000000")
     drift = api.drop("cycles", "committee_type_full").withColumn("filing_frequency", F.lit("Q"))
-    snapshots.write_snapshot(drift, root, "api_raw_committees", "20260102_000000")
+    snapshots.write_snapshot(drift, f"{root}/2026-01/02", "api_raw_committees", "20260102_000000")
     # another dataset's snapshot in the same landing folder must be ignored
     snapshots.write_snapshot(B.frame(spark, sf, "raw_itcont_api"), root, "api_raw_individual_contribs",
                              "20260101_000000")
@@ -469,7 +498,7 @@ def _json_source(spark, sf):
     )
 
 
-@query("land_json", """
+_LANDED_JSON = """
 SELECT '["H' || CAST(s_nationkey AS VARCHAR) || '"]' AS candidate_ids,
        'C' || CAST(s_suppkey AS VARCHAR) AS committee_id,
        '["2024","2026"]' AS cycles,
@@ -477,13 +506,21 @@ SELECT '["H' || CAST(s_nationkey AS VARCHAR) || '"]' AS candidate_ids,
        s_name AS name,
        CASE s_nationkey % 3 WHEN 0 THEN 'DEM' WHEN 1 THEN 'REP' END AS party,
        '{"name":"' || s_name || '","zip":"' || CAST(10000 + s_suppkey % 90000 AS VARCHAR) || '"}' AS treasurer
-FROM supplier""")
+FROM supplier"""
+
+
+@query("land_json", f"SELECT *, (SELECT count(*) FROM supplier WHERE s_suppkey % 10 = 3) AS malformed FROM ({_LANDED_JSON})")
 def q_land_json(spark, sf):
+    """Records with a truncated line for every tenth supplier, which is kept out and counted."""
     root = new_scratch(spark, "land_json")
-    _json_source(spark, sf).write.json(f"{root}/incoming.json")
+    good = _json_source(spark, sf)
+    good.write.json(f"{root}/incoming.json")
+    good.where("substr(committee_id, 2) % 10 = 3").select(
+        F.concat(F.lit('{"committee_id": "C'), F.substring("committee_id", 2, 20)).alias("value")
+    ).write.mode("append").text(f"{root}/incoming.json")
     out = snapshots.land_json(spark, f"{root}/incoming.json", f"{root}/landing", "api_raw_committees",
                               ts="20260101_000000")
-    return spark.read.parquet(out)
+    return spark.read.parquet(out.path).withColumn("malformed", F.lit(out.malformed).cast("long"))
 
 
 def _bulk_committees(spark, sf):
@@ -609,8 +646,44 @@ def q_silver_split_codes(spark, sf):
     api = {d: snapshots.read_snapshots(spark, f"{root}/landing", p)
            for d, _, p in R.SILVER_TASKS if d in _SPLIT}
     out = silver.build_split_silver(bulk, api, _SPLIT)
-    tables.write_split_silver(out, root)
-    return tables.load_split_silver(spark, root)
+    tables.write_split_silver(out, root, _SPLIT)
+    return tables.load_split_silver(spark, root, _SPLIT)
+
+
+@query("scan_header_layout", O.with_ctes(
+    "SELECT " + ", ".join(f"NULLIF(\"{c}\", '') AS \"{c}\"" for c in _CM_COLS) + " FROM raw_cm", "raw_cm"))
+def q_scan_header_layout(spark, sf):
+    """The layout of a bulk file read from a header-only CSV file."""
+    root = new_scratch(spark, "scan_header_layout")
+    spark.createDataFrame([(",".join(_CM_COLS),)], "value string").coalesce(1).write.text(f"{root}/header.csv")
+    delimited.write_delimited(B.frame(spark, sf, "raw_cm"), f"{root}/cm.txt")
+    layouts = delimited.layouts_from_headers(spark, {"cm.txt": f"{root}/header.csv"})
+    return delimited.read_delimited(spark, f"{root}/cm.txt", layouts["cm.txt"])
+
+
+def _silver_job(dataset: str, bulk: str, api: str | None = None):
+    """The file job of one dataset: bulk text and a snapshot to its silver table."""
+    _, bulk_file, prefix = next(t for t in R.SILVER_TASKS if t[0] == dataset)
+    unified = "SELECT " + O.mapped_select(dataset, "bulk", B.columns(bulk), text_roundtrip=True) + f" FROM {bulk}"
+    if api:
+        unified += " UNION ALL SELECT " + O.mapped_select(dataset, "api", B.columns(api), missing_tokens=True)
+        unified += f" FROM {api}"
+
+    @query(f"silver_job_{dataset}", O.with_ctes(f"SELECT DISTINCT {O.clean_select(dataset)} FROM ({unified}) u",
+                                                bulk, *([api] if api else [])))
+    def job(spark, sf):
+        root = new_scratch(spark, f"silver_job_{dataset}")
+        delimited.write_delimited(B.frame(spark, sf, bulk), f"{root}/bronze/{bulk_file}")
+        if api:
+            snapshots.write_snapshot(B.frame(spark, sf, api), f"{root}/landing", prefix, "20260101_000000")
+        pipeline.run_silver(spark, f"{root}/bronze", f"{root}/landing" if api else None, root,
+                            tasks=[(dataset, bulk_file, prefix)])
+        return tables.load_silver(spark, root, [dataset])[dataset]
+
+
+_silver_job("committee_master", "raw_cm", "raw_cm_api")
+_silver_job("candidate_master", "raw_cn")
+_silver_job("inter_committee_transactions", "raw_itoth")
 
 
 @query("sink_roundtrip", O.with_ctes("SELECT * FROM network", "network"))

@@ -1,9 +1,11 @@
 """Size-checked broadcast.
 
-A dimension is broadcast only when the optimizer's size estimate for it is
-within a byte limit. Beyond the limit the side is left to the planner
-(shuffled sort-merge join); with adaptive execution on, Spark can still turn
-that join into a broadcast at run time once the real shuffle size is known.
+A dimension is broadcast only when the optimizer's size estimate for it,
+allowing for decompression, is within a byte limit, and its plan explodes no
+lists (the estimate ignores the fan-out). Otherwise the side is left to the
+planner (shuffled sort-merge join); with adaptive execution on, Spark can
+still turn that join into a broadcast at run time once the real shuffle size
+is known.
 Nothing whose size grows with the facts is broadcast without this check.
 """
 
@@ -15,6 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_LIMIT = 64 * 1024 * 1024
+
+#: Rows in memory against the bytes of compressed Parquet that the estimate
+#: starts from.
+DECOMPRESSION = 4
 LIMIT_CONF = "flowlake.broadcast.maxBytes"
 
 _UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
@@ -45,9 +51,20 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def multiplies_rows(df: DataFrame) -> bool:
+    """Whether the plan explodes lists: the estimate does not know by how
+    much, so it proves no bound."""
+    try:
+        return re.search(r"\bGenerate\b", df._jdf.queryExecution().optimizedPlan().toString()) is not None
+    except Exception:
+        return True
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    if multiplies_rows(df):
+        return False
     size = estimated_bytes(df)
-    return size is not None and size <= (limit if limit is not None else broadcast_limit(df))
+    return size is not None and size * DECOMPRESSION <= (limit if limit is not None else broadcast_limit(df))
 
 
 def sized_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:

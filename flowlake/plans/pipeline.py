@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from .. import registry as R
 from ..operators import gold, silver
+from ..session import sized_for
 from ..sources import snapshots, tables
+from ..sources.paths import delete_path, size_of
 
 log = logging.getLogger(__name__)
 
@@ -82,16 +84,17 @@ def _build_group(spark: SparkSession, bulk_file: str, group, bronze_root, landin
     if bulk is None and all(v is None for v in api.values()):
         log.warning("no source for %s; skipped", [d for d, _ in group])
         return {}
+    rejected = Observation()
     if len(group) == 1:
         dataset = group[0][0]
-        out = silver.silver_from_sources(dataset, bulk, api[dataset])
+        out = silver.silver_from_sources(dataset, bulk, api[dataset], rejected)
         written = tables.write_silver(out, out_root, dataset, observe=True)
-        return {dataset: {**_metrics(bulk_obs, api_obs[dataset]), **(written or {})}}
-    split = silver.build_split_silver(bulk, api, tuple(d for d, _ in group))
-    split, split_obs = _observe_rows(split, "rows")
-    tables.write_split_silver(split, out_root)
-    shared = _metrics(bulk_obs, split_obs)
-    return {d: {**shared, **_metrics(api_obs[d])} for d, _ in group}
+        return {dataset: {**_metrics(bulk_obs, api_obs[dataset], rejected), **(written or {})}}
+    datasets = tuple(d for d, _ in group)
+    split = silver.build_split_silver(bulk, api, datasets, rejected)
+    rows = tables.write_split_silver(split, out_root, datasets)
+    shared = _metrics(bulk_obs, rejected)
+    return {d: {**shared, **_metrics(api_obs[d]), "rows": rows[d]} for d in datasets}
 
 
 def run_silver(spark: SparkSession, bronze_root: str | None, landing_root: str | None, out_root: str,
@@ -99,33 +102,44 @@ def run_silver(spark: SparkSession, bronze_root: str | None, landing_root: str |
                max_parallel: int = 4) -> dict[str, dict | None]:
     """Build and write all silver tables. Returns per-dataset metrics
     observed during the write job itself: ``bulk_rows`` and
-    ``malformed_rows`` of the bulk scan, ``api_rows`` of the snapshots and
-    ``rows`` written (for a split source, rows of all its datasets). A
-    dataset with no source at all is skipped.
+    ``malformed_rows`` of the bulk scan, ``api_rows`` of the snapshots,
+    ``bad_*`` and ``sub_cent_*`` values met by the cleaning rules (for a
+    split source, over all its datasets) and ``rows`` written. A dataset with
+    no source at all is skipped.
 
     The datasets are independent jobs; up to ``max_parallel`` of them are
     submitted at once (Spark runs concurrent jobs side by side), so the
-    cluster is not idle during the tail of each small job."""
+    cluster is not idle during the tail of each small job. Shuffles are sized
+    for the input."""
     layouts = {**R.BULK_LAYOUTS, **(layouts or {})}
     groups = list(_tasks_by_file(tasks).items())
-    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(groups)))) as pool:
+    inputs = [f"{bronze_root.rstrip('/')}/{f}" for f, _ in groups] if bronze_root else []
+    size = size_of(spark, *inputs, *([landing_root] if landing_root else []))
+    done: dict[str, dict | None] = {}
+    with sized_for(spark, size), ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(groups)))) as pool:
         futures = [pool.submit(_build_group, spark, f, g, bronze_root, landing_root, out_root, layouts)
                    for f, g in groups]
-        done: dict[str, dict | None] = {}
         for fut in futures:
             done.update(fut.result())
     return done
 
 
 def run_gold(spark: SparkSession, root: str, partition_by_cycle: bool = True, max_parallel: int = 3,
-             **edge_params) -> None:
+             **edge_params) -> dict[str, int]:
     """Read the six silver tables and write the three gold tables (as
-    concurrent jobs)."""
+    concurrent jobs), with shuffles sized for the silver tables. Returns the
+    number of cycle list elements that were no number."""
     shared = tables.table_path(root, "gold", "_shared_committee_state")
-    tables.write_gold(gold.build_gold(tables.load_silver(spark, root), shared_path=shared, **edge_params),
-                      root, partition_by_cycle=partition_by_cycle, max_parallel=max_parallel)
-
-
-def run_all(spark: SparkSession, bronze_root: str | None, landing_root: str | None, root: str) -> None:
-    run_silver(spark, bronze_root, landing_root, root)
-    run_gold(spark, root)
+    silver_in = tables.load_silver(spark, root)
+    size = size_of(spark, *(tables.table_path(root, "silver", d) for d in silver_in))
+    with sized_for(spark, size):
+        built = gold.build_gold(silver_in, shared_path=shared, **edge_params)
+        tables.write_gold(built, root, partition_by_cycle=partition_by_cycle, max_parallel=max_parallel)
+        bad = silver_in["candidate_master"].agg(F.sum(gold.rejected_cycles()).alias("n")).first().n
+    delete_path(spark, shared)
+    return {"bad_cycles": bad or 0}
+
+
+def run_all(spark: SparkSession, bronze_root: str | None, landing_root: str | None, root: str) -> dict:
+    metrics = run_silver(spark, bronze_root, landing_root, root)
+    return {**metrics, "gold": run_gold(spark, root)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -18,22 +20,30 @@ DEFAULTS = {
 }
 
 
-def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 400_000) -> dict:
-    """Shuffle and split sizing for a run over ``input_bytes`` of input.
-
-    Start with about one shuffle partition per ``partition_bytes`` of input
-    (AQE then coalesces small ones toward the same advisory size, and splits
-    skewed ones), and read files in splits of the same size, so each task's
-    working set stays well inside executor memory and spills stay rare.
-    """
-    n = int(min(max_partitions, max(200, input_bytes // partition_bytes)))
-    return {
-        "spark.sql.shuffle.partitions": str(n),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-    }
+PARTITION_BYTES = 256 << 20
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = PARTITION_BYTES, least: int = 200) -> dict:
+    """Shuffle sizing for a job over ``input_bytes`` of input: one partition
+    per ``partition_bytes`` of it, ``least`` at least. Adaptive execution
+    then coalesces small partitions and splits skewed ones, so each task's
+    working set stays well inside executor memory."""
+    return {"spark.sql.shuffle.partitions": str(int(max(least, -(-input_bytes // partition_bytes))))}
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int):
+    """Run a job with shuffles sized for its input; the session's own number
+    of partitions is the least, and is set back afterwards."""
+    old = {k: spark.conf.get(k) for k in scale_conf(0)}
+    least = int(old["spark.sql.shuffle.partitions"])
+    for k, v in scale_conf(input_bytes, least=least).items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def get_session(master: str | None = None, app: str = "flowlake", conf: dict | None = None) -> SparkSession:

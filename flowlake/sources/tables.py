@@ -2,18 +2,24 @@
 
 Tables are written as Parquet datasets (many part files, one per task), not
 as a single file: funnelling a large table through one writer task would
-serialise the whole write. Gold tables that the views filter by cycle can be
-partitioned on ``election_cycle`` so a drill-down reads one folder.
+serialise the whole write. Every silver dataset has one home,
+``silver/dataset=<name>``, whether it was written alone or cut from a shared
+source. Gold tables that the views filter by cycle can be partitioned on
+``election_cycle`` so a drill-down reads one folder; rows are clustered by
+the partition column before such a write (adaptive execution splits a large
+value over several tasks), so the number of files follows the data, not
+tasks x values. The cycles of each gold table are kept in a small table, so
+a list of cycles scans no gold table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..registry import DATASET_CODES, GOLD_INPUTS
+from ..registry import GOLD_INPUTS
 
 GOLD_TABLES = ("geo_summary", "donor_type_summary", "network_metrics")
 GOLD_SCHEMAS = {
@@ -25,17 +31,21 @@ GOLD_SCHEMAS = {
                        "transaction_flow string, election_cycle string, weight double, "
                        "transaction_count bigint",
 }
-SPLIT_FOLDER = "by_code"
+CYCLES = "cycles"
 
 
 def table_path(root: str, layer: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{layer}/{name}"
+    folder = f"dataset={name}" if layer == "silver" else name
+    return f"{root.rstrip('/')}/{layer}/{folder}"
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                observe: bool = False) -> dict | None:
+                observe: bool = False, mode: str | None = None) -> dict | None:
     """Overwrite a Parquet table (Snappy). With ``observe`` the row count is
-    collected as a metric of the write itself, not by a second scan."""
+    collected as a metric of the write itself, not by a second scan; ``mode``
+    is the partition overwrite mode."""
+    if partition_by:
+        df = df.hint("rebalance", *(F.col(c) for c in partition_by))
     obs = None
     if observe:
         obs = Observation("rows_written")
@@ -43,6 +53,8 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w = df.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if mode:
+        w = w.option("partitionOverwriteMode", mode)
     w.parquet(path)
     return obs.get if obs is not None else None
 
@@ -51,26 +63,29 @@ def write_silver(df: DataFrame, root: str, dataset: str, observe: bool = False):
     return write_table(df, table_path(root, "silver", dataset), observe=observe)
 
 
-def write_split_silver(df: DataFrame, root: str) -> None:
-    """Datasets cut from one source (``dataset`` column) in one write, one
-    folder per dataset."""
-    (df.write.mode("overwrite").option("compression", "snappy")
-     .partitionBy("dataset").parquet(table_path(root, "silver", SPLIT_FOLDER)))
+def write_split_silver(df: DataFrame, root: str, datasets: Iterable[str]) -> dict[str, int]:
+    """Datasets cut from one source (``dataset`` column) in one write, each
+    into its own home. Returns the rows written per dataset; a dataset
+    without rows becomes an empty table instead of keeping its old rows."""
+    datasets = list(datasets)
+    obs = Observation("rows_by_dataset")
+    counts = [F.count(F.when(F.col("dataset") == d, 1)).alias(d) for d in datasets]
+    write_table(df.observe(obs, *counts), f"{root.rstrip('/')}/silver", partition_by=["dataset"], mode="dynamic")
+    rows = {d: obs.get[d] for d in datasets}
+    for d, n in rows.items():
+        if not n:
+            write_silver(df.drop("dataset").limit(0), root, d)
+    return rows
 
 
-def load_split_silver(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, "silver", SPLIT_FOLDER))
+def load_split_silver(spark: SparkSession, root: str, datasets: Iterable[str]) -> DataFrame:
+    """Several datasets of equal columns with their ``dataset`` label."""
+    paths = [table_path(root, "silver", d) for d in datasets]
+    return spark.read.option("basePath", f"{root.rstrip('/')}/silver").parquet(*paths)
 
 
 def _read_silver(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """A dataset's own folder, or its partition of the code-split table
-    (tried first for the datasets cut by transaction code)."""
-    own = table_path(root, "silver", dataset)
-    split = f"{table_path(root, 'silver', SPLIT_FOLDER)}/dataset={dataset}"
-    from .paths import path_exists
-
-    first, second = (split, own) if dataset in DATASET_CODES else (own, split)
-    return spark.read.parquet(second if path_exists(spark, first) is False else first)
+    return spark.read.parquet(table_path(root, "silver", dataset))
 
 
 def load_silver(spark: SparkSession, root: str, datasets=GOLD_INPUTS) -> dict[str, DataFrame]:
@@ -78,6 +93,15 @@ def load_silver(spark: SparkSession, root: str, datasets=GOLD_INPUTS) -> dict[st
     return {d: _read_silver(spark, root, d) for d in datasets}
 
 
+def cycles_path(root: str, name: str) -> str:
+    return table_path(root, "gold", f"{CYCLES}/table={name}")
+
+
+def load_cycles(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The distinct cycles of a gold table, written with it."""
+    return spark.read.schema("election_cycle string").parquet(cycles_path(root, name))
+
+
 def write_gold(tables: Mapping[str, DataFrame], root: str, partition_by_cycle: bool = False,
                max_parallel: int = 1) -> None:
     """Write the gold tables; with ``max_parallel`` > 1 as concurrent jobs."""
@@ -90,7 +114,11 @@ def write_gold(tables: Mapping[str, DataFrame], root: str, partition_by_cycle: b
         except Exception:
             pass
         part = ["election_cycle"] if partition_by_cycle and "election_cycle" in df.columns else None
-        write_table(df, table_path(root, "gold", name), partition_by=part)
+        path = table_path(root, "gold", name)
+        write_table(df, path, partition_by=part)
+        if "election_cycle" in df.columns:
+            stored = df.sparkSession.read.schema(df.schema).parquet(path)
+            write_table(stored.select("election_cycle").distinct(), cycles_path(root, name))
 
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(tables)))) as pool:
         list(pool.map(one, tables.items()))

@@ -1 +1,2 @@
-from .landing import api_schema, ingest_increments, merge_new_rows, snapshot_stream  # noqa: F401
+from .landing import (api_schema, compact_increments, ingest_increments, read_with_increments,  # noqa: F401
+                      snapshot_stream)

@@ -1,32 +1,35 @@
 """Incremental pick-up of newly landed API snapshots.
 
 The batch silver job re-reads every snapshot on each run. For a landing
-folder that keeps growing, this module runs the same mapping/cleaning on
+folder that keeps growing, this module runs the same mapping and cleaning on
 *new* snapshot files only: a Structured Streaming file source over the
-snapshot glob, triggered with ``availableNow`` (process what has landed,
-then stop), with its progress in a checkpoint folder, so every file is
-processed exactly once even across failures and restarts.
-
-Each micro-batch is projected, code-filtered, cleaned and de-duplicated,
-then merged into the silver table: rows already present are removed with a
-null-safe anti-join before the append. The merge is idempotent, so a batch
-replayed after a failure appends nothing twice. The result equals the batch
-job's DISTINCT over bulk + all snapshots.
+landing folder, triggered with ``availableNow`` (process what has landed,
+then stop), with its progress in a checkpoint folder.
+
+A micro-batch is projected, code-filtered, cleaned and de-duplicated and
+written to a folder of its own, ``increments/dataset=<name>/batch=<id>``;
+its cost follows the batch, not the silver table. A batch replayed after a
+failure overwrites its folder, so nothing is appended twice.
+``compact_increments`` merges all increments into the silver table when the
+operator schedules it: one DISTINCT over both, the same plan as the batch
+job's.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import registry as R
 from ..operators import silver
-from ..plans.joins import sized_broadcast
-from ..sources.paths import path_exists
-from ..sources.snapshots import snapshot_glob
+from ..plans.scratch import new_scratch
+from ..sources import tables
+from ..sources.paths import delete_path, path_exists
+from ..sources.snapshots import REJECTED
 
 
 def api_schema(dataset: str) -> StructType:
@@ -37,55 +40,57 @@ def api_schema(dataset: str) -> StructType:
 
 def snapshot_stream(spark: SparkSession, landing_root: str, prefix: str, dataset: str,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(api_schema(dataset))
+    """Files at any depth whose own or folder's name contains ``prefix``."""
+    reader = spark.readStream.schema(api_schema(dataset)).option("recursiveFileLookup", True)
+    reader = reader.option("pathGlobFilter", "*.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(snapshot_glob(landing_root, prefix))
+    name = F.col("_metadata.file_path")
+    named = name.rlike(f"/[^/]*{re.escape(prefix)}[^/]*(/[^/]*)?$") & ~name.contains(f"/{REJECTED}/")
+    return reader.parquet(landing_root).where(named)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    found = path_exists(spark, path)
-    if found is not None:
-        return found
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:
-        return False
+def increments_path(root: str, dataset: str) -> str:
+    return f"{root.rstrip('/')}/increments/dataset={dataset}"
 
 
-def merge_new_rows(spark: SparkSession, rows: DataFrame, silver_path: str) -> None:
-    """Append the rows of ``rows`` (already clean and distinct) that the
-    silver table does not hold yet."""
-    if not _exists(spark, silver_path):
-        rows.write.mode("append").parquet(silver_path)
-        return
-    existing = spark.read.parquet(silver_path).select(*rows.columns)
-    small = sized_broadcast(rows)
-
-    def same(a: DataFrame, b: DataFrame):
-        return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in rows.columns])
-
-    present = existing.join(small, same(existing, small), "left_semi")
-    new = rows.join(present, same(rows, present), "left_anti")
-    new.write.mode("append").parquet(silver_path)
-
-
-def ingest_increments(spark: SparkSession, landing_root: str, dataset: str, silver_path: str,
+def ingest_increments(spark: SparkSession, landing_root: str, dataset: str, root: str,
                       checkpoint: str, prefix: str | None = None,
                       max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start an ``availableNow`` stream that merges new snapshots of
-    ``dataset`` into ``silver_path``. Call ``awaitTermination()`` on the
-    result to wait for it."""
+    """Start an ``availableNow`` stream that writes the new snapshot rows of
+    ``dataset`` as increments under ``root``. Call ``awaitTermination()`` on
+    the result to wait for it."""
     if prefix is None:
         prefix = {d: p for d, _, p in R.SILVER_TASKS}[dataset]
     stream = snapshot_stream(spark, landing_root, prefix, dataset, max_files_per_trigger)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         rows = silver.dedup(silver.clean(silver.filter_codes(silver.project_api(batch, dataset), dataset)))
-        merge_new_rows(batch.sparkSession, rows, silver_path)
+        tables.write_table(rows, f"{increments_path(root, dataset)}/batch={batch_id}")
 
     return (stream.writeStream.foreachBatch(on_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
+
+
+def read_with_increments(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """The silver rows of ``dataset`` with all increments, distinct."""
+    targets = R.target_columns(dataset)
+    parts = [p for p in (tables.table_path(root, "silver", dataset), increments_path(root, dataset))
+             if path_exists(spark, p) is not False]
+    frames = [spark.read.option("recursiveFileLookup", True).parquet(p).select(*targets) for p in parts]
+    return silver.dedup(frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1]))
+
+
+def compact_increments(spark: SparkSession, root: str, dataset: str) -> int:
+    """Merge the increments into the silver table; returns its rows. The
+    merged table is written aside first, so a failure leaves the old state,
+    and the increments are removed last."""
+    aside = new_scratch(spark, f"compact-{dataset}")
+    tables.write_table(read_with_increments(spark, root, dataset), aside)
+    merged = spark.read.parquet(aside)
+    rows = tables.write_silver(merged, root, dataset, observe=True)["rows"]
+    delete_path(spark, increments_path(root, dataset))
+    delete_path(spark, aside)
+    return rows

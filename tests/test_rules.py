@@ -15,7 +15,7 @@ def test_normalize_date(spark):
             "01/02/2026", "2026-03-31T00:00:00", "junk", "", None]
     assert _apply(spark, vals, rules.normalize_date) == [
         "2026-03-31", "2026-03-31", "2026-03-31", "2026-03-01",
-        None, None, None, None, None, None, None]
+        None, None, None, "2026-03-31", None, None, None]
 
 
 def test_normalize_amount(spark):
@@ -64,3 +64,17 @@ def test_format_currency(spark):
 def test_strip_list_text(spark):
     assert _apply(spark, ["[2024, 2026]", "['2024']", '["2024","2026"]'], rules.strip_list_text) == [
         "2024,2026", "2024", "2024,2026"]
+
+
+def test_bad_values_are_counted_not_fatal(spark):
+    data = [("2026-01-05T00:00:00", "inf"), ("2026-1-5 10:11:12.5Z", "-Infinity"), ("junk", "1e30"), ("", "1,000.00"),
+            (None, None), ("02302026", "$5"), ("2026-13-01", "NaN"), ("03312026", "0.004"), (" ", " 7 ")]
+    df = spark.createDataFrame(data, "d string, a string")
+    rows = df.select(rules.normalize_date("d").alias("d"), rules.normalize_amount("a").alias("a")).collect()
+    assert [r.d for r in rows] == ["2026-01-05", "2026-01-05", None, None, None, None, None, "2026-03-31", None]
+    assert [r.a for r in rows] == [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.004, 7.0]
+    counts = df.agg(F.count_if(rules.rejected_date("d")), F.count_if(rules.rejected_amount("a")),
+                    F.count_if(rules.sub_cent("a"))).first()
+    assert tuple(counts) == (3, 6, 1)
+    wild = spark.createDataFrame([(float("inf"),), (1e30,), (float("nan"),), (2.5,)], "x double")
+    assert wild.agg(F.sum(rules.cents("x"))).first()[0] == 250

@@ -53,8 +53,9 @@ def test_land_json_all_text(spark, tmp_dir):
         f.write('{"committee_id": "C1", "cycles": [2024, 2026], "count": 3, "party": null}\n')
         f.write('{"committee_id": "C2", "treasurer": {"name": "A"}}\n')
     out = snapshots.land_json(spark, src, f"{tmp_dir}/landing", "api_raw_committees", ts="20260101_000000")
-    assert out.endswith("api_raw_committees_20260101_000000.parquet")
-    df = spark.read.parquet(out)
+    assert out.path.endswith("api_raw_committees_20260101_000000.parquet")
+    assert (out.rows, out.malformed) == (2, 0)
+    df = spark.read.parquet(out.path)
     assert all(t == "string" for _, t in df.dtypes)
     rows = {r.committee_id: r for r in df.collect()}
     assert rows["C1"].cycles == '["2024","2026"]' and rows["C1"]["count"] == "3" and rows["C1"].party is None
@@ -130,6 +131,75 @@ def test_land_json_with_given_schema(spark, tmp_dir):
     schema = "committee_id string, cycles array<string>"
     out = snapshots.land_json(spark, src, f"{tmp_dir}/landing", "api_raw_committees", ts="20260101_000000",
                               schema=schema)
-    df = spark.read.parquet(out)
+    df = spark.read.parquet(out.path)
     assert sorted(df.columns) == ["committee_id", "cycles"]
     assert df.first().cycles == '["2024","2026"]'
+
+
+def test_land_json_keeps_malformed_lines_out(spark, tmp_dir):
+    src = f"{tmp_dir}/in.json"
+    with open(src, "w") as f:
+        f.write('{"committee_id": "C1", "name": "A"}\n{"committee_id": "C2", "na\nnot json\n\n{"committee_id": "C3"}\n')
+    for i, schema in enumerate((None, "committee_id string, name string")):
+        out = snapshots.land_json(spark, src, f"{tmp_dir}/landing{i}", "api_raw_committees", ts="20260101_000000",
+                                  schema=schema)
+        assert (out.rows, out.malformed) == (2, 2)
+        df = snapshots.read_snapshots(spark, f"{tmp_dir}/landing{i}", "api_raw_committees")
+        assert sorted(r.committee_id for r in df.collect()) == ["C1", "C3"]
+        assert sorted(df.columns) == ["committee_id", "name"]
+        bad = spark.read.text(f"{tmp_dir}/landing{i}/_rejected/*").collect()
+        assert sorted(r.value for r in bad) == ["not json", '{"committee_id": "C2", "na']
+        table = silver.silver_from_sources("committee_master", None, df)
+        assert table.where("com_id = ''").count() == 0
+
+
+def test_land_json_skips_without_records(spark, tmp_dir):
+    src = f"{tmp_dir}/in.json"
+    for text, bad in (("", 0), ("\n\n", 0), ("junk\n", 1)):
+        with open(src, "w") as f:
+            f.write(text)
+        for i, schema in enumerate((None, "committee_id string")):
+            out = snapshots.land_json(spark, src, f"{tmp_dir}/{bad}{i}", "api_raw_committees", ts="20260101_000000",
+                                      schema=schema)
+            assert (out.path, out.rows, out.malformed) == (None, 0, bad)
+            assert snapshots.read_snapshots(spark, f"{tmp_dir}/{bad}{i}", "api_raw_committees") is None
+        assert silver.build_silver(spark, "committee_master", landing_root=f"{tmp_dir}/{bad}0") is None
+
+
+def test_snapshots_are_found_at_any_depth(spark, tmp_dir):
+    a = spark.createDataFrame([("1",)], "committee_id string")
+    for i, sub in enumerate(("", "/2026-01", "/2026/02/03")):
+        snapshots.write_snapshot(a, f"{tmp_dir}{sub}", "api_raw_committees", f"2026010{i + 1}_000000")
+    snapshots.write_snapshot(a, f"{tmp_dir}/2026-01", "api_raw_candidates", "20260101_000000")
+    assert len(snapshots.find_snapshots(spark, tmp_dir, "api_raw_committees")) == 3
+    assert snapshots.read_snapshots(spark, tmp_dir, "api_raw_committees").count() == 3
+    assert snapshots.read_snapshots(spark, f"{tmp_dir}/absent", "api_raw_committees") is None
+
+
+def test_each_dataset_has_one_home(spark, tmp_dir):
+    """A newer write wins, whichever of the two writers made it."""
+    cols = R.target_columns("independent_expenditures")
+    datasets = ("committee_contributions_to_candidates", "independent_expenditures")
+
+    def rows(name, *labels):
+        made = [tuple([d] + [name] * len(cols)) for d in labels]
+        return spark.createDataFrame(made, ", ".join(f"{c} string" for c in ["dataset", *cols]))
+
+    def held(d):
+        return [r.com_id for r in tables.load_silver(spark, tmp_dir, [d])[d].collect()]
+
+    assert tables.write_split_silver(rows("OLD", *datasets), tmp_dir, datasets) == dict.fromkeys(datasets, 1)
+    tables.write_silver(rows("NEW", datasets[1]).drop("dataset"), tmp_dir, datasets[1])
+    assert held(datasets[1]) == ["NEW"] and held(datasets[0]) == ["OLD"]
+    got = tables.write_split_silver(rows("LAST", datasets[0]), tmp_dir, datasets)
+    assert got == {datasets[0]: 1, datasets[1]: 0}
+    assert held(datasets[0]) == ["LAST"] and held(datasets[1]) == []
+
+
+def test_partitioned_write_clusters_its_rows(spark, tmp_dir):
+    import glob
+
+    df = spark.range(0, 4000, 1, 16).select((F.col("id") % 5).cast("string").alias("election_cycle"), "id")
+    tables.write_table(df, f"{tmp_dir}/t", partition_by=["election_cycle"])
+    files = glob.glob(f"{tmp_dir}/t/election_cycle=*/*.parquet")
+    assert len(files) == 5 and spark.read.parquet(f"{tmp_dir}/t").count() == 4000

@@ -1,9 +1,11 @@
 """Incremental snapshot ingest equals the batch DISTINCT over all sources."""
 
+import glob
+
 from flowlake.operators import silver
 from flowlake.plans import bindings as B
 from flowlake.sources import snapshots, tables
-from flowlake.streaming import ingest_increments
+from flowlake.streaming import compact_increments, ingest_increments, read_with_increments
 
 from conftest import SF_SMALL
 
@@ -18,20 +20,22 @@ def test_incremental_equals_batch(spark, tmp_dir):
     landing, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/_ckpt"
     bulk = B.frame(spark, SF_SMALL, "raw_itcont")
     api = B.frame(spark, SF_SMALL, "raw_itcont_api")
-    path = tables.table_path(tmp_dir, "silver", DS)
     tables.write_silver(silver.silver_from_sources(DS, bulk, None), tmp_dir, DS)
+    old = sorted(glob.glob(f"{tables.table_path(tmp_dir, 'silver', DS)}/*.parquet"))
 
     snapshots.write_snapshot(api.sample(fraction=0.5, seed=7), landing, "api_raw_individual_contribs", "20260101_000000")
-    ingest_increments(spark, landing, DS, path, ckpt).awaitTermination()
-    after_one = spark.read.parquet(path).count()
+    snapshots.write_snapshot(B.frame(spark, SF_SMALL, "raw_cm_api"), landing, "api_raw_committees", "20260101_000000")
+    ingest_increments(spark, landing, DS, tmp_dir, ckpt).awaitTermination()
 
-    # second pull overlaps the first one completely and adds the rest
-    snapshots.write_snapshot(api, landing, "api_raw_individual_contribs", "20260102_000000")
-    ingest_increments(spark, landing, DS, path, ckpt).awaitTermination()
+    # second pull, in a subfolder, overlaps the first one completely and adds the rest
+    snapshots.write_snapshot(api, f"{landing}/2026-01", "api_raw_individual_contribs", "20260102_000000")
+    ingest_increments(spark, landing, DS, tmp_dir, ckpt).awaitTermination()
     # a replay with nothing new changes nothing
-    ingest_increments(spark, landing, DS, path, ckpt).awaitTermination()
+    ingest_increments(spark, landing, DS, tmp_dir, ckpt).awaitTermination()
 
-    got = spark.read.parquet(path)
     want = silver.silver_from_sources(DS, bulk, api)
-    assert after_one <= got.count()
-    assert _rows(got.select(*want.columns)) == _rows(want)
+    assert sorted(glob.glob(f"{tables.table_path(tmp_dir, 'silver', DS)}/*.parquet")) == old  # batches leave it alone
+    assert _rows(read_with_increments(spark, tmp_dir, DS)) == _rows(want)
+    assert compact_increments(spark, tmp_dir, DS) == want.count()
+    assert _rows(tables.load_silver(spark, tmp_dir, [DS])[DS].select(*want.columns)) == _rows(want)
+    assert _rows(read_with_increments(spark, tmp_dir, DS)) == _rows(want)
