@@ -22,11 +22,6 @@ def open_log(fp: str):
 
 
 def stage_rows(path: str):
-    """(seconds, stage id, tasks, job description or call site) per completed stage."""
-    return _stage_rows(path)
-
-
-def _stage_rows(path: str):
     if os.path.isdir(path):
         files = sorted(os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs
                        if f.startswith("events") or f.startswith("local-") or f.startswith("app-"))
