@@ -83,7 +83,9 @@ def links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b): links that connect all distinct ``fp`` at most ``radius`` bits apart."""
     low, high = radius // 2, radius - radius // 2
     masks = _masks(high)
-    ball = fingerprints.select("fp").distinct().select(
+    # few bytes here, 65 times as many below: keep them spread over all tasks
+    distinct = fingerprints.select("fp").distinct().repartition(common.shuffle_width(fingerprints), "fp")
+    ball = distinct.select(
         "fp", F.explode(F.array(*(F.lit(m).cast("long") for m in masks))).alias("m"))
     core = F.bit_count("m") <= low
     ball = ball.select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("variant"), core.alias("core"))
@@ -126,9 +128,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle:
     told apart by a hash of all their columns, and of identical rows one stays.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
-    rows = df.select(F.col(id_col).alias("id"), F.struct(*cols).alias("row"), F.xxhash64(*cols).alias("h"),
+    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(*cols).alias("h"),
                      fingerprint_column(F.col(text), shingle).alias("fp"))
-    marks = common.written(rows.select("id", "h", "fp"), "fingerprints")
+    marks = common.written(rows, "fingerprints")
     joined = components(links(marks, radius)).withColumnRenamed("node", "fp")
     marks = marks.join(joined, "fp", "left").select(
         F.coalesce("component", "fp").alias("c"), F.struct(F.col("id").isNull().alias("n"), "id", "h").alias("k"))
