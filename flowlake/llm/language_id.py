@@ -45,13 +45,14 @@ def sample(df: DataFrame, text: str = "text", lang: str = "lang", per_language:
 
     A text is in or out by a hash of itself, at a rate set by its language's
     number of texts; equal snippets count once, so copies do not crowd out the
-    rest.
+    rest. Of more than ``max_snippets`` languages the most frequent are learned.
     """
     t = F.col(text)
     rows = df.select(F.col(lang).alias("lang"), t.alias("t")).filter("lang is not null").filter(t.rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # no more languages than snippets: at most max_snippets short rows are broadcast, texts stay where they are
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_snippets)
     h = F.xxhash64("t")
-    rows = rows.join(counts, "lang")
+    rows = rows.join(F.broadcast(counts), "lang")
     rows = rows.filter(F.pmod(h, F.lit(1 << 20)) * F.col("n") < F.lit(per_language) * F.lit(1 << 20))
     start = F.pmod(F.shiftright(h, 24), F.greatest(F.length("t") - SNIPPET, F.lit(0)) + 1) + 1
     snippets = rows.select("lang", F.substr("t", start.cast("int"), F.lit(SNIPPET)).alias("s")).distinct()
