@@ -192,11 +192,11 @@ class Filter:
         for segment, n_bits, bits in rows:
             self.n_bits[segment], self.offset[segment], self.there[segment] = n_bits, at, True
             at += len(bits) * 8
-        self.bits = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
+        self.raw = b"".join(r[2] for r in rows)  # travels as bytes: a worker holds it once
 
     def level(self, segment: np.ndarray, key: np.ndarray) -> np.ndarray:
         """Quantised counts: how many levels in a row the filter holds."""
-        out = np.zeros(len(key), np.int64)
+        out, bits = np.zeros(len(key), np.int64), np.frombuffer(self.raw, np.uint8)
         left = np.flatnonzero(self.there[segment])
         level = 1
         while len(left):
@@ -204,7 +204,7 @@ class Filter:
             k = key[left]
             for i in range(HASHES):
                 p = _probes(k, level, i) % n + at
-                hit = (self.bits[(p >> _U(3)).astype(np.int64)] >> (p & _U(7)).astype(np.uint8)) & 1 == 1
+                hit = (bits[(p >> _U(3)).astype(np.int64)] >> (p & _U(7)).astype(np.uint8)) & 1 == 1
                 left, k, n, at = left[hit], k[hit], n[hit], at[hit]
                 if not len(left):
                     break
