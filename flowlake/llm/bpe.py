@@ -33,10 +33,13 @@ repeated rows, ties and extra columns change nothing.
 
 from __future__ import annotations
 
+import gc
 import json
+from array import array
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,7 +47,7 @@ from pyspark.sql import functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Words and steps kept in a worker's tables; a full one is emptied, which costs time only.
-WORDS_KEPT = STEPS_KEPT = 300_000
+WORDS_KEPT, STEPS_KEPT = 600_000, 300_000
 
 
 def default_vocabulary() -> str:
@@ -119,7 +122,7 @@ class Automaton:
             before, state = born[state], right[state]
         return self.made[first] if at >= 0 else -1
 
-    def word(self, w: bytes) -> list[int]:
+    def word(self, w: bytes) -> tuple[int, ...]:
         """Ids of the one accepted token string that spells ``w``."""
         known, size, byte = self.known, self.size, self.byte
         n = len(w)
@@ -143,8 +146,7 @@ class Automaton:
         while end:
             out.append(last[end])
             end = starts[end]
-        out.reverse()
-        return out
+        return tuple(out[::-1])  # a tuple of numbers is no work for the garbage collector
 
 
 class Tokenizer:
@@ -162,28 +164,28 @@ class Tokenizer:
         pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
         self.automaton = Automaton(ids, [(raw(a), raw(b)) for a, b in pairs])
         self.special = special
-        self.labels = {i: t for t, i in ids.items()} | {i: t.encode() for t, i in special.items()}
+        by_id = {i: t for t, i in ids.items()} | {i: t.encode() for t, i in special.items()}
+        self.labels = [by_id.get(i) for i in range(max(by_id, default=-1) + 1)]
         self.split = regex.compile(PATTERN).findall
         names = sorted(special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
-        self.seen: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str | None) -> list[int]:
         out: list[int] = []
-        seen, add = self.seen, out.extend
-        special = self.special
+        words, add, special = self.words, out.extend, self.special
         for piece in self.cut(text or "") if self.cut else [text or ""]:
             if piece in special:
                 out.append(special[piece])
                 continue
             for w in self.split(piece):
-                ids = seen.get(w)
+                ids = words.get(w)
                 if ids is None:
                     ids = self.automaton.word(w.encode("utf-8"))
                     if len(w) <= 64:
-                        if len(seen) >= WORDS_KEPT:
-                            seen.clear()
-                        seen[w] = ids
+                        if len(words) >= WORDS_KEPT:
+                            words.clear()
+                        words[w] = ids
                 add(ids)
         return out
 
@@ -201,18 +203,26 @@ def tokenizer(path: str) -> Tokenizer:
 def encode(text: Column, path: str | None = None) -> Column:
     """array<int> of token ids of each whole text."""
 
-    def batches(texts: pd.Series) -> pd.Series:
+    def batches(texts: pa.Array) -> pa.Array:
         t = tokenizer(path or default_vocabulary())
-        return pd.Series([t.encode(x) for x in texts], dtype=object)
+        flat, ends = array("i"), [0]
+        gc.disable()  # nothing here makes cycles; the collector would walk the table of words again and again
+        try:
+            for x in texts.to_pylist():
+                flat.extend(t.encode(x))
+                ends.append(len(flat))
+        finally:
+            gc.enable()
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
 
-    return F.pandas_udf(batches, "array<int>")(text)
+    return F.arrow_udf(batches, "array<int>")(text)
 
 
 def decode(ids: Column, path: str | None = None) -> Column:
-    """The text that token ids stand for."""
+    """The text that token ids stand for; a null list is an empty one."""
 
-    def batches(lists: pd.Series) -> pd.Series:
+    def batches(lists: pa.Array) -> pa.Array:
         t = tokenizer(path or default_vocabulary())
-        return pd.Series([t.decode(x) if x is not None else "" for x in lists], dtype=object)
+        return pa.array([t.decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in lists], pa.string())
 
-    return F.pandas_udf(batches, "string")(ids)
+    return F.arrow_udf(batches, "string")(ids)
