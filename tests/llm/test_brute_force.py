@@ -289,6 +289,29 @@ def test_vectors_recall_and_precision(spark):
     assert sum(got[i].component_id == comp[i] for i in got) >= 0.98 * len(got)
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_vectors_in_a_cone(spark, small):
+    """A third of the rows share a direction: by exact blocks, and by passes with blocks too small for that."""
+    rng = np.random.default_rng(6)
+    unit = lambda a: a / np.linalg.norm(a, axis=-1, keepdims=True)
+    cone = unit(0.894 * unit(rng.normal(size=64)) + 0.448 * unit(rng.normal(size=(1000, 64))))
+    x = unit(rng.normal(size=(2000, 64)))
+    at = rng.permutation(1000)[:300]
+    off = rng.normal(size=(300, 64))
+    off = unit(off - (off * cone[at]).sum(1, keepdims=True) * cone[at])
+    cone = np.concatenate([cone, 0.91 * cone[at] + math.sqrt(1 - 0.91 ** 2) * off])
+    x = np.concatenate([x, cone]).astype(np.float32).astype(np.float64)
+    near = (unit(x) @ unit(x).T >= vectors.THRESHOLD) & ~np.eye(len(x), dtype=bool)
+    links, comp = near.sum(1), union(len(x), np.argwhere(near))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)],
+                               "vec_id long, embedding array<float>")
+    how = {"block": 64, "square": 16} if small else {}
+    got = {r.vec_id: r for r in vectors.near_duplicates(df, **how).collect()}
+    wrong = sum(got[i].n_links != links[i] or got[i].component_id != comp[i] for i in got)
+    assert len(got) == len(x) and links.sum() >= 600
+    assert wrong <= (0.01 * (links > 0).sum() if small else 0)
+
+
 def test_pipeline_against_brute_force(spark, docs, con):
     """Every stage's decisions, recomputed from its own input."""
     import corpus_pipeline
