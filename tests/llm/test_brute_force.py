@@ -312,6 +312,19 @@ def test_vectors_in_a_cone(spark, small):
     assert wrong <= (0.01 * (links > 0).sum() if small else 0)
 
 
+def test_vectors_of_a_large_component_are_copied_per_square(spark):
+    rng = np.random.default_rng(8)
+    x = (np.ones(8) + 0.2 * rng.normal(size=(300, 8))).astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "c long, v array<float>")
+    df = df.withColumn("copies", F.lit(1).cast("long"))
+    comps = df.select(F.col("c").alias("node"), F.lit(0).cast("long").alias("component"))
+    assert vectors._dealt(df, comps, 16, 128).count() == 300 * 3  # blocks of 16 made 300 * 19
+    got = {r.c: r.links for r in vectors._links(df, comps, vectors.THRESHOLD, 16, 128).collect()}
+    n = x / np.linalg.norm(x, axis=1)[:, None]
+    links = (n @ n.T >= vectors.THRESHOLD).sum(1) - 1
+    assert links.sum() > 300 and all(got[i] == links[i] for i in range(300))
+
+
 def test_pipeline_against_brute_force(spark, docs, con):
     """Every stage's decisions, recomputed from its own input."""
     import corpus_pipeline
