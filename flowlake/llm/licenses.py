@@ -1,12 +1,14 @@
 """License scans by conditional compression.
 
 A text that has a license's words is cut into candidate blocks around its
-anchor words.  Each block is compressed with zstandard, plainly and with each
-template as a raw dictionary; what the dictionary saves, as a share of the
-template's own compressed size, ranks the templates.  The best ones are
-confirmed by the exact differences of wording: the block's words are aligned
-with the template's, and the missing, extra and replaced words are counted and
-returned.
+anchor words.  A block is its lower-case words, so case, line breaks, white
+space, punctuation and comment marks between words make no difference.  Each
+block is compressed with zstandard, plainly and with each template as a raw
+dictionary; what the dictionary saves, as a share of the template's own
+compressed size, ranks the templates.  Those that save enough, and those whose
+words the block holds, are confirmed by the exact differences of wording: the
+block's words are aligned with the template's, and the missing, extra and
+replaced words are counted and returned.
 
 An anchor is found by one JVM expression over every whole text, so only texts
 with an anchor reach Python.  A block reaches a quarter further than its template
@@ -22,6 +24,9 @@ rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_right
+from collections import Counter
 from difflib import SequenceMatcher
 from functools import lru_cache
 
@@ -71,7 +76,7 @@ TEMPLATES = {
 }
 
 #: An anchor is found in every template.
-ANCHOR = r"licen[sc]ed?\b|hereby granted|redistribution|public license|rights reserved"
+ANCHOR = r"licen[sc]ed?\b|hereby\W+granted|redistribution|public\W+license|rights\W+reserved"
 
 #: Least share of a template's worth that its dictionary saves on a block; word differences allowed, as a share.
 MIN_SAVING, MAX_DIFFERENCE = 0.35, 0.1
@@ -85,27 +90,32 @@ class _Template:
     def __init__(self, name: str, text: str):
         import zstandard
 
-        self.name, self.text = name, text
+        self.name = name
         self.words = [w.lower() for w in _WORD.findall(text)]
+        self.counts, self.least = Counter(self.words), len(self.words) * (1 - MAX_DIFFERENCE)
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
-        raw = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        data = " ".join(self.words).encode()
+        raw = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.primed = zstandard.ZstdCompressor(level=3, dict_data=raw, write_content_size=False)
-        data = text.encode()
         self.worth = max(1, len(self.plain.compress(data)) - len(self.primed.compress(data)))
 
     def saving(self, block: bytes) -> float:
         """Bytes the dictionary saves on the block, as a share of what it saves on the template itself."""
         return (len(self.plain.compress(block)) - len(self.primed.compress(block))) / self.worth
 
+    def held(self, words: list[str]) -> bool:
+        """Whether the words hold enough of the template's, in any order, for it to be confirmed."""
+        there = Counter(words)
+        return sum(min(n, there[w]) for w, n in self.counts.items()) >= self.least - 1e-9
+
 
 @lru_cache(maxsize=2)
 def _compiled(items: tuple) -> list[_Template]:
     return [_Template(n, t) for n, t in items]
 
 
-def _align(words: list[re.Match], template: _Template):
-    """Span of the best alignment and its (missing, extra) words."""
-    told = [m.group().lower() for m in words]
+def _align(told: list[str], template: _Template):
+    """First and last word of the best alignment and its (missing, extra) words."""
     match = SequenceMatcher(None, told, template.words, autojunk=False)
     blocks = [b for b in match.get_matching_blocks() if b.size]
     if not blocks:
@@ -116,32 +126,38 @@ def _align(words: list[re.Match], template: _Template):
         if op != "equal":
             missing += template.words[k:n]
             extra += told[max(i, first):min(j, last)]
-    return words[first].start(), words[last - 1].end(), missing, extra
+    return first, last - 1, missing, extra
 
 
 def scan(text: str, templates: dict[str, str] = TEMPLATES) -> list[dict]:
     """The license wordings found in one text, by place."""
     out = []
     compiled = _compiled(tuple(templates.items()))
-    done = dict.fromkeys(templates, 0)
+    starts, ends = array("q"), array("q")
+    for m in _WORD.finditer(text):
+        starts.append(m.start())
+        ends.append(m.end())
+    done = dict.fromkeys(templates, 0)  # words
     for anchor in re.finditer(ANCHOR, text, re.IGNORECASE):
-        ranking = []
+        at, ranking = bisect_right(starts, anchor.start()) - 1, []
         for t in compiled:
-            if anchor.start() >= done[t.name]:
-                reach = len(t.text) + len(t.text) // 4
-                low, high = max(done[t.name], anchor.start() - reach), min(len(text), anchor.start() + reach)
-                saving = t.saving(text[low:high].encode())
-                if saving >= MIN_SAVING:
-                    ranking.append((-saving, t.name, t, low, high))
-        for rank, (saving, name, t, low, high) in enumerate(sorted(ranking, key=lambda r: r[:2]), 1):
-            aligned = _align(list(_WORD.finditer(text, low, high)), t)
+            if at >= done[t.name]:
+                reach = len(t.words) + len(t.words) // 4 + 1
+                low, high = max(done[t.name], at - reach), min(len(starts), at + reach)
+                told = [text[i:j].lower() for i, j in zip(starts[low:high], ends[low:high])]
+                saving = t.saving(" ".join(told).encode())
+                if saving >= MIN_SAVING or t.held(told):
+                    ranking.append((-saving, t.name, t, low, told))
+        for rank, (saving, name, t, low, told) in enumerate(sorted(ranking, key=lambda r: r[:2]), 1):
+            aligned = _align(told, t)
             if aligned is None or len(aligned[2]) + len(aligned[3]) > MAX_DIFFERENCE * len(t.words):
                 continue
-            start, end, missing, extra = aligned
-            out.append({"template": name, "start": start, "end": end, "saving": round(-saving, 6), "rank": rank,
+            first, last, missing, extra = aligned
+            out.append({"template": name, "start": starts[low + first], "end": ends[low + last],
+                        "saving": round(-saving, 6), "rank": rank,
                         "n_words": len(t.words), "n_missing": len(missing), "n_extra": len(extra),
                         "difference": " ".join([f"-{w}" for w in missing] + [f"+{w}" for w in extra])})
-            done[name] = end
+            done[name] = low + last + 1
     return _ranked(out)
 
 
@@ -161,6 +177,6 @@ def scan_documents(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     def batches(texts: pd.Series) -> pd.Series:
         return pd.Series([scan(t, templates) for t in texts], dtype=object)
 
-    rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).filter(F.col("t").rlike("(?i)" + ANCHOR))
+    rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).filter(F.col("t").rlike("(?iU)" + ANCHOR))
     rows = rows.select("id", F.explode(F.pandas_udf(batches, _FOUND)("t")).alias("f"))
     return rows.select(F.col("id").alias(id_col), "f.*")

@@ -265,6 +265,22 @@ def test_licenses_find_every_verbatim_template(spark, docs):
                 assert any(g[0] == i and g[2] <= at and g[3] >= at + len(body) - 1 for g in got), (i, name)
 
 
+def test_licenses_whatever_case_and_white_space(spark):
+    """Copies of every template that have the same words."""
+    forms = {"upper": str.upper, "lower": str.lower, "wrapped": lambda t: t.replace(" ", "\n"),
+             "double": lambda t: t.replace(" ", "  "), "hard": lambda t: t.replace(" ", "\u00a0"),
+             "comment": lambda t: t.replace(" ", "\n * ")}
+    data = [(f"{name}|{form}|{around}", ("Words before it. {} And words after it." if around else "{}").format(f(t)))
+            for name, t in licenses.TEMPLATES.items() for form, f in forms.items() for around in (0, 1)]
+    got = licenses.scan_documents(spark.createDataFrame(data, "doc_id string, text string")).collect()
+    found = {r.doc_id: (r.template, r.n_missing + r.n_extra) for r in got}
+    assert {i: found.get(i) for i, _ in data} == {i: (i.split("|")[0], 0) for i, _ in data}
+    assert len(got) == len(data)
+    body = dict(data)
+    for r in got:
+        assert body[r.doc_id][r.start:r.end].lower().split()[0] == licenses.TEMPLATES[r.template].lower().split()[0]
+
+
 def test_vectors_recall_and_precision(spark):
     """Against brute force: groups of near copies larger than the window, and pairs at the threshold."""
     rng = np.random.default_rng(5)
