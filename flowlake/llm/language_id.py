@@ -23,13 +23,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Documented bounds of the training sample: snippets per language, snippets in all, characters of a snippet.
 PER_LANGUAGE, MAX_SNIPPETS, SNIPPET = 600, 8192, 160
 
-#: Network and training: units per direction, bytes per training window, windows per step, steps, seed.
+#: Network and training: units per direction, bytes per training window, windows per step, steps (of each language), seed.
 UNITS, TRAIN_BYTES, BATCH, STEPS, SEED = 8, 64, 96, 350, 7
 
 #: Prediction: positions per window, context on either side, windows per batch.
@@ -44,20 +44,25 @@ def sample(df: DataFrame, text: str = "text", lang: str = "lang", per_language:
     """At most ``max_snippets`` (language, snippet) rows, about ``per_language`` of each language.
 
     A text is in or out by a hash of itself, at a rate set by its language's
-    number of texts; equal snippets count once, so copies do not crowd out the
-    rest. Of more than ``max_snippets`` languages the most frequent are learned.
+    number of different texts; equal snippets count once, so copies do not crowd
+    out the rest. Where all do not fit, languages get equal numbers. Of more than
+    ``max_snippets`` languages those with most different texts are learned.
     """
     t = F.col(text)
     rows = df.select(F.col(lang).alias("lang"), t.alias("t")).filter("lang is not null").filter(t.rlike(r"\p{L}"))
     # no more languages than snippets: at most max_snippets short rows are broadcast, texts stay where they are
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_snippets)
     h = F.xxhash64("t")
+    counts = rows.select("lang", h.alias("h")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.orderBy(F.desc("n"), "lang").limit(max_snippets)
     rows = rows.join(F.broadcast(counts), "lang")
     rows = rows.filter(F.pmod(h, F.lit(1 << 20)) * F.col("n") < F.lit(per_language) * F.lit(1 << 20))
     start = F.pmod(F.shiftright(h, 24), F.greatest(F.length("t") - SNIPPET, F.lit(0)) + 1) + 1
     snippets = rows.select("lang", F.substr("t", start.cast("int"), F.lit(SNIPPET)).alias("s")).distinct()
-    taken = snippets.orderBy(F.xxhash64("s"), "s", "lang").limit(max_snippets).collect()
-    return [(r.lang, r.s) for r in taken]
+    # about per_language rows to a window
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("s"), "s"))
+    taken = snippets.select("lang", "s", F.xxhash64("s").alias("h"), turn.alias("turn")).orderBy(
+        "turn", "h", "s", "lang").limit(max_snippets).collect()
+    return [(r.lang, r.s) for r in sorted(taken, key=lambda r: (r.h, r.s, r.lang))]
 
 
 def _sigmoid(x):
@@ -89,8 +94,9 @@ def train(snippets: list[tuple[str, str]], units: int = UNITS, steps: int = STEP
     by_lang = [np.flatnonzero(label == i) for i in range(k)]
     m = {n: np.zeros_like(v) for n, v in p.items()}
     s = {n: np.zeros_like(v) for n, v in p.items()}
+    steps = -(-steps * max(k, BATCH) // BATCH)  # languages take turns over the steps, each as often as in a full batch
     for step in range(1, steps + 1):
-        pick = np.array([rng.choice(by_lang[i % k]) for i in range(BATCH)])
+        pick = np.array([rng.choice(by_lang[((step - 1) * BATCH + i) % k]) for i in range(BATCH)])
         x = np.full((BATCH, TRAIN_BYTES), PAD, np.int64)
         for row, i in enumerate(pick):
             t = texts[i]

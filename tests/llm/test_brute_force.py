@@ -255,6 +255,26 @@ def test_language_id_gradients():
     assert np.allclose(whole[1], alone[0], atol=1e-5) and np.allclose(whole.sum(1), 1)
 
 
+@pytest.mark.parametrize("k", [5, 300])
+def test_every_language_is_trained(monkeypatch, k):
+    seen = Counter()
+    monkeypatch.setattr(language_id, "_gradients", lambda p, x, y: seen.update(y.tolist()) or {})
+    language_id.train([(f"l{i:03}", "some words") for i in range(k)], steps=5)
+    assert len(seen) == k and max(seen.values()) - min(seen.values()) <= 1
+    assert min(seen.values()) >= 5 * min(1, language_id.BATCH // k)
+
+
+def test_languages_of_copies_are_sampled(spark):
+    data = [("cc", "ein text der kopiert wird"), ("cc", "noch ein text")] * 1000
+    data += [("en", f"a text of its own number {i}") for i in range(1000)]
+    data += [(f"l{i:02}", f"one text {i} {j}") for i in range(20) for j in range(4)]
+    df = spark.createDataFrame(data, "lang string, text string")
+    got = Counter(x for x, _ in language_id.sample(df, per_language=50))
+    assert got["cc"] == 2 and 20 < got["en"] < 100 and all(got[f"l{i:02}"] == 4 for i in range(20))
+    few = Counter(x for x, _ in language_id.sample(df, per_language=50, max_snippets=44))
+    assert len(few) == 22 and set(few.values()) == {2}
+
+
 def test_licenses_find_every_verbatim_template(spark, docs):
     got = {(r.doc_id, r.template, r.start, r.end) for r in queries.license_query(spark, SF).collect()}
     for i, text, _ in docs:
