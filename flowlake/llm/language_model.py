@@ -243,6 +243,8 @@ def _scored(shard, shards: int, number: int, segments: int, n: int, v: int):
                     here = segment * shards // segments == number
                     seen = np.zeros(len(c))
                     seen[here] = _expected(table.level(segment[here], key[here]))
+                    # an estimate may be above, a bigram is not more frequent than its words: p is 1 at most
+                    seen = np.minimum(seen, np.minimum(count[before], count[c]))
                     p = (seen + MU * one[c]) / (count[before] + MU)
                     part[s: s + len(c)] = np.where(here, np.log10(p), 0.0)
                 start = np.cumsum(sizes) - sizes

@@ -132,6 +132,19 @@ def test_language_model(spark, docs):
     assert len(off) == len(docs) and np.median(off) < 0.05 and max(off) < 0.5
 
 
+def test_language_model_probabilities_of_a_repeated_passage(spark):
+    """A passage read 1,024 times, where quantised counts are above their contexts'."""
+    ids = [i for i in range(2000) if not language_model.held_out(i)][:1024]
+    passage = " ".join(f"word{i}" for i in range(20))
+    df = spark.createDataFrame([(i, passage) for i in ids], "doc_id long, text string")
+    got = language_model.score(df).collect()
+    assert len(got) == 1024
+    # words follow each other always, so every token's probability is (1024 + mu * one) / (1024 + mu)
+    one = 1025 / (1024 * 21 + 21 + 1)
+    token = math.log10((1024 + language_model.MU * one) / (1024 + language_model.MU))
+    assert token < 0 and all(math.isclose(r.score, 21 * token, rel_tol=1e-6) for r in got)
+
+
 def test_language_model_in_shards_and_chunks(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     whole = {r.doc_id: r for r in language_model.score(docs).collect()}
