@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, language_id, language_model, licenses, mixing, quality, simhash, url_rules, vectors)
+from . import (bpe, chat, filter_audit, importance, language_id, language_model, licenses, main_text, mixing, quality,
+               simhash, url_rules, vectors)
 from .common import table
 
 #: Fixed value: both turns of the conversation that the chat query adds.
@@ -81,6 +82,19 @@ def vector_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def main_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_mixing": mixing_query,
     "op2_url_rules": url_query,
@@ -92,6 +106,9 @@ QUERIES = {
     "op8_bpe": bpe_query,
     "op9_licenses": license_query,
     "op10_vectors": vector_query,
+    "op11_importance": importance_query,
+    "op12_filter_audit": audit_query,
+    "op13_main_text": main_text_query,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -290,10 +307,84 @@ SELECT vec_id, coalesce(k, 0) AS n_links, coalesce(c, CASE WHEN x IS NULL THEN v
 FROM v LEFT JOIN deg ON v.r = deg.a LEFT JOIN comp ON v.r = comp.a
 """
 
+_CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_FEATURE_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{_CAPITALS}', '{_SMALL}'), "
+                  r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+_FEATURES = "unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])))"
+
+_IMPORTANCE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_FEATURE_WORDS} AS w FROM documents),
+b AS (SELECT {_FEATURE_WORDS} AS w FROM benchmark),
+df AS (SELECT r, {_FEATURES} AS f FROM d),
+bf AS (SELECT {_FEATURES} AS f FROM b),
+crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k:
+          CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+names AS (SELECT f, hex(f) AS x FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+codes AS (SELECT f, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, len(x) // 2),
+            lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+            lambda c, o: xor(c >> 8, t[(xor(c, o) & 255) + 1]))) % {importance.BUCKETS} AS bucket FROM names, crc),
+s AS (SELECT bucket, count(*) AS n FROM df JOIN codes USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bf JOIN codes USING (f) GROUP BY bucket),
+gain AS (SELECT s.bucket, CAST(floor(1000 * ln(
+           (coalesce(t.n, 0) + CAST(1 AS DOUBLE)) * ((SELECT sum(n) FROM s) + {importance.BUCKETS})
+           / ((s.n + CAST(1 AS DOUBLE)) * (coalesce((SELECT sum(n) FROM t), 0) + {importance.BUCKETS})))) AS BIGINT) AS g
+         FROM s LEFT JOIN t ON s.bucket = t.bucket),
+weights AS (SELECT r, count(*) AS n, CAST(floor(CAST(sum(g) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+            FROM df JOIN codes USING (f) JOIN gain USING (bucket) GROUP BY r),
+noise AS (SELECT r, doc_id, len(w) AS n_words, CAST('0x' || substr(sha256('{importance.SEED}:'
+            || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM d),
+scored AS (SELECT x.r, doc_id, n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + CAST(0.5 AS DOUBLE)) / 4294967296))) AS BIGINT) AS score
+           FROM noise x LEFT JOIN weights y ON x.r = y.r),
+drawn AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS rank
+          FROM scored WHERE n_words >= {importance.MIN_WORDS}
+          QUALIFY rank <= {importance.DRAWN_PERCENT} * count(*) OVER () // 100)
+SELECT doc_id, n_features, weight, score, rank FROM scored LEFT JOIN drawn ON scored.r = drawn.r
+"""
+
+_AUDIT = f"""
+WITH l AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic
+           FROM labels GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+m AS (SELECT *, min(doc_id) OVER (PARTITION BY text) AS least FROM d),
+f AS (SELECT part, doc_id,
+        CAST(len(w) < {filter_audit.MIN_WORDS} AS INTEGER)
+        + 2 * CAST(100 * len(list_distinct(w)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(w) AS INTEGER)
+        + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]+', '', 'g'))
+                   > {filter_audit.MAX_CAPITAL_PERCENT} * length(text) AS INTEGER)
+        + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INTEGER)
+        + 16 * CAST(coalesce(doc_id > least, false) AS INTEGER) AS failed FROM m),
+sets AS (SELECT part, failed, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+         FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, failed),
+c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (SELECT p.c || q.c || r.c || s.c || t.c AS o FROM c p JOIN c q ON q.c <> p.c JOIN c r ON r.c NOT IN (p.c, q.c)
+      JOIN c s ON s.c NOT IN (p.c, q.c, r.c) JOIN c t ON t.c NOT IN (p.c, q.c, r.c, s.c)),
+steps AS (SELECT o, step, substr(o, step, 1) AS letter FROM o, (SELECT unnest(range(1, 6)) AS step)),
+bits AS (SELECT o, step, letter, 1 << (ascii(letter) - 65) AS own,
+           CAST(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substr(o, i, 1)) - 65))) AS BIGINT) AS earlier
+         FROM steps),
+x AS (SELECT part, o, step, letter, n, good, toxic, failed = own AS sole, failed & own <> 0 AS own,
+        failed & coalesce(earlier, 0) <> 0 AS before FROM sets, bits),
+y AS (SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, letter,
+        coalesce(sum(n) FILTER (NOT own AND NOT before), 0) AS kept,
+        coalesce(sum(n) FILTER (own AND NOT before), 0) AS removed,
+        coalesce(sum(n) FILTER (own AND before), 0) AS redundant,
+        coalesce(sum(n) FILTER (sole), 0) AS unique_fails,
+        coalesce(sum(good) FILTER (own AND NOT before), 0) AS good_lost,
+        coalesce(sum(toxic) FILTER (own AND NOT before), 0) AS toxic_lost
+      FROM x GROUP BY part, o, step, letter)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM y
+"""
+
 ORACLE_SQL = {
     "op1_mixing": _MIXING,
     "op2_url_rules": _url_sql(),
     "op4_quality": _quality_sql(),
     "op5_chat": _chat_sql(),
     "op10_vectors": _VECTORS,
+    "op11_importance": _IMPORTANCE,
+    "op12_filter_audit": _AUDIT,
 }
