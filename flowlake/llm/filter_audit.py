@@ -1,18 +1,19 @@
 """What five filters remove, alone and in every order.
 
 The word counts that two of the filters need come from a sparse document-term
-matrix.  Each task cuts its texts into shards of about ``SHARD`` bytes and
-writes one row per shard: the words of the shard, each once, and the counts of
-its documents in compressed rows (``indptr``, ``indices``, ``counts``) whose
-columns are places in that list.  The lists of all shards are then encoded
-with one dictionary: words are dealt to ``buckets`` hash buckets, and a word's
-term number is its rank among the different words of its bucket, times the
-number of buckets, plus the bucket.  That numbers all words of the corpus
-without gaps inside a bucket, needs one shuffle of one row per shard and word,
-however often the word occurs, and gives the same numbers in every run.  The
-term numbers return to their shards as arrays and replace the columns.  A
-row's sum is the document's number of words, its number of nonzero entries the
-number of different words.
+matrix.  Each task cuts its texts into shards of about ``SHARD`` bytes, one row
+each, that hold the counts of their documents in compressed rows (``indptr``,
+``indices``, ``counts``, as packed numbers).  Neighbouring shards form a group
+with one word list of about ``GROUP_WORDS`` words, and the columns are places
+in that list; a shard carries the words it adds.  The lists of all groups are
+then encoded with one dictionary: words are dealt to hash buckets, and a
+word's term number is its rank among the different words of its bucket, times
+the number of buckets, plus the bucket.  That needs one shuffle of one row per
+group and word, however often the word occurs, and gives the same numbers in
+every run.  The numbers return to their group as one array, are sorted before
+its shards, and replace the columns while the shards stream by.  A row's sum
+is the document's number of words, its number of nonzero entries the number of
+different words.
 
 The other flags are taken from the text in the first pass; texts are compared
 by their SHA-256.  A document repeats a smaller one if its id is above the
@@ -33,12 +34,13 @@ whatever their names.
 from __future__ import annotations
 
 import hashlib
-from itertools import permutations
+from itertools import islice, permutations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,8 +53,9 @@ SPECIAL = b"#$%&*|"
 LETTERS = "ABCDE"
 ORDERS = ["".join(p) for p in permutations(LETTERS)]
 
-#: Bytes of text in a shard (a longer text is a shard of its own), and of a text split at a time.
-SHARD, PIECE = 8 << 20, 1 << 20
+#: Bytes of text in a shard (a longer text is a shard of its own), different words after which a group
+#: ends, and bytes of a text that are split at a time.
+SHARD, GROUP_WORDS, PIECE = 2 << 20, 1 << 19, 1 << 20
 
 _CAPITALS = bytes(range(65, 91))
 _FOLLOWING = bytes(range(0x80, 0xC0))  # the bytes of a character after its first
@@ -77,47 +80,54 @@ def _word_places(text: bytes, places: _Places) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.int32)
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    return zstandard.compress(numbers.tobytes(), 1)
+
+
+def _unpack(packed: bytes, kind=np.int32) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(packed), kind)
+
+
 class _Shard:
-    def __init__(self):
-        self.places, self.size = _Places(), 0
-        self.indptr, self.indices, self.counts = [0], [], []
+    def __init__(self, places: _Places):
+        self.places, self.known, self.size = places, len(places), 0
+        self.lengths, self.indices, self.counts = [], [], []
         self.flags, self.digests, self.ids, self.parts = [], [], [], []
 
     def add(self, text: bytes) -> None:
         self.size += len(text)
         terms, counts = np.unique(_word_places(text, self.places), return_counts=True)
+        self.lengths.append(len(terms))
         self.indices.append(terms)
         self.counts.append(counts.astype(np.int32))
-        self.indptr.append(self.indptr[-1] + len(terms))
         capitals = len(text) - len(text.translate(None, _CAPITALS))
         points = len(text.translate(None, _FOLLOWING))
         self.flags.append((100 * capitals > MAX_CAPITAL_PERCENT * points, any(c in text for c in SPECIAL)))
         self.digests.append(hashlib.sha256(text).digest())
 
-
-def _one_list(values: pa.Array) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-
-def _row(shard: _Shard, number: int) -> pa.RecordBatch:
-    joined = lambda x: np.concatenate(x) if x else np.empty(0, np.int32)
-    capital, special = np.array(shard.flags, bool).reshape(-1, 2).T.copy()
-    columns = {
-        "shard": pa.array([number], pa.int64()), "id": _one_list(pa.concat_arrays(shard.ids)),
-        "part": _one_list(pa.concat_arrays(shard.parts)), "capital": _one_list(pa.array(capital)),
-        "special": _one_list(pa.array(special)), "digest": _one_list(pa.array(shard.digests, pa.binary())),
-        "indptr": _one_list(pa.array(shard.indptr, pa.int32())),
-        "indices": _one_list(pa.array(joined(shard.indices))), "counts": _one_list(pa.array(joined(shard.counts))),
-        "words": _one_list(pa.array(shard.places, pa.binary()).cast(pa.string())),
-    }
-    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    def row(self, group: int, number: int) -> pa.RecordBatch:
+        one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        packed = lambda x: pa.array([_pack(np.concatenate(x) if x else np.empty(0, np.int32))])
+        capital, special = np.array(self.flags, bool).reshape(-1, 2).T.copy()
+        added = pa.array(islice(self.places, self.known, None), pa.binary()).cast(pa.string())
+        columns = {
+            "group": pa.array([group], pa.int64()), "number": pa.array([number], pa.int32()),
+            "id": one(pa.concat_arrays(self.ids)), "part": one(pa.concat_arrays(self.parts)),
+            "capital": one(pa.array(capital)), "special": one(pa.array(special)),
+            "digest": one(pa.array(self.digests, pa.binary())),
+            "indptr": packed([np.cumsum([0, *self.lengths], dtype=np.int32)]),
+            "indices": packed(self.indices), "counts": packed(self.counts),
+            "known": pa.array([self.known], pa.int32()), "words": one(added),
+        }
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
 def shards(docs: DataFrame, id_col: str = "doc_id", part: str = "source", text: str = "text",
-           shard: int = SHARD) -> DataFrame:
-    """One row per shard: its documents, its words, and counts whose columns are places among its words."""
+           shard: int = SHARD, group_words: int = GROUP_WORDS) -> DataFrame:
+    """One row per shard: its documents, the words it adds to its group's list, and counts by place in that list."""
     def cut(batches):
-        task, n, now = TaskContext.get().partitionId(), 0, _Shard()
+        group, number, places = TaskContext.get().partitionId() << 32, 0, _Places()
+        now = _Shard(places)
         for batch in batches:
             texts, first = batch.column(2).cast(pa.binary()).to_pylist(), 0
             for i, t in enumerate(texts, 1):
@@ -127,73 +137,104 @@ def shards(docs: DataFrame, id_col: str = "doc_id", part: str = "source", text:
                     now.parts.append(batch.column(1).slice(first, i - first))
                     first = i
                 if now.size >= shard:
-                    yield _row(now, task << 32 | n)
-                    n, now = n + 1, _Shard()
+                    yield now.row(group, number)
+                    number += 1
+                    if len(places) >= group_words:
+                        group, number, places = group + 1, 0, _Places()
+                    now = _Shard(places)
         if now.ids:
-            yield _row(now, task << 32 | n)
+            yield now.row(group, number)
 
-    fields = {"shard": "long", "id": docs.schema[id_col].dataType, "part": "string", "capital": "boolean",
-              "special": "boolean", "digest": "binary", "indptr": "int", "indices": "int", "counts": "int",
-              "words": "string"}
     schema = T.StructType()
-    for name, kind in fields.items():
-        kind = T._parse_datatype_string(kind) if isinstance(kind, str) else kind
-        schema.add(name, kind if name == "shard" else T.ArrayType(kind))
+    for name, kind in _shard_fields(docs.schema[id_col].dataType):
+        schema.add(name, kind)
     rows = docs.select(F.col(id_col), F.coalesce(F.col(part).cast("string"), F.lit("")), F.col(text).cast("string"))
     return rows.mapInArrow(cut, schema)
 
 
-def dictionary(cut: DataFrame) -> DataFrame:
-    """shard, place, word and the word's term number, the same in all shards."""
-    from pyspark.sql import Window
+def _shard_fields(id_kind: T.DataType, packed: str = "binary") -> list[tuple[str, T.DataType]]:
+    kinds = {"group": "long", "number": "int", "id": T.ArrayType(id_kind), "part": "array<string>",
+             "capital": "array<boolean>", "special": "array<boolean>", "digest": "array<binary>",
+             "indptr": packed, "indices": packed, "counts": packed}
+    if packed == "binary":
+        kinds |= {"known": "int", "words": "array<string>"}
+    return [(k, T._parse_datatype_string(v) if isinstance(v, str) else v) for k, v in kinds.items()]
 
+
+def dictionary(cut: DataFrame) -> DataFrame:
+    """group, place, word and the word's term number, the same in all groups."""
     buckets = 8 * max(128, shuffle_width(cut))
-    words = cut.select("shard", F.posexplode("words").alias("place", "word"))
-    words = words.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+    words = cut.select("group", "known", F.posexplode("words").alias("at", "word"))
+    words = words.select("group", (F.col("known") + F.col("at")).alias("place"), "word",
+                         F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("bucket"))
     rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word")).cast("long")
-    return words.select("shard", "place", "word", ((rank - 1) * buckets + F.col("bucket")).alias("term"))
+    return words.select("group", "place", "word", ((rank - 1) * buckets + F.col("bucket")).alias("term"))
+
+
+def _with_terms(cut: DataFrame) -> DataFrame:
+    """The shards sorted by group, each group after a row with the term numbers of its list."""
+    lists = dictionary(cut).groupBy("group").agg(  # about GROUP_WORDS and one shard's words
+        F.collect_list("place").alias("places"), F.collect_list("term").alias("terms"))
+    rows = cut.drop("known", "words")
+    lists = lists.select("group", F.lit(-1).alias("number"), "places", "terms")
+    both = rows.unionByName(lists, allowMissingColumns=True)
+    return both.repartition(shuffle_width(cut), "group").sortWithinPartitions("group", "number")
+
+
+def _encoded(batches):
+    """(the batch's row of a shard, indptr, indices as term numbers, counts) of a sorted stream."""
+    at, terms = None, np.empty(0, np.int64)
+    for batch in batches:
+        group, number, places, numbers, *packed = (
+            batch.column(c) for c in ("group", "number", "places", "terms", "indptr", "indices", "counts"))
+        for i in range(batch.num_rows):
+            if number[i].as_py() < 0:
+                at, terms = group[i].as_py(), np.empty(len(places[i].values), np.int64)
+                terms[places[i].values.to_numpy()] = numbers[i].values.to_numpy()
+                continue
+            if group[i].as_py() != at:  # a group without a word has no list
+                at, terms = group[i].as_py(), np.empty(0, np.int64)
+            indptr, indices, counts = (_unpack(c[i].as_py()) for c in packed)
+            yield batch.slice(i, 1), indptr, terms[indices], counts
 
 
 def term_matrix(cut: DataFrame) -> DataFrame:
     """The shards with term numbers as columns; ``cut`` is read twice, so write it first."""
-    terms = dictionary(cut).groupBy("shard").agg(
-        F.collect_list("place").alias("places"), F.collect_list("term").alias("terms"))  # a shard's words
-
-    def encode(indices: pa.Array, places: pa.Array, terms: pa.Array) -> pa.Array:
-        out, ends = [], [0]
-        for at, p, t in zip(indices, places, terms):
-            number = np.empty(len(p.values) if p.is_valid else 0, np.int64)
-            if p.is_valid:
-                number[p.values.to_numpy()] = t.values.to_numpy()
-            out.append(number[at.values.to_numpy()])
-            ends.append(ends[-1] + len(out[-1]))
-        flat = np.concatenate(out) if out else np.empty(0, np.int64)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-
-    joined = cut.drop("words").join(terms, "shard", "left")
-    return joined.withColumn("indices", F.arrow_udf(encode, "array<long>")("indices", "places", "terms")).drop(
-        "places", "terms")
-
-
-def row_counts(matrix: DataFrame) -> DataFrame:
-    """id, part, flags, digest, n_words (row sum) and n_distinct (nonzero entries) of every document."""
-    def sums(indptr: pa.Array, indices: pa.Array, counts: pa.Array) -> pa.Array:
-        words, distinct, ends = [], [], [0]
-        for p, i, c in zip(indptr, indices, counts):
-            at = p.values.to_numpy()
-            upto = np.concatenate([[0], np.cumsum(c.values.to_numpy(), dtype=np.int64)])
-            filled = np.concatenate([[0], np.cumsum(i.values.to_numpy() >= 0)])
-            words.append(np.diff(upto[at]))
-            distinct.append(np.diff(filled[at]))
-            ends.append(ends[-1] + len(at) - 1)
-        flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (words, distinct)]
-        rows = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in flat], ["n_words", "n_distinct"])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
-
-    counted = F.arrow_udf(sums, "array<struct<n_words: long, n_distinct: long>>")("indptr", "indices", "counts")
-    rows = matrix.select("id", "part", "capital", "special", "digest", counted.alias("n"))
-    rows = rows.select(F.explode(F.arrays_zip("id", "part", "capital", "special", "digest", "n")).alias("d"))
-    return rows.select("d.id", "d.part", "d.capital", "d.special", "d.digest", "d.n.n_words", "d.n.n_distinct")
+    fields = _shard_fields(cut.schema["id"].dataType.elementType, "array<long>")
+    names = [k for k, _ in fields]
+
+    def encode(batches):
+        for row, *matrix in _encoded(batches):
+            arrays = [pa.array([x.astype(np.int64)], pa.list_(pa.int64())) for x in matrix]
+            yield pa.RecordBatch.from_arrays([row.column(c) for c in names[:-3]] + arrays, names)
+
+    schema = T.StructType()
+    for name, kind in fields:
+        schema.add(name, kind)
+    return _with_terms(cut).mapInArrow(encode, schema)
+
+
+def row_counts(cut: DataFrame) -> DataFrame:
+    """id, part, flags, digest, n_words (row sum) and n_distinct (nonzero entries) of every row of the term matrix.
+
+    ``cut`` is read twice, so write it first.
+    """
+    plain = ("id", "part", "capital", "special", "digest")
+
+    def count(batches):
+        for row, indptr, terms, counts in _encoded(batches):
+            upto = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+            filled = np.concatenate([[0], np.cumsum((terms >= 0) & (counts > 0), dtype=np.int64)])
+            columns = [row.column(c).flatten() for c in plain]
+            columns += [pa.array(np.diff(x[indptr])) for x in (upto, filled)]
+            yield pa.RecordBatch.from_arrays(columns, [*plain, "n_words", "n_distinct"])
+
+    schema = T.StructType()
+    for name, kind in _shard_fields(cut.schema["id"].dataType.elementType):
+        if name in plain:
+            schema.add(name, kind.elementType)
+    schema.add("n_words", "long").add("n_distinct", "long")
+    return _with_terms(cut).mapInArrow(count, schema)
 
 
 def failed(counts: DataFrame, labels: DataFrame, label_id: str = "doc_id") -> DataFrame:
@@ -255,4 +296,4 @@ def audit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", part: str
           text: str = "text") -> DataFrame:
     """Counts per part, order of the five filters and step."""
     cut = written(shards(docs, id_col, part, text), "shards")
-    return orders(failed(written(row_counts(term_matrix(cut)), "filter_flags"), labels))
+    return orders(failed(written(row_counts(cut), "filter_flags"), labels))

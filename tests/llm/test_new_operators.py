@@ -165,7 +165,7 @@ def test_term_matrix(spark):
     """Small shards, one dictionary: the matrix holds every text's words, and a word has one number everywhere."""
     docs = [(i, t) for i, t in enumerate(["a b a", "b c", "", None, "c c c d", "a\tb\nz é", "x" * 50 + " a", "a b a"] * 9)]
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("source", F.lit("s")).repartition(3)
-    cut = filter_audit.shards(df, shard=16).cache()
+    cut = filter_audit.shards(df, shard=16, group_words=3).cache()
     terms = {}
     for r in filter_audit.dictionary(cut).collect():
         assert terms.setdefault(r.word, r.term) == r.term
@@ -179,13 +179,13 @@ def test_term_matrix(spark):
             a, b = m.indptr[k], m.indptr[k + 1]
             row = {word[t]: n for t, n in zip(m.indices[a:b], m.counts[a:b])}
             assert row == Counter((text[i] or "").split())
-    counts = {r.id: (r.n_words, r.n_distinct) for r in filter_audit.row_counts(filter_audit.term_matrix(cut)).collect()}
+    counts = {r.id: (r.n_words, r.n_distinct) for r in filter_audit.row_counts(cut).collect()}
     assert counts == {i: (len((t or "").split()), len(set((t or "").split()))) for i, t in docs}
 
 
 def test_dictionary_numbers_do_not_depend_on_the_shards(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
-    a, b = ({(r.word, r.term) for r in filter_audit.dictionary(filter_audit.shards(df.repartition(n), shard=size))
+    a, b = ({(r.word, r.term) for r in filter_audit.dictionary(filter_audit.shards(df.repartition(n), shard=size, group_words=3000))
              .select("word", "term").collect()} for n, size in ((2, 1 << 20), (5, 1 << 12)))
     assert a == b
 
@@ -195,7 +195,7 @@ def test_audit_of_one_text_does_not_gather_it(spark):
     df = spark.range(4000).selectExpr("id doc_id", "if(id % 3 > 0, 'same text', string(id)) text", "'s' source")
     marks = spark.range(10).selectExpr("id doc_id", "1 quality", "0 toxic")
     plan = filter_audit.failed(
-        filter_audit.row_counts(filter_audit.term_matrix(filter_audit.shards(df))), marks
+        filter_audit.row_counts(filter_audit.shards(df)), marks
     )._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list(id" not in plan
     r = filter_audit.audit(df, marks).filter("filter_order = 'EABCD' and step = 1").first()
