@@ -16,7 +16,9 @@ Rollups whose key collapses many rows (committee, committee x state,
 committee x candidate, committee x committee) aggregate first. The donor x
 committee key of the individual edges is nearly unique, so that branch joins
 the committee register first, sums per (donor, candidate id) and only then
-fans out over cycles (``edges_individual``). Independently, each dimension is
+fans out over cycles (``edges_individual``). A fact frame may also be partial
+sums of facts by key (``_amt`` cents, ``_n`` rows, as ``preaggregate`` makes
+them), which ``plans.incremental`` keeps per increment. Independently, each dimension is
 broadcast only if it passes the size check in ``plans.joins``; candidate
 cycles come from exploded lists, whose size the planner cannot estimate, so
 they carry no hint and adaptive execution decides on their real size.
@@ -35,11 +37,9 @@ from pyspark.sql import functions as F
 
 from ..functions import lookups as L
 from ..functions import rules
+from ..plans.heavy import salted_join
 from ..plans.joins import fits_broadcast, sized_broadcast
-
-#: Tasks that share the payments of one committee when its register is
-#: joined by shuffle.
-HOT_COMMITTEE_SALTS = 16
+from ..session import PARTITION_BYTES
 
 
 def explode_cycles(candidates: DataFrame, even_only: bool = False) -> DataFrame:
@@ -71,9 +71,11 @@ def even_cycles(cycles: DataFrame) -> DataFrame:
     return cycles.where(rules.is_even("election_cycle"))
 
 
-def _sum_amount(col: str = "trans_amt") -> F.Column:
-    """Exact sum of amounts in integer cents."""
-    return F.sum(rules.cents(col))
+def _measures(fact: DataFrame) -> tuple[F.Column, F.Column]:
+    """Cents and rows of a fact, or of a partial sum of facts."""
+    if "_amt" in fact.columns:
+        return F.col("_amt"), F.col("_n")
+    return rules.cents("trans_amt"), F.lit(1).cast("long")
 
 
 def _rollup(fact: DataFrame, fact_keys: list[str], dims: list[tuple[DataFrame, str]],
@@ -84,16 +86,18 @@ def _rollup(fact: DataFrame, fact_keys: list[str], dims: list[tuple[DataFrame, s
     ``out_keys`` + ``_amt`` (cents) + ``_n`` (count).
     """
     if eager is None or eager:
-        return _from_preaggregated(_preaggregate(fact, fact_keys), dims, out_keys)
-    base = fact.select(*fact_keys, rules.cents("trans_amt").alias("_amt"))
+        return _from_preaggregated(preaggregate(fact, fact_keys), dims, out_keys)
+    cents, rows = _measures(fact)
+    base = fact.select(*fact_keys, cents.alias("_amt"), rows.alias("_n"))
     for dim, key in dims:
         base = base.join(sized_broadcast(dim), key)
-    return base.groupBy(*out_keys).agg(F.sum("_amt").alias("_amt"), F.count(F.lit(1)).alias("_n"))
+    return base.groupBy(*out_keys).agg(F.sum("_amt").alias("_amt"), F.sum("_n").alias("_n"))
 
 
-def _preaggregate(fact: DataFrame, keys: list[str]) -> DataFrame:
+def preaggregate(fact: DataFrame, keys: list[str]) -> DataFrame:
     """Facts summed (cents) and counted per key: ``keys`` + ``_amt`` + ``_n``."""
-    return fact.groupBy(*keys).agg(_sum_amount().alias("_amt"), F.count(F.lit(1)).alias("_n"))
+    cents, rows = _measures(fact)
+    return fact.groupBy(*keys).agg(F.sum(cents).alias("_amt"), F.sum(rows).alias("_n"))
 
 
 def _from_preaggregated(pre: DataFrame, dims: list[tuple[DataFrame, str]], out_keys: list) -> DataFrame:
@@ -106,7 +110,7 @@ def committee_state_rollup(individual: DataFrame) -> DataFrame:
     """Individual money per (committee, donor state): the shared input of
     the geographic summary and the donor-type summary. Its size is bounded
     by committees x states, not by the number of contributions."""
-    return _preaggregate(individual, ["com_id", "contrib_state"])
+    return preaggregate(individual, ["com_id", "contrib_state"])
 
 
 def _cycle_dim(cycles: DataFrame, *cols: str) -> DataFrame:
@@ -152,7 +156,7 @@ def indiv_rollup(individual: DataFrame | None, committees: DataFrame, exact: boo
 
 def committee_rollup(direct: DataFrame, exact: bool = False) -> DataFrame:
     """Committee money given directly to each candidate."""
-    out = direct.groupBy("cand_id").agg(_sum_amount().alias("committee_funds"))
+    out = direct.groupBy("cand_id").agg(F.sum(_measures(direct)[0]).alias("committee_funds"))
     return out if exact else out.withColumn("committee_funds", rules.from_cents("committee_funds"))
 
 
@@ -191,28 +195,29 @@ def _edges(r: DataFrame, source_type: str, flow: str, min_weight: float | None)
 
 def edges_individual(individual: DataFrame, committees: DataFrame, cycles: DataFrame,
                      min_weight: float | None = L.INDIVIDUAL_MIN_WEIGHT,
-                     eager: bool | None = None, salts: int = HOT_COMMITTEE_SALTS) -> DataFrame:
+                     eager: bool | None = None, partition_bytes: int = PARTITION_BYTES,
+                     broadcast_limit: int | None = None) -> DataFrame:
     """Donor -> candidate edges (even cycles), kept when ``ABS(SUM)`` exceeds
     ``min_weight``.
 
     The facts meet the committee register once, are summed per (donor,
     candidate id), and only the sums meet the candidates' cycles, so raw
     facts never fan out over cycles. A register too big to broadcast is
-    joined by (committee, salt): the facts of one committee spread over
-    ``salts`` tasks by donor, and the register, the small side, is repeated.
+    joined by shuffle, and a committee with more than ``partition_bytes`` of
+    payments is dealt over as many tasks as its bytes ask for
+    (``plans.heavy``); where no committee has that many, nothing is salted.
     """
     register = committees.select("com_id", "cand_id")
-    facts = individual.select("contrib_name", "com_id", rules.cents("trans_amt").alias("_amt"))
+    cents, rows = _measures(individual)
+    facts = individual.select("contrib_name", "com_id", cents.alias("_amt"), rows.alias("_n"))
     if eager:  # the (donor, committee) key rarely collapses; kept for comparison
-        facts = facts.groupBy("contrib_name", "com_id").agg(F.sum("_amt").alias("_amt"), F.count(F.lit(1)).alias("_n"))
-    else:
-        facts = facts.withColumn("_n", F.lit(1).cast("long"))
-    if fits_broadcast(register):
+        facts = facts.groupBy("contrib_name", "com_id").agg(F.sum("_amt").alias("_amt"), F.sum("_n").alias("_n"))
+    if fits_broadcast(register, broadcast_limit):
         joined = facts.join(F.broadcast(register), "com_id")
     else:
-        salt = F.pmod(F.xxhash64("contrib_name"), F.lit(salts)).cast("int")
-        repeated = register.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = facts.withColumn("_salt", salt).join(repeated, ["com_id", "_salt"])
+        # payments of one donor may be many as well: dealt by amount too
+        spread = F.struct("contrib_name", "_amt")
+        joined = salted_join(facts, register, "com_id", spread, partition_bytes)
     sums = joined.groupBy("contrib_name", "cand_id").agg(F.sum("_amt").alias("_amt"), F.sum("_n").alias("_n"))
     r = _from_preaggregated(
         sums, [(_cycle_dim(cycles, "cand_id", "cand_name", "election_cycle"), "cand_id")],

@@ -42,11 +42,27 @@ def broadcast_limit(df: DataFrame) -> int:
         return DEFAULT_LIMIT
 
 
+def _plan_bytes(plan) -> int:
+    size = plan.stats().sizeInBytes()
+    return size if isinstance(size, int) else int(str(size.toString()))
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` (None when unavailable)."""
     try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size) if isinstance(size, int) else int(str(size.toString()))
+        return _plan_bytes(df._jdf.queryExecution().optimizedPlan())
+    except Exception:
+        return None
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the tables that ``df`` reads, allowing for decompression (None when unavailable).
+
+    Unlike the estimate of a joined frame, which multiplies the sizes of its
+    sides, this follows the data; a plan that multiplies rows can be larger."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return DECOMPRESSION * sum(_plan_bytes(leaves.apply(i)) for i in range(leaves.size()))
     except Exception:
         return None
 
