@@ -21,7 +21,7 @@ from ..sources import delimited, snapshots, tables
 from ..sources.paths import fingerprint
 from . import bindings as B
 from . import oracle as O
-from . import pipeline
+from . import incremental, pipeline
 from .scratch import new_scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -599,7 +599,7 @@ def q_silver_dataset(spark, sf):
     _land_individual(spark, sf, root)
     df = silver.build_silver(spark, _IND, bulk_path=f"{root}/bronze/itcont.txt", landing_root=f"{root}/landing")
     tables.write_silver(df, root, _IND)
-    return spark.read.parquet(tables.table_path(root, "silver", _IND))
+    return tables.load_silver(spark, root, [_IND])[_IND]
 
 
 @query("layer_counts", O.with_ctes("""
@@ -613,7 +613,7 @@ def q_layer_counts(spark, sf):
     api = snapshots.read_snapshots(spark, f"{root}/landing", "api_raw_individual_contribs")
     out = silver.silver_from_sources(_IND, bulk, api)
     tables.write_silver(out, root, _IND)
-    written = spark.read.parquet(tables.table_path(root, "silver", _IND))
+    written = tables.load_silver(spark, root, [_IND])[_IND]
     counts = silver.layer_counts(bulk, api, written)
     return counts.select("layer", F.col("rows").alias("row_count"))
 
@@ -694,6 +694,57 @@ def q_sink_roundtrip(spark, sf):
     return tables.load_gold(spark, root)["network_metrics"]
 
 
+# ------------------------------------------------------------------ increments, heavy keys
+
+
+@query("network_individual_shuffled", O.with_ctes("SELECT * FROM edges_individual", "edges_individual"))
+def q_network_individual_shuffled(spark, sf):
+    """The register joined by shuffle, committees of more than 64 KB of payments dealt over several tasks."""
+    s = _in(spark, sf)
+    return gold.edges_individual(s["individual_contributions"], s["committee_master"],
+                                 gold.explode_cycles(s["candidate_master"]), partition_bytes=64 << 10, broadcast_limit=0)
+
+
+@query("silver_increments", O.with_ctes(
+    f"SELECT DISTINCT {O.clean_select(_IND)} FROM (SELECT * FROM ind_bulk_mem UNION ALL SELECT * FROM ind_api) u",
+    "ind_bulk_mem", "ind_api"))
+def q_silver_increments(spark, sf):
+    """The bulk file's rows in buckets, then two overlapping snapshots merged as increments."""
+    root = new_scratch(spark, "silver_increments")
+    bulk, api = B.frame(spark, sf, "raw_itcont"), B.frame(spark, sf, "raw_itcont_api")
+    tables.write_silver(silver.silver_from_sources(_IND, bulk, None), root, _IND, buckets=8)
+    early = api.where("pmod(xxhash64(contributor_name), 2) = 0")
+    for pull in (early, api):
+        incremental.merge(silver.silver_from_sources(_IND, None, pull), root, _IND)
+    return tables.load_silver(spark, root, [_IND])[_IND]
+
+
+def maintained_root(spark: SparkSession, sf: str, increments: int = 3) -> str:
+    """Silver tables that grow by increments, partial sums refreshed after each; payments are dealt to
+    the increments by a hash of the row, so every sum is made of several of them."""
+    root = new_scratch(spark, "maintained")
+    inputs = _in(spark, sf)
+    for d in ("candidate_master", "committee_master"):
+        tables.write_silver(inputs[d], root, d)
+    for i in range(increments):
+        for d in {d for d, _ in incremental.PARTIALS.values()}:
+            rows = inputs[d]
+            incremental.append(rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(increments)) == i), root, d)
+        incremental.refresh(spark, root)
+    return root
+
+
+def _maintained(name: str, cte: str):
+    @query(f"maintained_{cte}", O.with_ctes(f"SELECT * FROM {cte}", cte))
+    def kept(spark, sf):
+        return incremental.gold_tables(spark, maintained_root(spark, sf))[name]
+
+
+_maintained("geo_summary", "geo")
+_maintained("donor_type_summary", "donor")
+_maintained("network_metrics", "network")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

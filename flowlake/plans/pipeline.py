@@ -5,10 +5,18 @@ same bulk file (``itpas2.txt``) are built from one scan and one distinct.
 ``run_gold`` reads the silver tables back and writes the three gold tables.
 Each layer is written to storage before the next reads it, so a lost
 executor only repeats work of the current layer.
+
+A silver table is staged, checked and only then published: its write
+collects how many values the cleaning rules could not read, and with
+``max_bad_share`` a table with more of them than that keeps its old version.
+A published version records the fingerprint of its input files, so with
+``resume`` a second run after a failure builds only what is missing or whose
+inputs have changed.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections import OrderedDict
 from concurrent.futures import ThreadPoolExecutor
@@ -19,8 +27,8 @@ from pyspark.sql import functions as F
 from .. import registry as R
 from ..operators import gold, silver
 from ..session import sized_for
-from ..sources import snapshots, tables
-from ..sources.paths import delete_path, size_of
+from ..sources import snapshots, tables, versions
+from ..sources.paths import delete_path, fingerprint, path_exists, size_of
 
 log = logging.getLogger(__name__)
 
@@ -71,11 +79,45 @@ def _metrics(*observations) -> dict:
     return out
 
 
-def _build_group(spark: SparkSession, bulk_file: str, group, bronze_root, landing_root, out_root, layouts):
-    """Read the sources of one bulk file's dataset(s) once, build, write.
-    Returns per-dataset metrics observed during the write (no extra scans)."""
+def _inputs(spark: SparkSession, bulk_path: str | None, landing_root: str | None, prefix: str) -> str:
+    """A hash of the names, sizes and times of a dataset's input files."""
+    found = [bulk_path] if bulk_path and path_exists(spark, bulk_path) is not False else []
+    found += snapshots.find_snapshots(spark, landing_root, prefix) if landing_root else []
+    return hashlib.sha256(fingerprint(spark, *found).encode()).hexdigest()
+
+
+def bad_share(metrics: dict) -> float:
+    """The largest share of unreadable values that any column's cleaning rule met."""
+    rows = metrics.get("candidate_rows") or 0
+    return max((v / rows for k, v in metrics.items() if k.startswith("bad_") and rows), default=0.0)
+
+
+def _publish(spark, root, dataset, part, schema, metrics, inputs, max_bad_share) -> dict:
+    """Make a staged part the table, unless too many of its values were unreadable."""
+    layer = tables.silver_layer(root)
+    published = max_bad_share is None or bad_share(metrics) <= max_bad_share
+    if published:
+        versions.commit(spark, layer, dataset, versions.load(spark, layer, dataset), [part], rows=metrics["rows"],
+                        inputs=inputs, schema=schema, metrics=metrics)
+        versions.vacuum(spark, layer, dataset)
+    else:
+        log.warning("%s: %.3f of a column is unreadable; the old version stays", dataset, bad_share(metrics))
+        delete_path(spark, f"{layer}/{part}")
+    return {**metrics, "published": published}
+
+
+def _build_group(spark: SparkSession, bulk_file: str, group, bronze_root, landing_root, out_root, layouts,
+                 max_bad_share=None, resume=False):
+    """Read the sources of one bulk file's dataset(s) once, build, stage,
+    publish. Returns per-dataset metrics observed during the write (no extra
+    scans)."""
     _describe(spark, "silver " + "+".join(d for d, _ in group))
     bulk_path = f"{bronze_root.rstrip('/')}/{bulk_file}" if bronze_root else None
+    inputs = {d: _inputs(spark, bulk_path, landing_root, prefix) for d, prefix in group}
+    if resume:
+        done = {d: versions.load(spark, tables.silver_layer(out_root), d) for d, _ in group}
+        if all(done[d].inputs == inputs[d] for d in done):
+            return {d: {**done[d].extra["metrics"], "published": True, "resumed": True} for d in done}
     bulk, bulk_obs = _observe_bulk(silver.read_bulk(spark, bulk_path, layouts.get(bulk_file), flag_corrupt=True))
     api, api_obs = {}, {}
     for d, prefix in group:
@@ -85,27 +127,31 @@ def _build_group(spark: SparkSession, bulk_file: str, group, bronze_root, landin
         log.warning("no source for %s; skipped", [d for d, _ in group])
         return {}
     rejected = Observation()
-    if len(group) == 1:
-        dataset = group[0][0]
-        out = silver.silver_from_sources(dataset, bulk, api[dataset], rejected)
-        written = tables.write_silver(out, out_root, dataset, observe=True)
-        return {dataset: {**_metrics(bulk_obs, api_obs[dataset], rejected), **(written or {})}}
     datasets = tuple(d for d, _ in group)
-    split = silver.build_split_silver(bulk, api, datasets, rejected)
-    rows = tables.write_split_silver(split, out_root, datasets)
+    if len(group) == 1:
+        out = silver.silver_from_sources(datasets[0], bulk, api[datasets[0]], rejected)
+        staged, schema = {datasets[0]: tables.stage_silver(out, out_root, datasets[0])}, out.schema
+    else:
+        split = silver.build_split_silver(bulk, api, datasets, rejected)
+        staged, schema = tables.stage_split_silver(split, out_root, datasets), split.drop(silver.DATASET_COLUMN).schema
     shared = _metrics(bulk_obs, rejected)
-    return {d: {**shared, **_metrics(api_obs[d]), "rows": rows[d]} for d in datasets}
+    return {d: _publish(spark, out_root, d, part, schema, {**shared, **_metrics(api_obs[d]), "rows": rows}, inputs[d],
+                        max_bad_share) for d, (part, rows) in staged.items()}
 
 
 def run_silver(spark: SparkSession, bronze_root: str | None, landing_root: str | None, out_root: str,
                tasks=R.SILVER_TASKS, layouts: dict[str, list[str]] | None = None,
-               max_parallel: int = 4) -> dict[str, dict | None]:
-    """Build and write all silver tables. Returns per-dataset metrics
+               max_parallel: int = 4, max_bad_share: float | None = None, resume: bool = False
+               ) -> dict[str, dict | None]:
+    """Build and publish all silver tables. Returns per-dataset metrics
     observed during the write job itself: ``bulk_rows`` and
     ``malformed_rows`` of the bulk scan, ``api_rows`` of the snapshots,
     ``bad_*`` and ``sub_cent_*`` values met by the cleaning rules (for a
-    split source, over all its datasets) and ``rows`` written. A dataset with
-    no source at all is skipped.
+    split source, over all its datasets), ``rows`` written and whether they
+    were ``published``. A dataset with no source at all is skipped; one with
+    more than ``max_bad_share`` unreadable values in a column keeps its old
+    version; with ``resume`` one whose input files are those of its current
+    version is left as it is.
 
     The datasets are independent jobs; up to ``max_parallel`` of them are
     submitted at once (Spark runs concurrent jobs side by side), so the
@@ -117,8 +163,8 @@ def run_silver(spark: SparkSession, bronze_root: str | None, landing_root: str |
     size = size_of(spark, *inputs, *([landing_root] if landing_root else []))
     done: dict[str, dict | None] = {}
     with sized_for(spark, size), ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(groups)))) as pool:
-        futures = [pool.submit(_build_group, spark, f, g, bronze_root, landing_root, out_root, layouts)
-                   for f, g in groups]
+        futures = [pool.submit(_build_group, spark, f, g, bronze_root, landing_root, out_root, layouts,
+                               max_bad_share, resume) for f, g in groups]
         for fut in futures:
             done.update(fut.result())
     return done
@@ -131,7 +177,7 @@ def run_gold(spark: SparkSession, root: str, partition_by_cycle: bool = True, ma
     number of cycle list elements that were no number."""
     shared = tables.table_path(root, "gold", "_shared_committee_state")
     silver_in = tables.load_silver(spark, root)
-    size = size_of(spark, *(tables.table_path(root, "silver", d) for d in silver_in))
+    size = size_of(spark, *(p for d in silver_in for p in tables.silver_paths(spark, root, d)))
     with sized_for(spark, size):
         built = gold.build_gold(silver_in, shared_path=shared, **edge_params)
         tables.write_gold(built, root, partition_by_cycle=partition_by_cycle, max_parallel=max_parallel)

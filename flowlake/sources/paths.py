@@ -68,6 +68,45 @@ def fingerprint(spark: SparkSession, *paths: str) -> str:
     return "|".join(sorted(parts))
 
 
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder, sorted, hidden ones left out; an absent folder has none."""
+    path, fs = _open(spark, folder)
+    if not fs.exists(path):
+        return []
+    names = (s.getPath().getName() for s in fs.listStatus(path))
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file; fails if it exists."""
+    p, fs = _open(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    p, fs = _open(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def move_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Give a file its final name; False, and the file is deleted, if the name is taken."""
+    p, fs = _open(spark, source)
+    t, _ = _open(spark, target)
+    if fs.exists(t) or not fs.rename(p, t):
+        fs.delete(p, False)
+        return False
+    return True
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder the engine itself has written."""
     p, fs = _open(spark, path)

@@ -2,24 +2,26 @@
 
 Tables are written as Parquet datasets (many part files, one per task), not
 as a single file: funnelling a large table through one writer task would
-serialise the whole write. Every silver dataset has one home,
-``silver/dataset=<name>``, whether it was written alone or cut from a shared
-source. Gold tables that the views filter by cycle can be partitioned on
+serialise the whole write. Silver tables are versioned (``versions``): a write
+goes to a folder of its own and becomes the table by one small commit, so
+readers see the old rows or the new ones. Gold tables that the views filter by cycle can be partitioned on
 ``election_cycle`` so a drill-down reads one folder; rows are clustered by
 the partition column before such a write (adaptive execution splits a large
 value over several tasks), so the number of files follows the data, not
-tasks x values. The cycles of each gold table are kept in a small table, so
-a list of cycles scans no gold table.
+tasks x values. The cycles of each gold table are collected during its write
+and kept in a small table, so a list of cycles scans no gold table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..registry import GOLD_INPUTS
+from . import versions
 
 GOLD_TABLES = ("geo_summary", "donor_type_summary", "network_metrics")
 GOLD_SCHEMAS = {
@@ -59,38 +61,69 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return obs.get if obs is not None else None
 
 
-def write_silver(df: DataFrame, root: str, dataset: str, observe: bool = False):
-    return write_table(df, table_path(root, "silver", dataset), observe=observe)
+def silver_layer(root: str) -> str:
+    return f"{root.rstrip('/')}/silver"
 
 
-def write_split_silver(df: DataFrame, root: str, datasets: Iterable[str]) -> dict[str, int]:
-    """Datasets cut from one source (``dataset`` column) in one write, each
-    into its own home. Returns the rows written per dataset; a dataset
-    without rows becomes an empty table instead of keeping its old rows."""
+def silver_paths(spark: SparkSession, root: str, dataset: str) -> list[str]:
+    """The folders that hold the current version of a silver table (none if it was never written)."""
+    return versions.paths(silver_layer(root), versions.load(spark, silver_layer(root), dataset))
+
+
+def stage_silver(df: DataFrame, root: str, dataset: str, buckets: int | None = None) -> tuple[str, int]:
+    """Write a part of a silver table that no version names yet: its name and its rows."""
+    part, path = versions.new_part(silver_layer(root), dataset)
+    if buckets:
+        versions.write_bucketed(df, path, buckets)
+        return part, df.sparkSession.read.schema(df.schema).parquet(path).count()  # from the files' footers
+    return part, write_table(df, path, observe=True)["rows"]
+
+
+def write_silver(df: DataFrame, root: str, dataset: str, observe: bool = False, buckets: int | None = None):
+    """Replace a silver table by a new version; with ``buckets`` its rows are
+    dealt by their hash, for ``incremental.merge``."""
+    layer = silver_layer(root)
+    part, rows = stage_silver(df, root, dataset, buckets)
+    after = versions.load(df.sparkSession, layer, dataset)
+    versions.commit(df.sparkSession, layer, dataset, after, [part], buckets=buckets, rows=rows,
+                    schema=df.schema)
+    return {"rows": rows} if observe else None
+
+
+def stage_split_silver(df: DataFrame, root: str, datasets: Iterable[str]) -> dict[str, tuple[str, int]]:
+    """Datasets cut from one source (``dataset`` column) in one write: part
+    and rows of each; a dataset without rows gets an empty part."""
     datasets = list(datasets)
-    obs = Observation("rows_by_dataset")
+    group, path = versions.new_part(silver_layer(root))
+    obs = Observation()
     counts = [F.count(F.when(F.col("dataset") == d, 1)).alias(d) for d in datasets]
-    write_table(df.observe(obs, *counts), f"{root.rstrip('/')}/silver", partition_by=["dataset"], mode="dynamic")
-    rows = {d: obs.get[d] for d in datasets}
-    for d, n in rows.items():
-        if not n:
-            write_silver(df.drop("dataset").limit(0), root, d)
-    return rows
+    write_table(df.observe(obs, *counts), path, partition_by=["dataset"])
+    for d in datasets:
+        if not obs.get[d]:
+            write_table(df.drop("dataset").limit(0), f"{path}/dataset={d}")
+    return {d: (f"{group}/dataset={d}", obs.get[d]) for d in datasets}
 
 
-def load_split_silver(spark: SparkSession, root: str, datasets: Iterable[str]) -> DataFrame:
-    """Several datasets of equal columns with their ``dataset`` label."""
-    paths = [table_path(root, "silver", d) for d in datasets]
-    return spark.read.option("basePath", f"{root.rstrip('/')}/silver").parquet(*paths)
+def write_split_silver(df: DataFrame, root: str, datasets: Iterable[str]) -> dict[str, int]:
+    """Replace several silver tables by one write; returns the rows of each.
+    A dataset without rows becomes an empty table instead of keeping its old rows."""
+    spark, layer = df.sparkSession, silver_layer(root)
+    staged = stage_split_silver(df, root, datasets)
+    for d, (part, rows) in staged.items():
+        versions.commit(spark, layer, d, versions.load(spark, layer, d), [part], rows=rows,
+                        schema=df.drop("dataset").schema)
+    return {d: rows for d, (_, rows) in staged.items()}
 
 
-def _read_silver(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, "silver", dataset))
+def load_split_silver(spark: SparkSession, root: str, datasets: Iterable[str]) -> DataFrame:
+    """Several datasets of equal columns with their ``dataset`` label."""
+    parts = [versions.read(spark, silver_layer(root), d).withColumn("dataset", F.lit(d)) for d in datasets]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def load_silver(spark: SparkSession, root: str, datasets=GOLD_INPUTS) -> dict[str, DataFrame]:
     """All silver inputs of the gold job; fails if any is missing."""
-    return {d: _read_silver(spark, root, d) for d in datasets}
+    return {d: versions.read(spark, silver_layer(root), d) for d in datasets}
 
 
 def cycles_path(root: str, name: str) -> str:
@@ -113,12 +146,16 @@ def write_gold(tables: Mapping[str, DataFrame], root: str, partition_by_cycle: b
             df.sparkSession.sparkContext.setJobDescription(f"gold {name}")
         except Exception:
             pass
-        part = ["election_cycle"] if partition_by_cycle and "election_cycle" in df.columns else None
         path = table_path(root, "gold", name)
-        write_table(df, path, partition_by=part)
-        if "election_cycle" in df.columns:
-            stored = df.sparkSession.read.schema(df.schema).parquet(path)
-            write_table(stored.select("election_cycle").distinct(), cycles_path(root, name))
+        if "election_cycle" not in df.columns:
+            write_table(df, path)
+            return
+        obs = Observation()  # a few years, whatever the rows
+        seen = df.observe(obs, F.collect_set("election_cycle").alias("cycles"),
+                          F.count_if(F.col("election_cycle").isNull()).alias("without"))
+        write_table(seen, path, partition_by=["election_cycle"] if partition_by_cycle else None)
+        cycles = [(c,) for c in obs.get["cycles"]] + [(None,)] * bool(obs.get["without"])
+        write_table(df.sparkSession.createDataFrame(cycles, "election_cycle string").coalesce(1), cycles_path(root, name))
 
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(tables)))) as pool:
         list(pool.map(one, tables.items()))

@@ -7,17 +7,24 @@ landing folder, triggered with ``availableNow`` (process what has landed,
 then stop), with its progress in a checkpoint folder.
 
 A micro-batch is projected, code-filtered, cleaned and de-duplicated and
-written to a folder of its own, ``increments/dataset=<name>/batch=<id>``;
+written to a folder of its own, ``increments/dataset=<name>/batch=<query>-<id>``;
 its cost follows the batch, not the silver table. A batch replayed after a
-failure overwrites its folder, so nothing is appended twice.
-``compact_increments`` merges all increments into the silver table when the
-operator schedules it: one DISTINCT over both, the same plan as the batch
-job's.
+failure overwrites its folder, so nothing is appended twice; the name holds the
+stream's own id, so a stream with a new checkpoint takes new names.
+
+``compact_increments`` merges the increments that it finds when it starts into
+a new version of the silver table (``sources.versions``) and names them in the
+commit; afterwards exactly those are deleted. An increment that lands meanwhile
+is left for the next run. A failure before the commit leaves the old version
+and all increments, one after it leaves the new version and increments that it
+already holds, which readers and the next run pass over.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +33,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import registry as R
 from ..operators import silver
-from ..plans.scratch import new_scratch
-from ..sources import tables
-from ..sources.paths import delete_path, path_exists
+from ..plans import incremental
+from ..sources import tables, versions
+from ..sources.paths import delete_path, list_names, read_text
 from ..sources.snapshots import REJECTED
 
 
@@ -66,7 +73,8 @@ def ingest_increments(spark: SparkSession, landing_root: str, dataset: str, root
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         rows = silver.dedup(silver.clean(silver.filter_codes(silver.project_api(batch, dataset), dataset)))
-        tables.write_table(rows, f"{increments_path(root, dataset)}/batch={batch_id}")
+        stream_id = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        tables.write_table(rows, f"{increments_path(root, dataset)}/batch={stream_id}-{batch_id}")
 
     return (stream.writeStream.foreachBatch(on_batch)
             .option("checkpointLocation", checkpoint)
@@ -74,23 +82,43 @@ def ingest_increments(spark: SparkSession, landing_root: str, dataset: str, root
             .start())
 
 
+def pending_increments(spark: SparkSession, root: str, dataset: str) -> list[str]:
+    """Names of the landed increments that the silver table does not hold yet."""
+    held = versions.load(spark, tables.silver_layer(root), dataset).consumed
+    return [n for n in list_names(spark, increments_path(root, dataset)) if n not in held]
+
+
+def _increments(spark: SparkSession, root: str, dataset: str, names: list[str]) -> DataFrame:
+    paths = [f"{increments_path(root, dataset)}/{n}" for n in names]
+    return spark.read.parquet(*paths).select(*R.target_columns(dataset))
+
+
 def read_with_increments(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """The silver rows of ``dataset`` with all increments, distinct."""
-    targets = R.target_columns(dataset)
-    parts = [p for p in (tables.table_path(root, "silver", dataset), increments_path(root, dataset))
-             if path_exists(spark, p) is not False]
-    frames = [spark.read.option("recursiveFileLookup", True).parquet(p).select(*targets) for p in parts]
-    return silver.dedup(frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1]))
+    """The silver rows of ``dataset`` with all landed increments, distinct."""
+    names = pending_increments(spark, root, dataset)
+    state = versions.load(spark, tables.silver_layer(root), dataset)
+    parts = []
+    if state.version:
+        parts.append(versions.read(spark, tables.silver_layer(root), dataset, state.version).select(*R.target_columns(dataset)))
+    if names:
+        parts.append(_increments(spark, root, dataset, names))
+    return silver.dedup(reduce(lambda a, b: a.unionByName(b), parts))
 
 
 def compact_increments(spark: SparkSession, root: str, dataset: str) -> int:
-    """Merge the increments into the silver table; returns its rows. The
-    merged table is written aside first, so a failure leaves the old state,
-    and the increments are removed last."""
-    aside = new_scratch(spark, f"compact-{dataset}")
-    tables.write_table(read_with_increments(spark, root, dataset), aside)
-    merged = spark.read.parquet(aside)
-    rows = tables.write_silver(merged, root, dataset, observe=True)["rows"]
-    delete_path(spark, increments_path(root, dataset))
-    delete_path(spark, aside)
-    return rows
+    """Merge the landed increments into a new version of the silver table;
+    returns its rows. A bucketed table is not rewritten: the rows that are new
+    become one more part (``incremental.merge``)."""
+    layer = tables.silver_layer(root)
+    state = versions.load(spark, layer, dataset)
+    names = pending_increments(spark, root, dataset)
+    if names and state.buckets:
+        state = incremental.merge(_increments(spark, root, dataset, names), root, dataset, consumed=names).commit
+    elif names:
+        merged = read_with_increments(spark, root, dataset)
+        part, rows = tables.stage_silver(merged, root, dataset)
+        state = versions.commit(spark, layer, dataset, state, [part], consumed=names, rows=rows, schema=merged.schema)
+    versions.vacuum(spark, layer, dataset)
+    for n in state.consumed:  # also those that a failed run left behind
+        delete_path(spark, f"{increments_path(root, dataset)}/{n}")
+    return state.rows

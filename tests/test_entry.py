@@ -27,13 +27,13 @@ def test_entry_runs_with_stable_schema(spark, entry_module):
 def test_every_query_has_oracle_sql(entry_module):
     qs, sql = entry_module.queries(), entry_module.oracle_sql()
     own = {k for k in qs if not re.match(r"op\d+_|pipeline$", k)}
-    assert own == set(sql) & own and len(own) == 55
+    assert own == set(sql) & own and len(own) == 60
     assert all(callable(f) for f in qs.values()) and set(sql) <= set(qs)
 
 
 def test_training_data_queries_come_together_or_not_at_all(entry_module):
     more = {k for k in entry_module.queries() if re.match(r"op\d+_|pipeline$", k)}
-    assert len(more) == (11 if importlib.util.find_spec("corpus_pipeline") and importlib.util.find_spec("flowlake.llm")
+    assert len(more) == (14 if importlib.util.find_spec("corpus_pipeline") and importlib.util.find_spec("flowlake.llm")
                          else 0)
 
 

@@ -94,8 +94,8 @@ def test_gold_matches_oracle_on_silver(spark, built, table, cte):
     root, _ = built
     con = duckdb.connect()
     for role, dataset in ROLE_OF.items():
-        path = tables.table_path(root, "silver", dataset)
-        con.execute(f"CREATE VIEW {role} AS SELECT * FROM read_parquet('{path}/*.parquet')")
+        files = [f"{p.removeprefix('file:')}/*.parquet" for p in tables.silver_paths(spark, root, dataset)]
+        con.execute(f"CREATE VIEW {role} AS SELECT * FROM read_parquet({files})")
     res = con.execute(_gold_sql(cte))
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()

@@ -103,7 +103,7 @@ def test_build_silver_from_files_and_counts(spark, tmp_dir):
                              landing_root=f"{tmp_dir}/landing")
     metrics = tables.write_silver(df, tmp_dir, "individual_contributions", observe=True)
     assert metrics["rows"] == 1
-    r = spark.read.parquet(tables.table_path(tmp_dir, "silver", "individual_contributions")).first()
+    r = spark.read.parquet(*tables.silver_paths(spark, tmp_dir, "individual_contributions")).first()
     assert (r.com_id, r.contrib_emp, r.trans_date, r.trans_amt) == ("C1", "NOT SPECIFIED", "2026-03-31", 10.0)
     assert silver.build_silver(spark, "individual_contributions", bulk_path=f"{tmp_dir}/missing.txt") is None
 
