@@ -288,8 +288,14 @@ def identify(df: DataFrame, model: dict | None, id_col: str = "doc_id", text: st
     return out.select(F.col("id").alias(id_col), F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
 
 
-def keep_known(df: DataFrame, model: dict | None, text: str = "text", min_score: float = 0.4) -> DataFrame:
-    """The rows of ``df`` whose language is told with at least ``min_score``."""
+def least_score(model: dict | None) -> float:
+    """The score that tells a language from the others: 0.4, with more than four languages 1.6 times chance."""
+    return min(0.4, 1.6 / max(1, len(model["langs"]))) if model else 0.4
+
+
+def keep_known(df: DataFrame, model: dict | None, text: str = "text", min_score: float | None = None) -> DataFrame:
+    """The rows of ``df`` whose language is told with at least ``min_score`` (``least_score`` of the model)."""
+    min_score = least_score(model) if min_score is None else min_score
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
     out = df.select(row.alias("row"), predict(F.col(text), model).alias("p"))
     return out.filter((F.col("p.lang") != UNKNOWN) & (F.col("p.score") >= min_score)).select("row.*")

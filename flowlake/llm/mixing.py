@@ -9,17 +9,18 @@ over the per-source totals evaluates all midpoints of the next five bisection
 steps at once, as sums, so no list of sources reaches the driver.
 
 Realisation: a source's token budget is its weight times the total budget.
-Its documents are dealt into blocks of about ``block_tokens`` by a hash, and
+Its documents are dealt into blocks of about ``block_tokens`` tokens, or
+``BLOCK_ROWS`` rows where texts are short, by a hash of id and content, and
 every epoch reads the blocks in a new pseudo-random order.  Whole epochs read
 everything; the last one stops before the document that would pass the
 budget.  The running token offset of a block comes from two levels of sums
 (groups of about sqrt(n) blocks, then blocks), so no window holds more than
-about sqrt(n) rows, and a source with a third of all rows is spread over its
-blocks.  ``position`` (share of the source's budget read before the document)
+about sqrt(n) rows, and a source, a null id or a repeated id with a third of
+all rows is spread over blocks (rows with one id and one text share theirs).  ``position`` (share of the source's budget read before the document)
 merges the sources: sorted by it, every stretch has the target weights.
 
 Defined results: a null source is a source of its own; a null id hashes like
-the text ``null``; a document without words costs nothing and is read with its
+the text ``null``, a null text like an empty one; a document without words costs nothing and is read with its
 block; a source without words has no weight and is left out; repeated rows
 are separate documents, ties in order are broken by id; an empty table gives
 an empty mixture; extra columns are carried only as the ``payload`` column.
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Production parameters.
-TARGET_ENTROPY, MAX_REPEATS, BLOCK_TOKENS, SEED = 0.95, 4.0, 20_000, 42
+TARGET_ENTROPY, MAX_REPEATS, BLOCK_TOKENS, BLOCK_ROWS, SEED = 0.95, 4.0, 20_000, 1_000, 42
 _STEPS, _LEVELS, _DIGITS = 8, 5, 6
 
 
@@ -122,24 +123,33 @@ def _offsets(blocks: DataFrame) -> DataFrame:
 
 def mixture(df: DataFrame, id_col: str = "doc_id", source: str = "source", tokens: Column | None = None,
             payload: Column | None = None, budget: int | None = None, target_entropy: float | None = TARGET_ENTROPY,
-            max_repeats: float | None = MAX_REPEATS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+            max_repeats: float | None = MAX_REPEATS, block_tokens: int = BLOCK_TOKENS,
+            block_rows: int = BLOCK_ROWS, content: Column | None = None) -> DataFrame:
     """The documents to read: id, source, epoch, block, n_tokens, stream_offset, weight, position[, payload].
 
-    ``tokens`` counts a document's tokens (default: words of ``text``); the
-    budget defaults to all tokens.  One row per document and epoch that reads it.
+    ``tokens`` counts a document's tokens (default: words of ``text``);
+    ``content`` tells documents with one id apart (default: ``text``, or the
+    whole row where there is none); the budget defaults to all tokens.  One
+    row per document and epoch that reads it.
     """
+    if content is None:
+        content = F.col("text") if "text" in df.columns else F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))
+    content = F.md5(F.coalesce(content.cast("string"), F.lit("")))
     tokens = F.size(common.words(F.col("text"))) if tokens is None else tokens
     cols = [F.col(id_col).alias("id"), F.col(source).cast("string").alias("source"),
-            F.coalesce(tokens, F.lit(0)).cast("long").alias("n_tokens"), _hash(F.lit(SEED), F.col(id_col)).alias("h")]
+            F.coalesce(tokens, F.lit(0)).cast("long").alias("n_tokens"), _hash(F.lit(SEED), F.col(id_col), content).alias("h")]
     docs = df.select(*cols, *([payload.alias("payload")] if payload is not None else []))
     if payload is None:
         docs = common.written(docs, "tokens")
     slim = docs.drop("payload")
-    totals = common.written(slim.groupBy("source").agg(F.sum("n_tokens").alias("tokens")), "totals")
+    totals = common.written(slim.groupBy("source").agg(
+        F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")), "totals")
+    sizes = totals.select(F.col("source").alias("sized"), "rows")
     mix = weights(totals, budget, target_entropy, max_repeats)
+    mix = mix.join(sizes, F.col("source").eqNullSafe(F.col("sized")))
     mix = common.written(mix.select(
         F.col("source").alias("name"), "tokens", "weight", "budget",
-        F.ceil(F.col("tokens") / block_tokens).cast("long").alias("n_blocks"),
+        F.ceil(F.greatest(F.col("tokens") / block_tokens, F.col("rows") / block_rows)).cast("long").alias("n_blocks"),
         F.floor(F.col("budget") / F.col("tokens")).cast("int").alias("full"),
         (F.col("budget") % F.col("tokens")).alias("rest")), "weights")
     dealt = docs.join(mix.select("name", "n_blocks"), F.col("source").eqNullSafe(F.col("name"))).withColumn(
@@ -167,4 +177,4 @@ def mixed_rows(df: DataFrame, id_col: str = "doc_id", source: str = "source", te
     """The mixture as rows of ``df``, one per reading."""
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
     tokens = F.size(common.words(F.col(text)))
-    return mixture(df, id_col, source, tokens, row, **how).select("payload.*")
+    return mixture(df, id_col, source, tokens, row, content=F.col(text), **how).select("payload.*")

@@ -5,6 +5,10 @@
 ``apply_rules`` compiles any such table into one projection.  Nothing but
 built-in functions is evaluated.
 
+Stop words: prose of any language written in words has short function words,
+so a word of up to three letters counts beside those of the list; a text with
+neither is a list, a table or noise.
+
 Defined results: a null, empty or all-blank text has no words, so every count
 is 0 and the text fails the base rule; ratios over zero words or lines are
 null and a null ratio passes its rule.  Rows are judged one by one, so ties,
@@ -118,7 +122,8 @@ def metrics(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> Da
         (count("l") - count(F.array_distinct("l"))).alias("n_dup_lines"),
         _covered(F.col("at")).alias("n_repeat_words"),
         F.greatest(count("l"), F.when(F.size("w") > 0, 1).otherwise(0)).cast("long").alias("n_lines"),
-        count(F.filter("w", lambda x: F.lower(x).isin(STOP_WORDS))).alias("n_stop_words"),
+        count(F.filter("w", lambda x: F.lower(x).isin(STOP_WORDS) | (F.length(x) <= 3) & x.rlike(r"^\p{L}+$"))).alias(
+            "n_stop_words"),
         F.length(F.regexp_replace("t", r"[^|]+", "")).cast("long").alias("n_separators"),
         F.regexp_count("t", F.lit("!!")).cast("long").alias("n_shouts"),
     )

@@ -116,9 +116,10 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _MIXING = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len({_WORDS}) AS n_tokens,
-         CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS h
+         CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':'
+           || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS h
   FROM documents),
-t AS (SELECT source, sum(n_tokens) AS tokens FROM d GROUP BY source HAVING sum(n_tokens) > 0),
+t AS (SELECT source, sum(n_tokens) AS tokens, count(*) AS n_rows FROM d GROUP BY source HAVING sum(n_tokens) > 0),
 s AS (SELECT tokens / sum(tokens) OVER () AS share, count(*) OVER () AS k FROM t),
 plain AS (SELECT -sum(share * ln(share)) AS h, ln(max(k)) * {mixing.TARGET_ENTROPY} AS goal, min(share) AS least,
             max(k) AS k FROM s),
@@ -146,11 +147,12 @@ a AS (SELECT round(CASE WHEN (SELECT pow(min(share), (SELECT a FROM a1) - 1) / s
                               FROM s) > {mixing.MAX_REPEATS}
                    THEN (SELECT (low + high) / 2 FROM by_repeats WHERE step = 40) ELSE (SELECT a FROM a1) END,
                    {mixing._DIGITS}) AS a),
-p AS (SELECT source, tokens, pow(tokens / sum(tokens) OVER (), (SELECT a FROM a)) AS power,
+p AS (SELECT source, tokens, n_rows, pow(tokens / sum(tokens) OVER (), (SELECT a FROM a)) AS power,
              sum(tokens) OVER () AS total FROM t),
-w AS (SELECT source, CAST(tokens AS BIGINT) AS tokens, round(power / sum(power) OVER (), 9) AS weight, total FROM p),
+w AS (SELECT source, CAST(tokens AS BIGINT) AS tokens, n_rows, round(power / sum(power) OVER (), 9) AS weight, total FROM p),
 b AS (SELECT source, tokens, weight, CAST(floor(weight * total) AS BIGINT) AS budget,
-             CAST(ceil(tokens / {float(mixing.BLOCK_TOKENS)}) AS BIGINT) AS n_blocks FROM w),
+             CAST(ceil(greatest(tokens / {float(mixing.BLOCK_TOKENS)}, n_rows / {float(mixing.BLOCK_ROWS)})) AS BIGINT)
+             AS n_blocks FROM w),
 dealt AS (SELECT d.doc_id, b.source, d.n_tokens, d.h, d.h % b.n_blocks AS block, b.tokens, b.weight, b.budget, b.n_blocks
           FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
 blocks AS (SELECT source, block, sum(n_tokens) AS size, any_value(n_blocks) AS n_blocks, any_value(tokens) AS tokens,
@@ -186,17 +188,19 @@ def _url_sql() -> str:
         fits = f"WHEN (host = '{suffix}' OR ends_with(host, '.{suffix}')) AND starts_with(path, '/{prefix}') THEN "
         action.append(f"{fits}'{a}'")
         rule.append(f"{fits}'{r}'")
+    seeds = ", ".join(f"'{w}'" for w in url_rules.SEED_WORDS)
     return f"""
 WITH u AS (
   SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN {_HOST} ELSE '' END AS host,
          CASE WHEN instr(url, '://') > 0 THEN {_PATH} ELSE '' END AS path FROM pages),
 k AS (
   SELECT *, CASE WHEN instr(url, '://') > 0 THEN list_sort(list_distinct(list_filter(list_concat(
-      list_transform(list_filter(string_split(host, '.')[-4:], lambda x: x <> ''), lambda x: 'label=' || x),
-      list_transform(list_filter(string_split(path, '/'), lambda x: regexp_matches(x, '[A-Za-z]'))[1:3],
+      list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'label=' || x),
+      list_transform(regexp_extract_all(host, '\\p{{L}}+'), lambda x: 'word=' || x),
+      list_transform(list_filter(string_split(path, '/'), lambda x: regexp_matches(x, '\\p{{L}}')),
                      lambda x: 'step=' || regexp_replace(x, '[0-9]+', '0', 'g')),
       list_transform(list_filter(list_transform(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&'),
-                     lambda x: split_part(x, '=', 1)), lambda x: x <> '')[1:4], lambda x: 'key=' || x),
+                     lambda x: split_part(x, '=', 1)), lambda x: x <> ''), lambda x: 'key=' || x),
       ['scheme=' || lower(split_part(url, '://', 1)),
        CASE WHEN regexp_matches(path, '\\.[A-Za-z0-9]{{1,5}}$')
             THEN 'ending=' || lower(regexp_extract(path, '\\.([A-Za-z0-9]{{1,5}})$', 1)) END,
@@ -205,15 +209,30 @@ k AS (
        CASE WHEN ends_with(path, '/') THEN 'folder' END]), lambda x: x IS NOT NULL))) ELSE [] END AS tokens FROM u),
 marks AS (SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
           FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
-x AS (SELECT row_number() OVER () AS r, bad, tokens FROM k JOIN marks ON page_id = doc_id WHERE len(tokens) > 0),
-one AS (SELECT r, bad, unnest(tokens) AS t FROM x),
-sets AS (SELECT r, bad, [t] AS a FROM one
-         UNION ALL SELECT p.r, p.bad, [p.t, q.t] FROM one p JOIN one q ON p.r = q.r AND p.t < q.t),
-good AS (SELECT a, count(*) AS n, sum(bad) / count(*) AS c FROM sets GROUP BY a
-         HAVING sum(bad) >= ceil({url_rules.MIN_SUPPORT} * (SELECT sum(bad) FROM x)) AND sum(bad) > 0
-            AND count(*) >= {url_rules.MIN_MATCHES} AND sum(bad) / count(*) >= {url_rules.MIN_CONFIDENCE}),
-rules AS (SELECT * FROM good g WHERE len(a) = 1
-          OR NOT EXISTS (SELECT 1 FROM good s WHERE len(s.a) = 1 AND list_contains(g.a, s.a[1]))),
+seeded AS (SELECT *, list_has_any(regexp_extract_all(host, '\\p{{L}}+'), [{seeds}]) AS seed FROM k),
+x AS (SELECT row_number() OVER () AS r, CASE WHEN seed THEN 1 ELSE bad END AS bad, tokens
+      FROM seeded LEFT JOIN marks ON page_id = doc_id WHERE len(tokens) > 0 AND (seed OR bad IS NOT NULL)),
+least AS (SELECT greatest(1, {url_rules.MIN_MATCHES}, ceil({url_rules.MIN_SUPPORT} * sum(bad))) AS least,
+                 sum(bad) / count(*) AS base FROM x),
+one AS (SELECT t, sum(bad) AS b, (sum(bad) + 1) / (count(*) + 2) AS tells
+        FROM (SELECT bad, unnest(tokens) AS t FROM x) GROUP BY t HAVING sum(bad) >= (SELECT least FROM least)),
+best AS (SELECT r, t FROM (SELECT r, unnest(tokens) AS t FROM x WHERE bad = 1) JOIN one USING (t)
+         QUALIFY row_number() OVER (PARTITION BY r ORDER BY tells DESC, t) <= {url_rules.COMBINED}),
+items AS (SELECT r, list(t ORDER BY t) AS items FROM best GROUP BY r),
+subsets AS (SELECT items, unnest(range(1, 1 << len(items))) AS m, count AS n
+            FROM (SELECT items, count(*) AS count FROM items GROUP BY items)),
+frequent AS (SELECT list_filter(items, lambda t, i: (m >> (i - 1)) & 1 = 1) AS a FROM subsets GROUP BY a
+             HAVING sum(n) >= (SELECT least FROM least)
+             UNION SELECT [t] FROM one),
+tx AS (SELECT tokens, count(*) AS n, sum(bad) AS b FROM x GROUP BY tokens),
+every AS (SELECT a, sum(n) AS n, sum(b) AS b, sum(b) / sum(n) AS c, bit_xor(hash(tokens)) AS matched
+          FROM frequent JOIN tx ON list_has_all(tokens, a) GROUP BY a),
+good AS (SELECT a, n, b, c FROM every WHERE b >= (SELECT least FROM least) AND c >= {url_rules.MIN_CONFIDENCE}),
+sure AS (SELECT good.* FROM good, least WHERE base IN (0, 1) OR c > base AND
+         -n * (c * ln(c / base) + CASE WHEN c < 1 THEN (1 - c) * ln((1 - c) / (1 - base)) ELSE 0 END)
+         < ln({url_rules.CHANCE} / greatest(1, (SELECT count(*) FROM (SELECT DISTINCT n, b, matched FROM every))))),
+rules AS (SELECT * FROM sure g
+          WHERE NOT EXISTS (SELECT 1 FROM sure s WHERE len(s.a) < len(g.a) AND list_has_all(g.a, s.a))),
 urls AS (SELECT DISTINCT url, tokens FROM k),
 hit AS (SELECT url, max(struct_pack(c := c, name := array_to_string(a, ' & '))).name AS mined
         FROM urls JOIN rules ON list_has_all(tokens, a) GROUP BY url),
@@ -252,7 +271,7 @@ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_str
              CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
              CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines,
-             len(list_filter(w, lambda x: lower(x) IN ({stop}))) AS n_stop_words,
+             len(list_filter(w, lambda x: lower(x) IN ({stop}) OR regexp_matches(x, '^\\p{{L}}{{1,3}}$'))) AS n_stop_words,
              length(regexp_replace(text, '[^|]+', '', 'g')) AS n_separators,
              (length(text) - length(replace(text, '!!', ''))) // 2 AS n_shouts
       FROM w LEFT JOIN again ON w.r = again.r),

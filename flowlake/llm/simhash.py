@@ -13,8 +13,9 @@ no pairs within a bucket are listed.  Links are deduplicated and their bit
 distance is verified before the components are taken.
 
 Exact copies and texts of equal fingerprint are one class from the start: the
-search runs over distinct fingerprints only, and documents join their class
-at the end, where AQE splits the rows of a large class.
+search runs over distinct fingerprints only, and documents join their
+fingerprint's class at the end, where the rows of a heavy fingerprint are dealt
+over several tasks.
 
 Defined results: a null, empty or all-blank text has fingerprint 0 and is
 linked like any other.  Null ids take part; ``component_id`` is the smallest
@@ -30,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.plans.heavy import salted_join
+
 from . import common
 from .components import components
 
@@ -83,8 +86,10 @@ def links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b): links that connect all distinct ``fp`` at most ``radius`` bits apart."""
     low, high = radius // 2, radius - radius // 2
     masks = _masks(high)
-    # few bytes here, 65 times as many below: keep them spread over all tasks
-    distinct = fingerprints.select("fp").distinct().repartition(common.shuffle_width(fingerprints), "fp")
+    # few bytes here, 65 times as many below: dealt over all tasks, by another expression than the one that
+    # the distinct rows are dealt by, as the planner would take an equal one for done
+    distinct = fingerprints.select("fp").distinct().repartition(
+        common.shuffle_width(fingerprints), F.xxhash64("fp"))
     ball = distinct.select(
         "fp", F.explode(F.array(*(F.lit(m).cast("long") for m in masks))).alias("m"))
     core = F.bit_count("m") <= low
@@ -97,22 +102,28 @@ def links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
-def classes(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-            radius: int = RADIUS) -> DataFrame:
-    """(id, fp, class_fp): each row's fingerprint and its component's smallest fingerprint."""
-    rows = common.written(
-        df.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text), shingle).alias("fp")), "fingerprints")
-    joined = components(links(rows, radius))
-    return rows.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "id", "fp", F.coalesce("component", "fp").alias("class_fp"))
+#: Bytes of rows of one fingerprint that a task joins with their class.
+_CLASS_BYTES = 32 << 20
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS) -> DataFrame:
-    """One row per document: id, ``fingerprint`` (hex), ``component_id``, ``kept`` (smallest id of its group)."""
-    c = classes(df, id_col, text, shingle, radius)
-    rep = c.groupBy("class_fp").agg(F.min("id").alias("component_id"))
-    return c.join(rep, "class_fp").select(
+    """One row per document: id, ``fingerprint`` (hex), ``component_id``, ``kept`` (smallest id of its group).
+
+    Ids are gathered by fingerprint first, so what meets by class are distinct
+    fingerprints; the rows join their fingerprint's result once, those of a
+    heavy one over several tasks.
+    """
+    rows = common.written(
+        df.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text), shingle).alias("fp"),
+                  F.monotonically_increasing_id().alias("n")), "fingerprints")
+    joined = components(links(rows, radius)).withColumnRenamed("node", "fp")
+    each = rows.groupBy("fp").agg(F.min("id").alias("least")).join(joined, "fp", "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("class_fp"))
+    each = common.written(each, "classes")
+    rep = each.groupBy("class_fp").agg(F.min("least").alias("component_id"))
+    found = common.written(each.join(rep, "class_fp").select("fp", "component_id"), "class_ids")
+    return salted_join(rows, found, "fp", F.col("n"), _CLASS_BYTES).select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -128,14 +139,18 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle:
     told apart by a hash of all their columns, and of identical rows one stays.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
-    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(*cols).alias("h"),
+    h = F.xxhash64(*(F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+                     for f in df.schema))  # maps have no hash of their own
+    rows = df.select(F.col(id_col).alias("id"), h.alias("h"),
                      fingerprint_column(F.col(text), shingle).alias("fp"))
     marks = common.written(rows, "fingerprints")
     joined = components(links(marks, radius)).withColumnRenamed("node", "fp")
     marks = marks.join(joined, "fp", "left").select(
         F.coalesce("component", "fp").alias("c"), F.struct(F.col("id").isNull().alias("n"), "id", "h").alias("k"))
     best = marks.groupBy("c").agg(F.min("k").alias("k")).select("k.id", "k.h").distinct()
-    chosen = df.select(F.col(id_col).alias("id"), F.xxhash64(*cols).alias("h"), F.struct(*cols).alias("row"))
+    chosen = df.select(F.col(id_col).alias("id"), h.alias("h"), F.struct(*cols).alias("row"))
+    # identical rows are combined before they travel
+    chosen = chosen.groupBy("id", "h").agg(F.first("row").alias("row"))
     chosen = chosen.join(best.withColumnsRenamed({"id": "id2", "h": "h2"}),
                          F.col("id").eqNullSafe(F.col("id2")) & (F.col("h") == F.col("h2")), "left_semi")
-    return chosen.dropDuplicates(["id", "h"]).select("row.*")
+    return chosen.select("row.*")

@@ -1,23 +1,29 @@
-"""Embedding near-duplicates by measured projection passes and exact blocks.
+"""Embedding near-duplicates by measured projection passes.
 
 Each pass hashes a vector to a string of random hyperplane signs, orders the
-vectors by it (equal strings in a fresh order per pass) and compares every
-vector with the ``BLOCK`` ones or more on either side of it in that order.
-Pairs are verified by their cosine in double precision, the links of all
-passes are united, and their connected components are taken.
+vectors by it (equal strings in a fresh order per pass), cuts the order into
+sorted partitions and compares every vector with the ``BLOCK`` ones or more on
+either side of it in its partition.  Pairs are verified by their cosine in
+double precision, the links of all passes are united, and their connected
+components are taken.
 
 * Copies: equal vectors are one class from the start, so a group of copies of
   any size is one vector in the passes.
+* Shift: the hyperplanes of a round go through the mean of the vectors that
+  are in it, so a common direction, usual in text embeddings, does not give
+  them all the same signs; a crowd that is left after a round is split about
+  its own middle in the next.
 * Passes: every pass measures, for each vector, how many signs tell the rows
   it met from the rest, and with which probability a partner at the threshold
   shares them, given the vector's own distances from the hyperplanes.  A
   vector leaves when the chance that all its passes missed such a partner is
-  ``MISS`` at most; in a crowded place more signs are shared, less is gained
-  and more passes run.
-* Exact blocks: as soon as comparing all vectors still in the passes with each
-  other takes no more rows than the passes they need, that is done instead
-  (squares of ``SQUARE`` rows a side): small tables, and crowded places that
-  hyperplanes do not split, miss nothing.
+  ``MISS`` at most; at a partition's edge or in a crowded place less is gained
+  and more passes run.  They run at every size; a table of up to ``BLOCK``
+  vectors is done in one.
+* Crowds: vectors that the passes planned for the table's size did not finish
+  go on, or, once that takes fewer rows than the passes they still need, are
+  compared with each other in squares of ``SQUARE`` rows a side: n of them
+  are copied n / SQUARE times, n / SQUARE <= COPIES x passes.
 * No step returns all its pairs: a group's links are united inside it and only
   a spanning forest, less than one row per vector, leaves it.
 * Components are completed exactly: all members of a component are compared
@@ -46,10 +52,17 @@ from . import common
 from .components import components
 
 #: Production parameters: cosine, least partners on a side, chance to miss a pair, rows of a block, seed.
-THRESHOLD, WINDOW, MISS, BLOCK, SEED = 0.9, 16, 0.002, 512, 11
+THRESHOLD, WINDOW, MISS, BLOCK, SEED = 0.9, 16, 0.002, 2048, 11
 
-#: Rows a side of an exact square, passes of a round, signs of a pass (a double holds them), copies of a row per pass.
-SQUARE, ROUND, BITS, COPIES = 4096, 8, 52, 3
+#: Rows a side of an exact square, passes of a round, signs of a pass (a double holds them), copies of a row per pass,
+#: blocks of a sorted partition, vector lengths that get a mean of their own (the most frequent ones).
+SQUARE, ROUND, BITS, COPIES, SPAN, MEANS = 4096, 4, 52, 2, 16, 64
+
+#: Rows of the left side multiplied at a time.
+_CHUNK = 512
+
+#: Keys below and above all others.
+_BEGIN, _END = -1, 1 << BITS
 
 _KEYED = "pass int, key long, c long, n int, v binary"
 
@@ -74,7 +87,28 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def _hashed(first: int, count: int):
+def _means(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """The mean unit vector of each of the ``MEANS`` most frequent vector lengths."""
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            sizes = b["v"].map(len).to_numpy()
+            for dim in np.unique(sizes):
+                total = _unit(np.stack(b["v"][sizes == dim].to_numpy())).sum(axis=0)
+                sums[int(dim)] = sums.get(int(dim), 0.0) + total
+        for dim, total in sums.items():
+            yield pd.DataFrame({"n": np.int32(dim), "i": np.arange(dim, dtype=np.int32), "sum": total})
+
+    sizes = vectors.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(MEANS).collect()
+    frequent = {r.n: r["count"] for r in sizes}
+    parts = vectors.filter(F.size("v").isin(list(frequent))).select("v").mapInPandas(add, "n int, i int, sum double")
+    out = {n: np.zeros(n) for n in frequent}
+    for r in parts.groupBy("n", "i").agg(F.sum("sum").alias("sum")).collect():  # one number per component
+        out[r.n][r.i] = np.float32(r["sum"] / frequent[r.n])
+    return out
+
+
+def _hashed(first: int, count: int, means: dict[int, np.ndarray]):
     def run(batches):
         weight = (1 << np.arange(BITS - 1, -1, -1)).astype(np.int64)
         for b in batches:
@@ -82,10 +116,11 @@ def _hashed(first: int, count: int):
             for dim in np.unique(sizes):
                 part = b[sizes == dim]
                 planes = np.concatenate([_planes(int(dim), first + p) for p in range(count)], axis=1)
+                shift = means.get(int(dim), np.zeros(int(dim))) @ planes
                 for at in range(0, len(part), 2048):
                     rows = part.iloc[at: at + 2048]
-                    x = np.stack(rows["v"].to_numpy()).astype(np.float64)
-                    keys = (x @ planes > 0).reshape(len(rows), count, BITS) @ weight
+                    x = np.stack(rows["v"].to_numpy())
+                    keys = (_unit(x) @ planes > shift).reshape(len(rows), count, BITS) @ weight
                     raw = [r.astype(np.float32).tobytes() for r in x]
                     for p in range(count):
                         yield pd.DataFrame({"pass": np.int32(first + p), "key": keys[:, p], "c": rows["c"].to_numpy(),
@@ -110,51 +145,93 @@ def _unite(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 def _forest(x: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Rows (a, b) that span the components of all links between the left and the right unit vectors."""
     labels, other = np.arange(len(x)), x[right].T
-    for at in range(0, len(left), BLOCK):
-        mine = left[at: at + BLOCK]
+    for at in range(0, len(left), _CHUNK):
+        mine = left[at: at + _CHUNK]
         a, b = np.nonzero(x[mine] @ other >= threshold)
         _unite(labels, mine[a], right[b])
     moved = np.flatnonzero(labels != np.arange(len(x)))
     return labels[moved], moved
 
 
-#: log of the normal distribution function, by steps of 0.001 from 0 to 8.
-_LOG_PHI = np.log([0.5 + 0.5 * math.erf(z / 1000 / math.sqrt(2)) for z in range(8001)])
+#: log of the normal distribution function, by steps of 0.001 from -8 to 8.
+_LOG_PHI = np.log([0.5 * math.erfc(-z / 1000 / math.sqrt(2)) for z in range(-8000, 8001)])
 
 
-def _shared(x: np.ndarray, planes: np.ndarray, threshold: float) -> np.ndarray:
+def _shared(x: np.ndarray, planes: np.ndarray, shift: np.ndarray, threshold: float) -> np.ndarray:
     """log probability that a partner at the threshold has a unit vector's first 0, 1, .. BITS signs."""
-    steep = threshold / math.sqrt(max(1e-12, 1 - threshold * threshold))
-    z = np.minimum(np.abs(x @ planes) * steep * 1000, 8000).astype(np.int64)
-    return np.cumsum(np.pad(_LOG_PHI[z], ((0, 0), (1, 0))), axis=1)
+    at = x @ planes
+    z = np.where(at > shift, 1, -1) * (threshold * at - shift) / math.sqrt(max(1e-12, 1 - threshold * threshold))
+    steps = np.clip(np.rint(z * 1000), -8000, 8000).astype(np.int64) + 8000
+    return np.cumsum(np.pad(_LOG_PHI[steps], ((0, 0), (1, 0))), axis=1)
 
 
-def _met(block: int, threshold: float):
-    """One block of a pass (side 0) against itself and the next (side 1).
+class _Lane:
+    """The rows of one pass and vector length in one sorted partition, read in blocks.
 
-    Rows of kind 0 are links (a, b).  Rows of kind 1 are (vector, pass, chance
-    that a partner at the threshold was among the rows on this side): the
-    partners that share one sign more than the outermost row seen were seen.
+    ``take`` returns frames of kind 0, links (a, b) that span what was
+    compared, and of kind 1, (vector, pass, chance that a partner at the
+    threshold was among the rows it was compared with): the partners that
+    share one sign more than the outermost row seen on either side were seen.
     """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("rank", kind="stable")
-        side, key, c, number = (rows[k].to_numpy() for k in ("side", "key", "c", "pass"))
-        raw, lane = rows["v"].to_numpy(), number.astype(np.int64) << 32 | rows["n"].to_numpy()
-        first, last = rows["rank"].iloc[0] == 0, side.sum() < block
-        cut, out = np.flatnonzero(np.diff(lane, prepend=lane[0] - 1)), []
-        for i, j in zip(cut, [*cut[1:], len(rows)]):
-            x = _unit(np.frombuffer(b"".join(raw[i:j]), np.float32).reshape(j - i, -1))
-            s, k = side[i:j], key[i:j]
-            a, b = _forest(x, np.flatnonzero(s == 0), np.arange(j - i), threshold)
-            out.append(pd.DataFrame({"kind": 0, "a": c[i:j][a], "b": c[i:j][b], "meet": 0.0}))
-            told = _shared(x, _planes(x.shape[1], int(number[i])), threshold)
-            same = BITS - np.frexp((k ^ np.where(s == 0, k[-1], k[0])).astype(np.float64))[1]
-            meet = np.where(same < BITS, np.exp(told[np.arange(j - i), np.minimum(same + 1, BITS)]), 0.0)
-            whole = np.where(s == 0, last or j < len(rows), first or i > 0)  # the order ends among the rows seen
-            out.append(pd.DataFrame({"kind": 1, "a": c[i:j], "b": number[i:j].astype(np.int64),
-                                     "meet": np.where(whole, 1.0, meet)}))
-        return pd.concat(out, ignore_index=True)
+    def __init__(self, number: int, dim: int, whole: bool, block: int, threshold: float, shift: np.ndarray):
+        self.number, self.block, self.threshold, self.shift = number, block, threshold, shift
+        self.planes = _planes(dim, number)
+        self.before = None if whole else -1  # key of the first row seen before the block; None: the order begins here
+        self.key, self.c, self.x = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, dim))
+
+    def add(self, key: np.ndarray, c: np.ndarray, x: np.ndarray):
+        self.key, self.c = np.concatenate([self.key, key]), np.concatenate([self.c, c])
+        self.x = np.concatenate([self.x, x])
+        while len(self.key) >= 3 * self.block:
+            yield from self._compare(self.block, 2 * self.block, False)
+
+    def end(self, whole: bool):
+        if len(self.key):
+            yield from self._compare(len(self.key), len(self.key), whole)
+
+    def _compare(self, block: int, seen: int, whole: bool):
+        if self.before == -1:
+            self.before = self.key[0]
+        x = self.x[:seen]
+        a, b = _forest(x, np.arange(block), np.arange(seen), self.threshold)
+        yield pd.DataFrame({"kind": 0, "a": self.c[a], "b": self.c[b], "meet": 0.0})
+        told = _shared(x[:block], self.planes, self.shift, self.threshold)
+        meet = np.ones(block)
+        for key in [self.before] * (self.before is not None) + [self.key[seen - 1]] * (not whole):
+            same = BITS - np.frexp((self.key[:block] ^ key).astype(np.float64))[1]
+            side = np.where(same < BITS, np.exp(told[np.arange(block), np.minimum(same + 1, BITS)]), 0.0)
+            meet = np.minimum(meet, side)
+        yield pd.DataFrame({"kind": 1, "a": self.c[:block], "b": np.int64(self.number), "meet": meet})
+        self.before = self.key[0]
+        self.key, self.c, self.x = self.key[block:], self.c[block:], self.x[block:]
+
+
+def _met(block: int, threshold: float, means: dict[int, np.ndarray]):
+    """The rows of all lanes of a sorted partition; rows of the keys ``_BEGIN`` and ``_END`` tell where an order
+    begins and ends, what lies beyond a partition's edge was not seen."""
+    def run(batches):
+        lane, at = None, None
+        for rows in batches:
+            number, dim, key = (rows[c].to_numpy() for c in ("pass", "n", "key"))
+            both = number.astype(np.int64) << 32 | dim
+            cut = np.flatnonzero(np.diff(both, prepend=both[0] - 1))
+            for i, j in zip(cut, [*cut[1:], len(rows)]):
+                if both[i] != at:
+                    if lane is not None:
+                        yield from lane.end(False)
+                    d, at = int(dim[i]), both[i]
+                    shift = means.get(d, np.zeros(d)) @ _planes(d, int(number[i]))
+                    lane = _Lane(int(number[i]), d, key[i] == _BEGIN, block, threshold, shift)
+                done = key[j - 1] == _END
+                i, j = i + (key[i] == _BEGIN), j - done
+                if i < j:
+                    x = np.frombuffer(b"".join(rows["v"].iloc[i:j]), np.float32).reshape(j - i, -1)
+                    yield from lane.add(key[i:j], rows["c"].to_numpy()[i:j], _unit(x))
+                if done:
+                    yield from lane.end(True)
+        if lane is not None:
+            yield from lane.end(False)
 
     return run
 
@@ -181,49 +258,43 @@ def _all_links(rows: DataFrame, n: int, threshold: float, square: int) -> DataFr
         _every(threshold), "a long, b long")
 
 
-def _pass_links(rows: DataFrame, first: int, count: int, block: int, threshold: float) -> DataFrame:
+def _pass_links(rows: DataFrame, n: int, first: int, count: int, block: int, threshold: float) -> DataFrame:
     """The rows of ``_met`` for the passes from ``first`` on."""
-    order = ["pass", "n", "key", "tie", "c"]
-    keyed = rows.select("c", "v").mapInPandas(_hashed(first, count), _KEYED)
-    keyed = keyed.withColumn("tie", F.xxhash64("c", "pass"))
-    keyed = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-    m = F.monotonically_increasing_id()
-    ranked = common.written(keyed.select("pass", "n", "key", "c", "v", F.shiftright(m, 33).alias("part"),
-                                         m.bitwiseAND(F.lit((1 << 33) - 1)).alias("at")), "passes")
-    # one row per partition of the sort
-    sizes = sorted(tuple(r) for r in ranked.groupBy("part").agg(F.count(F.lit(1))).collect())
-    offsets, total = [], 0
-    for part, size in sizes:
-        offsets.append((part, total))
-        total += size
-    offsets = rows.sparkSession.createDataFrame(offsets, "part long, before long")
-    ranked = ranked.join(F.broadcast(offsets), "part").withColumn("rank", F.col("at") + F.col("before"))
-    ranked = ranked.withColumn("mine", F.floor(F.col("rank") / block).cast("long"))
-    ranked = ranked.withColumn("group", F.explode(F.array(F.col("mine"), F.col("mine") - 1)))
-    return ranked.select("pass", "n", "key", "c", "v", "rank", "group", (F.col("mine") - F.col("group")).alias(
-        "side")).groupBy("group").applyInPandas(_met(block, threshold), "kind int, a long, b long, meet double")
+    order, means = ["pass", "n", "key", "tie", "c"], _means(rows)
+    keyed = rows.select("c", "v").mapInPandas(_hashed(first, count, means), _KEYED)
+    lanes = rows.select(F.size("v").alias("n")).distinct()
+    lanes = lanes.select("n", F.explode(F.sequence(F.lit(first), F.lit(first + count - 1))).alias("pass"))
+    edges = lanes.select("pass", F.explode(F.array(F.lit(_BEGIN), F.lit(_END)).cast("array<long>")).alias("key"),
+                         F.lit(-1).cast("long").alias("c"), "n", F.lit(bytearray()).alias("v"))
+    keyed = keyed.union(edges).withColumn("tie", F.xxhash64("c", "pass"))
+    # one shuffle: a partition holds SPAN blocks of the order, or several short lanes
+    parts = max(1, -(-n * count // (SPAN * block)))
+    keyed = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("tie")
+    return keyed.mapInPandas(_met(block, threshold, means), "kind int, a long, b long, meet double")
 
 
 def _pairs(vectors: DataFrame, n: int, threshold: float, window: int, miss: float, block: int,
            square: int) -> DataFrame:
-    """(a, b): links that span the components, by passes while they are cheaper than all pairs."""
+    """(a, b): links that span the components of all vectors."""
     block, goal = max(window, block), -math.log(miss)
-    need, first, out = passes(n, threshold, block, miss), 0, []
+    planned, first, out = passes(n, threshold, block, miss), 0, []
+    need = planned
     left = vectors.select("c", "v", F.lit(0.0).alias("got"))
-    while n > square * COPIES * need:
+    while n and (first < planned or n > square * COPIES * need):
         count = min(ROUND, math.ceil(need))
-        met = common.written(_pass_links(left, first, count, block, threshold), "met")
+        met = common.written(_pass_links(left, n, first, count, block, threshold), "met")
         out.append(met.filter("kind = 0").select("a", "b"))
-        meet = met.filter("kind = 1").groupBy("a", "b").agg(F.min("meet").alias("meet"))
-        gain = meet.groupBy("a").agg(F.sum(-F.log1p(-F.least("meet", F.lit(1 - 1e-9)))).alias("gain"))
-        left = left.select("c", "v", "got").join(gain, F.col("c") == F.col("a")).select("c", "v", (F.col("got") + F.col("gain")).alias("got"),
-                                                                "gain").filter(F.col("got") < goal)
+        gain = met.filter("kind = 1").groupBy("a").agg(
+            F.sum(-F.log1p(-F.least("meet", F.lit(1 - 1e-9)))).alias("gain"))
+        left = left.select("c", "v", "got").join(gain, F.col("c") == F.col("a")).select(
+            "c", "v", (F.col("got") + F.col("gain")).alias("got"), "gain").filter(F.col("got") < goal)
         left = common.written(left, "left")
         n, lacks, gained = left.agg(F.count(F.lit(1)), F.sum(F.lit(goal) - F.col("got")), F.sum("gain")).first()
         need, first = (max(1.0, lacks * count / gained) if gained else math.inf) if n else 1.0, first + count
-    out.append(_all_links(left, n, threshold, square))
-    found = out[0]
-    for more in out[1:]:
+    if n:
+        out.append(_all_links(left, n, threshold, square))
+    found = vectors.select(F.col("c").alias("a"), F.col("c").alias("b")).limit(0)
+    for more in out:
         found = found.union(more)
     return common.written(found.distinct(), "pairs")
 
@@ -240,8 +311,8 @@ def _block_counts(threshold: float):
             c, copies = part["c"].to_numpy(), part["copies"].to_numpy().astype(np.float64)
             left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)  # side 2: a block with itself
             other, back = x[right].T, np.zeros(len(right))
-            for at in range(0, len(left), BLOCK):  # bounds the temporaries
-                mine = left[at: at + BLOCK]
+            for at in range(0, len(left), _CHUNK):  # bounds the temporaries
+                mine = left[at: at + _CHUNK]
                 near = (x[mine] @ other >= threshold) & (comp[mine][:, None] == comp[right][None, :])
                 near &= c[mine][:, None] != c[right][None, :]
                 out.append(pd.DataFrame({"c": c[mine], "links": (near @ copies[right]).astype(np.int64)}))

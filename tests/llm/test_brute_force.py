@@ -355,13 +355,53 @@ def test_vectors_in_a_cone(spark, small):
     links, comp = near.sum(1), union(len(x), np.argwhere(near))
     df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)],
                                "vec_id long, embedding array<float>")
-    how = {"block": 64, "square": 16} if small else {}
+    how = {"block": 64, "square": 16} if small else {}  # all in one window, or passes to the end
     got = {r.vec_id: r for r in vectors.near_duplicates(df, **how).collect()}
     wrong = sum(got[i].n_links != links[i] or got[i].component_id != comp[i] for i in got)
     assert len(got) == len(x) and links.sum() >= 600
     assert wrong <= (0.01 * (links > 0).sum() if small else 0)
 
 
+def test_vectors_with_a_common_direction(spark, monkeypatch):
+    """Mean cosine 0.7, as text embeddings have: the passes split the crowd, few rows are left for squares."""
+    squares = []
+    real = vectors._all_links
+    monkeypatch.setattr(vectors, "_all_links", lambda rows, n, *a: squares.append(n) or real(rows, n, *a))
+    rng = np.random.default_rng(1)
+    g = rng.normal(size=(3000, 64))
+    x = 0.836 * np.ones(64) / 8 + 0.548 * g / np.linalg.norm(g, axis=1)[:, None]
+    x[1500:1700] = x[:200] + 0.25 * rng.normal(size=(200, 64)) / 8
+    x = x.astype(np.float32).astype(np.float64)
+    n = x / np.linalg.norm(x, axis=1)[:, None]
+    assert 0.65 < (n @ n.T).mean() < 0.75
+    near = (n @ n.T >= vectors.THRESHOLD) & ~np.eye(len(x), dtype=bool)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df, block=64, square=64).collect()}
+    assert near.sum() >= 300 and sum(got.values()) >= 0.995 * near.sum()
+    assert all(got[i] <= k for i, k in enumerate(near.sum(1))) and sum(squares) <= 150
+
+
+def test_vectors_by_passes_at_production_sizes(spark, monkeypatch):
+    """With the production block and square, no vector reaches the squares and the recall is whole."""
+    monkeypatch.setattr(vectors, "_all_links", lambda *a: pytest.fail("all pairs"))
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(9000, 32))
+    o = rng.normal(size=(1500, 32))
+    o -= (o * x[:1500]).sum(1, keepdims=True) / (x[:1500] ** 2).sum(1, keepdims=True) * x[:1500]
+    o *= np.linalg.norm(x[:1500], axis=1, keepdims=True) / np.linalg.norm(o, axis=1, keepdims=True)
+    x[4000:5500] = x[:1500] + np.tan(np.arccos(rng.uniform(0.9005, 0.99, size=(1500, 1)))) * o
+    x = x.astype(np.float32).astype(np.float64)
+    n = x / np.linalg.norm(x, axis=1)[:, None]
+    near = (n @ n.T >= vectors.THRESHOLD) & ~np.eye(len(x), dtype=bool)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    assert vectors.passes(9000, window=vectors.BLOCK) > 1
+    pairs = vectors._pairs(df.select(F.col("vec_id").alias("c"), F.col("embedding").alias("v")), 9000,
+                           vectors.THRESHOLD, vectors.WINDOW, vectors.MISS, vectors.BLOCK, 1)
+    comp = {r.node: r.component for r in components.components(pairs).collect()}
+    want = union(len(x), np.argwhere(near))
+    assert near.sum() >= 3000 and sum(comp.get(i, i) == want[i] for i in range(len(x))) >= 0.999 * len(x)
+
+
 def test_vectors_of_a_large_component_are_copied_per_square(spark):
     rng = np.random.default_rng(8)
     x = (np.ones(8) + 0.2 * rng.normal(size=(300, 8))).astype(np.float32).astype(np.float64)

@@ -220,3 +220,102 @@ def test_written_can_be_discarded(spark):
     common.discard(df)
     with pytest.raises(Exception):
         df.sparkSession.read.parquet(df._flowlake_path).count()
+
+
+def test_url_rules_of_three_tokens_and_deep_paths(spark):
+    """A class that only three tokens together tell, and one marked by its sixth path word and fifth key."""
+    def page(a, b, c, n):
+        return f"https://h{n}.example.org/{'x' if a else 'p'}{'' if a else n}/{'y' if b else 'q'}/{'z' if c else 'r'}/{n}"
+
+    urls = [(page(a, b, c, n), int(a and b and c)) for n in range(12) for a in (0, 1) for b in (0, 1) for c in (0, 1)]
+    deep = "http://d{}.example.org/a/b/c/d/e/{}?k1=1&k2=2&k3=3&k4=4&{}=5"
+    urls += [(deep.format(n, "bad" if n < 6 else "good", "k5"), int(n < 6)) for n in range(12)]
+    urls += [(deep.format(n, "fine", "worse" if n < 6 else "better"), int(n < 6)) for n in range(12)]
+    mined = url_rules.mine(spark.createDataFrame(urls, "url string, bad int"))
+    names = {tuple(r.antecedent) for r in mined.collect()}
+    assert ("step=bad",) in names and ("key=worse",) in names and ("step=x", "step=y", "step=z") in names
+    assert not any(set(a) < set(b) for a in names for b in names)  # no rule holds another one
+    pages = spark.createDataFrame([(1, page(1, 1, 1, 77)), (2, page(1, 1, 0, 77)), (3, deep.format(7, "bad", "k5")),
+                                   (4, deep.format(7, "good", "k5")), (5, "http://x.org/" + "w/" * 5000 + "bad")],
+                                  "page_id long, url string")
+    got = dict(rows(url_rules.judge(pages, mined), "page_id", "verdict"))
+    assert got == {1: "block", 2: "allow", 3: "block", 4: "allow", 5: "block"}
+
+
+def test_url_rules_need_more_than_chance(spark):
+    """Labels that say nothing about the URL give no rules; a seed word labels its host."""
+    import random
+
+    def made(seed):
+        rng = random.Random(seed)
+        return [(i, f"http://h{rng.randrange(40)}.example.com/{rng.choice('abcdef')}/{i}", int(rng.random() > 0.25))
+                for i in range(600)]
+
+    found = 0
+    for seed in (4, 5, 6, 7):
+        noise = spark.createDataFrame(made(seed), "page_id long, url string, quality int")
+        pages = noise.select("page_id", "url")
+        labels = noise.select(F.col("page_id").alias("doc_id"), "quality", F.lit(0).alias("toxic"))
+        found += url_rules.mine(url_rules.labelled_pages(pages, labels)).count()
+    assert found <= 4 * url_rules.CHANCE
+    spam = pages.union(spark.createDataFrame([(1000 + i, f"http://m.casino-{i % 2}.example.com/lucky/{i}") for i in range(9)],
+                                             pages.schema))
+    mined = url_rules.mine(url_rules.labelled_pages(spam, labels))
+    names = {tuple(r.antecedent) for r in mined.collect()}
+    assert ("word=casino",) in names and ("step=lucky",) in names
+    found = url_rules.judge(spam, mined).filter("mined is not null")
+    assert found.count() == 9 and found.filter("page_id < 1000").count() == 0
+
+
+def test_mixing_spreads_a_hot_id(spark):
+    """A third of the rows have no id: no block holds much more than another."""
+    df = spark.range(20000).selectExpr("if(id % 3 = 0, null, id) doc_id", "'s' source", "concat('w ', id) text")
+    out = mixing.mixture(df, block_tokens=160)
+    sizes = [r["count"] for r in out.filter("epoch = 0").groupBy("block").count().collect()]
+    assert len(sizes) >= 240 and max(sizes) < 4 * 20000 / len(sizes)
+    empty = spark.range(9000).selectExpr("id doc_id", "'s' source", "if(id = 0, 'word', '') text")
+    sizes = [r["count"] for r in mixing.mixture(empty, block_rows=300).groupBy("block").count().collect()]
+    assert len(sizes) == 30 and max(sizes) < 600  # many rows without words are dealt as well
+
+
+def test_simhash_fans_out_over_all_tasks(spark):
+    """The distinct fingerprints reach the fan-out in as many tasks as the session shuffles with."""
+    df = spark.range(3000).select(F.xxhash64("id").alias("fp")).repartition(2).cache()
+    plan = simhash.links(df)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(xxhash64(fp" in plan and "REPARTITION_BY_NUM" in plan
+    parts = df.select("fp").distinct().repartition(common.shuffle_width(df), F.xxhash64("fp"))
+    assert parts.select(F.spark_partition_id()).distinct().count() == common.shuffle_width(df)
+
+
+def test_simhash_keeps_rows_with_maps(spark):
+    df = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (2, "x y z"), (None, "x y z")], "doc_id long, text string")
+    df = df.withColumn("m", F.create_map(F.lit("k"), "doc_id")).withColumn("l", F.array(F.create_map("text", "doc_id")))
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
+PROSE = {
+    "pl": "Dawno temu w małej wsi nad rzeką mieszkał stary młynarz który miał trzech synów i jedną córkę a wszyscy "
+          "pracowali od rana do nocy żeby zarobić na chleb bo czasy były ciężkie i nikt nie wiedział co przyniesie "
+          "następny rok ale nigdy nie tracili nadziei że los się odmieni jeśli tylko będą razem i będą sobie pomagać w biedzie",
+    "tr": "Bir zamanlar küçük bir köyde yaşlı bir değirmenci ve üç oğlu yaşarmış bu aile her gün sabahtan akşama kadar "
+          "çalışır ama yine de zor geçinirmiş çünkü o yıl yağmur az yağmış ve tarlalar kurumuş fakat onlar umutlarını hiç "
+          "kaybetmemiş birlikte oldukları sürece her şeyin daha iyi olacağına inanmış ve komşularına da yardım etmişler",
+    "ru": "Давным давно в маленькой деревне у реки жил старый мельник и у него было три сына и одна дочь все они работали "
+          "с утра до ночи чтобы заработать на хлеб потому что времена были тяжёлые и никто не знал что принесёт новый год "
+          "но они не теряли надежды что всё будет хорошо если они будут вместе и станут помогать друг другу в беде",
+}
+
+
+@pytest.mark.parametrize("lang", sorted(PROSE))
+def test_quality_keeps_prose_of_any_language(spark, lang):
+    r = quality.apply_rules(spark.createDataFrame([(1, PROSE[lang])], "doc_id long, text string")).first()
+    assert r.n_words >= 50 and r.kept, r.broken_rules
+    noise = " ".join(f"{w}{k}#" for k, w in enumerate(PROSE[lang].split()))
+    assert not quality.apply_rules(spark.createDataFrame([(1, noise)], "doc_id long, text string")).first().kept
+
+
+def test_language_score_scales_with_the_languages():
+    assert language_id.least_score({"langs": list("abcd")}) == 0.4 == language_id.least_score(None)
+    assert language_id.least_score({"langs": list("ab")}) == 0.4
+    assert language_id.least_score({"langs": list("abcdefghijklmnop")}) == 0.1
