@@ -9,8 +9,9 @@ one malformed value yields NULL instead of failing the job under ANSI mode.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 from .lookups import EMPLOYER_DEFAULT, OFFICE_LABELS, STATE_NAMES
@@ -23,8 +24,13 @@ _LIST_NOISE = r"[\[\]\s'\"]"
 _TIME_OF_DAY = r"(?<=\d)[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?$"
 
 # Amounts of this size or more (and non-finite ones) are taken for garbage:
-# their cents would not leave room to add up in a LONG.
-AMOUNT_LIMIT = 1e12
+# their multiples of 1e12 would not leave room to add up in a LONG.
+AMOUNT_LIMIT = 1e27
+
+# Sums of money have three parts, see ``money_parts``; amounts from WIDE on are
+# split as decimals.
+WIDE = 1e9
+MONEY_PARTS = ("_amt", "_tera", "_micro")
 
 
 def _c(c: Column | str) -> Column:
@@ -72,8 +78,8 @@ def rejected_amount(c: Column | str) -> Column:
 
 
 def sub_cent(c: Column | str) -> Column:
-    """True where an accepted amount has digits below the cent, which
-    ``cents`` rounds away."""
+    """True where an accepted amount has digits below the cent, which sums
+    carry in their own part (``micro``)."""
     v = normalize_amount(c) * 100
     return F.abs(v - F.rint(v)) > F.lit(1e-6) * F.greatest(F.lit(1.0), F.abs(v) * 1e-9)
 
@@ -118,18 +124,51 @@ def floor_at_zero(c: Column | str) -> Column:
     return F.greatest(F.coalesce(_c(c), F.lit(0.0)), F.lit(0.0))
 
 
+def _wide(v: Column) -> tuple[Column, Column]:
+    """True for amounts whose parts are taken from their shortest decimal
+    form (a DOUBLE of 1e9 has few digits to spare), and that form."""
+    return (F.abs(v) >= WIDE) & (F.abs(v) < AMOUNT_LIMIT), v.try_cast("decimal(38,6)")
+
+
 def cents(c: Column | str) -> Column:
-    """Amount as exact integer cents (LongType).
-
-    Money is summed in cents: integer addition is exact and associative, so
-    totals do not depend on the order rows reach an aggregate, and a LONG
-    sum buffer stays on the fast primitive path (a DECIMAL sum buffer wider
-    than 18 digits falls back to BigDecimal arithmetic per row). Amounts
-    with more than two decimals are rounded to the cent (``sub_cent`` counts
-    them); what ``normalize_amount`` would reject counts as 0.
-    """
+    """The whole cents of an amount without its multiples of 1e12
+    (LongType); 0 for what ``normalize_amount`` would reject."""
+    v = _c(c).cast("double")
+    wide, d = _wide(v)
+    whole = (d % F.lit(Decimal(10 ** 12)) * F.lit(Decimal(100))).cast("long")
+    return (F.when(wide, whole).when(F.abs(v) >= WIDE, F.lit(0).cast("long"))
+            .otherwise(F.rint(v * 100).cast("long")))
+
+
+def tera(c: Column | str) -> Column:
+    """The multiples of 1e12 in an amount (LongType; 0 for nearly all)."""
+    wide, d = _wide(_c(c).cast("double"))
+    one = F.lit(Decimal(10 ** 12))
+    return F.when(wide, ((d - d % one) / one).cast("long")).otherwise(F.lit(0).cast("long"))
+
+
+def micro(c: Column | str) -> Column:
+    """What ``cents`` leaves of an amount, in millionths (LongType; 0 for nearly all)."""
     v = _c(c).cast("double")
-    return F.when(F.abs(v) >= AMOUNT_LIMIT, F.lit(0.0)).otherwise(F.rint(v * 100)).cast("long")
+    wide, d = _wide(v)
+    rest = F.rint((v - F.rint(v * 100) / F.lit(100)) * 1e6).cast("long")
+    return (F.when(wide, (d % F.lit(Decimal("0.01")) * F.lit(Decimal(10 ** 6))).cast("long"))
+            .when(F.abs(v) < WIDE, rest).otherwise(F.lit(0).cast("long")))
+
+
+def money_parts(c: Column | str) -> list[Column]:
+    """An amount as three integers that add up to it, named ``MONEY_PARTS``.
+
+    Money is summed in these parts: integer addition is exact and
+    associative, so totals do not depend on the order rows reach an
+    aggregate, and LONG sum buffers stay on the fast primitive path (a
+    DECIMAL buffer wider than 18 digits falls back to BigDecimal arithmetic
+    per row). Together they hold the shortest decimal form of every amount
+    below ``AMOUNT_LIMIT``, to the millionth. A part
+    that leaves a LONG ends the job (ANSI); it takes 9.2e16 of money in
+    amounts below 1e12, 9.2e18 multiples of it, or 1e15 rows.
+    """
+    return [f(c).alias(name) for f, name in zip((cents, tera, micro), MONEY_PARTS)]
 
 
 def from_cents(c: Column | str) -> Column:
@@ -137,6 +176,27 @@ def from_cents(c: Column | str) -> Column:
     return _c(c) / F.lit(100)
 
 
+def exact_cents(amt: Column | str = "_amt", teras: Column | str = "_tera", micros: Column | str = "_micro") -> Column:
+    """Summed money parts as one exact number of cents (DECIMAL)."""
+    whole = _c(teras).cast("decimal(20,0)") * F.lit(Decimal(100 * 10 ** 12)) + _c(amt).cast("decimal(20,0)")
+    return whole + _c(micros).cast("decimal(20,0)") * F.lit(Decimal("0.0001"))
+
+
+def from_parts(amt: Column | str = "_amt", teras: Column | str = "_tera", micros: Column | str = "_micro") -> Column:
+    """Summed money parts as the DOUBLE nearest to their total."""
+    plain = (_c(teras) == 0) & (_c(micros) == 0)
+    total = (_c(teras).cast("decimal(20,0)") * F.lit(Decimal(10 ** 12))
+             + _c(amt).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+             + _c(micros).cast("decimal(20,0)") * F.lit(Decimal("0.000001")))
+    return F.when(plain, from_cents(amt)).otherwise(total.cast("double"))
+
+
+def sum_money(c: Column | str, window: WindowSpec | None = None) -> Column:
+    """Order-independent exact sum of amounts, as the nearest DOUBLE."""
+    sums = (F.sum(f(c)) for f in (cents, tera, micro))
+    return from_parts(*(s.over(window) if window is not None else s for s in sums))
+
+
 def lookup(c: Column | str, mapping: Mapping[str, str], fallback_to_key: bool = True) -> Column:
     """Map lookup done JVM-side through a literal map column."""
     m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])

@@ -17,13 +17,13 @@ committee x candidate, committee x committee) aggregate first. The donor x
 committee key of the individual edges is nearly unique, so that branch joins
 the committee register first, sums per (donor, candidate id) and only then
 fans out over cycles (``edges_individual``). A fact frame may also be partial
-sums of facts by key (``_amt`` cents, ``_n`` rows, as ``preaggregate`` makes
-them), which ``plans.incremental`` keeps per increment. Independently, each dimension is
+sums of facts by key (the parts of ``rules.money_parts`` and ``_n`` rows, as
+``preaggregate`` makes them), which ``plans.incremental`` keeps per increment. Independently, each dimension is
 broadcast only if it passes the size check in ``plans.joins``; candidate
 cycles come from exploded lists, whose size the planner cannot estimate, so
 they carry no hint and adaptive execution decides on their real size.
 
-Both plans give identical results: sums are taken in exact integer cents
+Both plans give identical results: sums are taken in exact integer parts
 (order-independent), and a join against duplicated dimension rows multiplies
 sums and counts exactly as join-then-aggregate does.
 """
@@ -71,11 +71,19 @@ def even_cycles(cycles: DataFrame) -> DataFrame:
     return cycles.where(rules.is_even("election_cycle"))
 
 
-def _measures(fact: DataFrame) -> tuple[F.Column, F.Column]:
-    """Cents and rows of a fact, or of a partial sum of facts."""
+#: What every rollup sums: the parts of the money and the rows.
+MEASURES = (*rules.MONEY_PARTS, "_n")
+
+
+def _measures(fact: DataFrame) -> list[F.Column]:
+    """The measures of a fact, or of a partial sum of facts."""
     if "_amt" in fact.columns:
-        return F.col("_amt"), F.col("_n")
-    return rules.cents("trans_amt"), F.lit(1).cast("long")
+        return [F.col(m) for m in MEASURES]
+    return [*rules.money_parts("trans_amt"), F.lit(1).cast("long").alias("_n")]
+
+
+def _sums() -> list[F.Column]:
+    return [F.sum(m).alias(m) for m in MEASURES]
 
 
 def _rollup(fact: DataFrame, fact_keys: list[str], dims: list[tuple[DataFrame, str]],
@@ -83,27 +91,22 @@ def _rollup(fact: DataFrame, fact_keys: list[str], dims: list[tuple[DataFrame, s
     """Attach dimensions to a fact and aggregate amount (cents) and count.
 
     Aggregates the facts first unless ``eager`` is False. Output:
-    ``out_keys`` + ``_amt`` (cents) + ``_n`` (count).
+    ``out_keys`` + ``MEASURES``.
     """
     if eager is None or eager:
         return _from_preaggregated(preaggregate(fact, fact_keys), dims, out_keys)
-    cents, rows = _measures(fact)
-    base = fact.select(*fact_keys, cents.alias("_amt"), rows.alias("_n"))
-    for dim, key in dims:
-        base = base.join(sized_broadcast(dim), key)
-    return base.groupBy(*out_keys).agg(F.sum("_amt").alias("_amt"), F.sum("_n").alias("_n"))
+    return _from_preaggregated(fact.select(*fact_keys, *_measures(fact)), dims, out_keys)
 
 
 def preaggregate(fact: DataFrame, keys: list[str]) -> DataFrame:
-    """Facts summed (cents) and counted per key: ``keys`` + ``_amt`` + ``_n``."""
-    cents, rows = _measures(fact)
-    return fact.groupBy(*keys).agg(F.sum(cents).alias("_amt"), F.sum(rows).alias("_n"))
+    """Facts summed and counted per key: ``keys`` + ``MEASURES``."""
+    return fact.select(*keys, *_measures(fact)).groupBy(*keys).agg(*_sums())
 
 
 def _from_preaggregated(pre: DataFrame, dims: list[tuple[DataFrame, str]], out_keys: list) -> DataFrame:
     for dim, key in dims:
         pre = pre.join(sized_broadcast(dim), key)
-    return pre.groupBy(*out_keys).agg(F.sum("_amt").alias("_amt"), F.sum("_n").alias("_n"))
+    return pre.groupBy(*out_keys).agg(*_sums())
 
 
 def committee_state_rollup(individual: DataFrame) -> DataFrame:
@@ -137,58 +140,59 @@ def geo_summary(individual: DataFrame | None, committees: DataFrame, cycles: Dat
         r = _rollup(individual.where(rules.is_non_blank("contrib_state")), ["com_id", "contrib_state"],
                     dims, keys, eager)
     return r.select("cand_id", "cand_name", "office_type", "election_cycle", "state",
-                    rules.from_cents(F.abs("_amt")).alias("total_amount"),
+                    F.abs(rules.from_parts()).alias("total_amount"),
                     F.col("_n").alias("total_donations"))
 
 
 def indiv_rollup(individual: DataFrame | None, committees: DataFrame, exact: bool = False,
                  eager: bool | None = None, rollup: DataFrame | None = None) -> DataFrame:
     """Individual money per candidate (via the receiving committee);
-    ``exact`` keeps integer cents; ``rollup`` as in ``geo_summary``."""
+    ``exact`` keeps exact cents (DECIMAL); ``rollup`` as in ``geo_summary``."""
     dims = [(committees.select("com_id", "cand_id"), "com_id")]
     if rollup is not None:
-        r = _from_preaggregated(rollup.select("com_id", "_amt", "_n"), dims, ["cand_id"])
+        r = _from_preaggregated(rollup.select("com_id", *MEASURES), dims, ["cand_id"])
     else:
         r = _rollup(individual, ["com_id"], dims, ["cand_id"], eager)
-    funds = F.col("_amt") if exact else rules.from_cents("_amt")
+    funds = rules.exact_cents() if exact else rules.from_parts()
     return r.select("cand_id", funds.alias("individual_funds"))
 
 
 def committee_rollup(direct: DataFrame, exact: bool = False) -> DataFrame:
     """Committee money given directly to each candidate."""
-    out = direct.groupBy("cand_id").agg(F.sum(_measures(direct)[0]).alias("committee_funds"))
-    return out if exact else out.withColumn("committee_funds", rules.from_cents("committee_funds"))
+    funds = rules.exact_cents() if exact else rules.from_parts()
+    return preaggregate(direct, ["cand_id"]).select("cand_id", funds.alias("committee_funds"))
 
 
 def donor_type_summary(individual: DataFrame | None, committees: DataFrame, direct: DataFrame,
                        cycles: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
     """Per candidate and even cycle: individual vs committee funds, each
     floored at zero; rows where neither raw sum is positive are dropped
-    (a NULL side does not count as positive)."""
-    ind = sized_broadcast(indiv_rollup(individual, committees, exact=True, rollup=rollup))
-    com = sized_broadcast(committee_rollup(direct, exact=True))
+    (a NULL side does not count as positive). The nearest DOUBLE has the sign
+    of the exact sum."""
+    ind = sized_broadcast(indiv_rollup(individual, committees, rollup=rollup))
+    com = sized_broadcast(committee_rollup(direct))
     cyc = even_cycles(cycles).select("cand_id", "cand_name", "election_cycle")
     joined = cyc.join(ind, "cand_id", "left").join(com, "cand_id", "left")
     return joined.where((F.col("individual_funds") > 0) | (F.col("committee_funds") > 0)).select(
         "cand_id",
         "cand_name",
         _cycle_text(),
-        rules.floor_at_zero(rules.from_cents("individual_funds")).alias("individual_funds"),
-        rules.floor_at_zero(rules.from_cents("committee_funds")).alias("committee_funds"),
+        rules.floor_at_zero("individual_funds").alias("individual_funds"),
+        rules.floor_at_zero("committee_funds").alias("committee_funds"),
     )
 
 
 def _edges(r: DataFrame, source_type: str, flow: str, min_weight: float | None) -> DataFrame:
-    r = r.withColumn("_w", F.abs("_amt"))
-    if min_weight is not None:  # threshold compared exactly, in cents
-        r = r.where(F.col("_w") > F.lit(int(round(min_weight * 100))))
+    r = r.withColumn("_w", F.abs(rules.from_parts()))
+    if min_weight is not None:  # exact for thresholds below 2^33: a millionth above one is another DOUBLE
+        r = r.where(F.col("_w") > F.lit(float(min_weight)))
     return r.select(
         "source_node",
         F.lit(source_type).alias("source_type"),
         "target_node",
         F.lit(flow).alias("transaction_flow"),
         "election_cycle",
-        rules.from_cents("_w").alias("weight"),
+        F.col("_w").alias("weight"),
         F.col("_n").alias("transaction_count"),
     )
 
@@ -208,17 +212,16 @@ def edges_individual(individual: DataFrame, committees: DataFrame, cycles: DataF
     (``plans.heavy``); where no committee has that many, nothing is salted.
     """
     register = committees.select("com_id", "cand_id")
-    cents, rows = _measures(individual)
-    facts = individual.select("contrib_name", "com_id", cents.alias("_amt"), rows.alias("_n"))
+    facts = individual.select("contrib_name", "com_id", *_measures(individual))
     if eager:  # the (donor, committee) key rarely collapses; kept for comparison
-        facts = facts.groupBy("contrib_name", "com_id").agg(F.sum("_amt").alias("_amt"), F.sum("_n").alias("_n"))
+        facts = facts.groupBy("contrib_name", "com_id").agg(*_sums())
     if fits_broadcast(register, broadcast_limit):
         joined = facts.join(F.broadcast(register), "com_id")
     else:
         # payments of one donor may be many as well: dealt by amount too
         spread = F.struct("contrib_name", "_amt")
         joined = salted_join(facts, register, "com_id", spread, partition_bytes)
-    sums = joined.groupBy("contrib_name", "cand_id").agg(F.sum("_amt").alias("_amt"), F.sum("_n").alias("_n"))
+    sums = joined.groupBy("contrib_name", "cand_id").agg(*_sums())
     r = _from_preaggregated(
         sums, [(_cycle_dim(cycles, "cand_id", "cand_name", "election_cycle"), "cand_id")],
         [F.col("contrib_name").alias("source_node"), F.col("cand_name").alias("target_node"), _cycle_text()])

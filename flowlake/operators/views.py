@@ -21,8 +21,8 @@ Selection = str | DataFrame | None
 
 
 def exact_sum(c: str | F.Column) -> F.Column:
-    """Order-independent sum of 2-decimal amounts (integer cents), as DOUBLE."""
-    return rules.from_cents(F.sum(rules.cents(c)))
+    """Order-independent exact sum of amounts, as DOUBLE."""
+    return rules.sum_money(c)
 
 
 def _select(df: DataFrame, column: str, value: Selection) -> DataFrame:
@@ -105,7 +105,7 @@ def _with_share(df: DataFrame, value: str, share: str = "share") -> DataFrame:
     (the four flow labels, the two donor types), so the single window
     partition holds at most four rows whatever the data size. The shares of
     a zero total are NULL."""
-    total = rules.from_cents(F.sum(rules.cents(value)).over(Window.partitionBy()))
+    total = rules.sum_money(value, Window.partitionBy())
     return df.withColumn(share, F.try_divide(F.col(value), total))
 
 

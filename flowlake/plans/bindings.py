@@ -49,9 +49,11 @@ NULL = "CAST(NULL AS STRING)"
 PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
 SIGNED = f"CASE WHEN l_returnflag = 'R' THEN -{PRICE} ELSE {PRICE} END"
 AMOUNT = f"CAST({SIGNED} AS DOUBLE)"
-# an amount that no total can hold, on a few orders
+# on a few orders: an amount that no total can hold, a very large one, and one below the cent
 WILD_AMOUNT = (f"CASE WHEN l_orderkey % 1000 = 7 THEN CAST('inf' AS DOUBLE) "
-               f"WHEN l_orderkey % 1000 = 13 THEN CAST('1e30' AS DOUBLE) ELSE {AMOUNT} END")
+               f"WHEN l_orderkey % 1000 = 13 THEN CAST('1e30' AS DOUBLE) "
+               f"WHEN l_orderkey % 1000 = 3 THEN CAST('25000000000001.25' AS DOUBLE) "
+               f"WHEN l_orderkey % 1000 = 5 THEN CAST('0.004' AS DOUBLE) ELSE {AMOUNT} END")
 AMOUNT_TEXT = _s(SIGNED)
 ORDER_AMOUNT_TEXT = _s("CAST(o_totalprice AS DECIMAL(18,2))")
 TRANS_TYPE = ("CASE WHEN l_linenumber = 7 THEN '24Z' "

@@ -136,14 +136,14 @@ def q_geo_summary(spark, sf):
 
 
 @query("indiv_rollup", O.with_ctes(
-    "SELECT cand_id, CAST(c AS DOUBLE) / 100 AS individual_funds FROM raised", "raised"))
+    f"SELECT cand_id, {O.money('c')} AS individual_funds FROM raised", "raised"))
 def q_indiv_rollup(spark, sf):
     s = _in(spark, sf)
     return gold.indiv_rollup(s["individual_contributions"], s["committee_master"])
 
 
 @query("committee_rollup", O.with_ctes(
-    "SELECT cand_id, CAST(c AS DOUBLE) / 100 AS committee_funds FROM given", "given"))
+    f"SELECT cand_id, {O.money('c')} AS committee_funds FROM given", "given"))
 def q_committee_rollup(spark, sf):
     return gold.committee_rollup(B.frame(spark, sf, "direct"))
 
@@ -153,9 +153,9 @@ def q_donor_type_summary(spark, sf):
     return _donor(spark, sf)
 
 
-@query("floor_at_zero", O.with_ctes("""
-SELECT cand_id, CAST(c AS DOUBLE) / 100 AS individual_funds,
-       CASE WHEN c > 0 THEN CAST(c AS DOUBLE) / 100 ELSE 0.0 END AS floored_funds
+@query("floor_at_zero", O.with_ctes(f"""
+SELECT cand_id, {O.money('c')} AS individual_funds,
+       CASE WHEN c > 0 THEN {O.money('c')} ELSE 0.0 END AS floored_funds
 FROM candidate LEFT JOIN raised USING (cand_id)""", "candidate", "raised"))
 def q_floor_at_zero(spark, sf):
     s = _in(spark, sf)
@@ -297,10 +297,10 @@ def q_view_candidate_list(spark, sf):
     return views.candidate_list(_net_view(spark, sf))
 
 
-_METRICS_SQL = """
-SELECT COALESCE(CAST(SUM(CAST(weight AS DECIMAL(38,2))) AS DOUBLE), 0.0) AS total_flow,
+_METRICS_SQL = f"""
+SELECT COALESCE({O.money("SUM(" + O.exact('weight') + ")")}, 0.0) AS total_flow,
        COUNT(*) AS edge_count,
-       CASE WHEN COUNT(*) > 0 THEN CAST(SUM(CAST(weight AS DECIMAL(38,2))) AS DOUBLE) / COUNT(*)
+       CASE WHEN COUNT(*) > 0 THEN {O.money("SUM(" + O.exact('weight') + ")")} / COUNT(*)
             ELSE 0.0 END AS mean_weight
 FROM net_view"""
 O.CTE["net_metrics"] = (_METRICS_SQL, ["net_view"])
@@ -320,8 +320,8 @@ def q_format_currency(spark, sf):
     return views.format_metrics(views.network_metrics(_net_view(spark, sf)))
 
 
-O.CTE["flow_comp"] = ("""
-SELECT transaction_flow, CAST(SUM(CAST(weight AS DECIMAL(38,2))) AS DOUBLE) AS weight,
+O.CTE["flow_comp"] = (f"""
+SELECT transaction_flow, {O.money("SUM(" + O.exact('weight') + ")")} AS weight,
        CAST(SUM(transaction_count) AS BIGINT) AS transaction_count
 FROM net_view GROUP BY 1""", ["net_view"])
 
@@ -331,8 +331,8 @@ def q_view_flow_composition(spark, sf):
     return views.flow_composition(_net_view(spark, sf))
 
 
-@query("view_flow_share", O.with_ctes("""
-SELECT *, weight / nullif(CAST(SUM(CAST(weight AS DECIMAL(38,2))) OVER () AS DOUBLE), 0) AS share FROM flow_comp""",
+@query("view_flow_share", O.with_ctes(f"""
+SELECT *, weight / nullif({O.money("SUM(" + O.exact('weight') + ") OVER ()")}, 0) AS share FROM flow_comp""",
                                       "flow_comp"))
 def q_view_flow_share(spark, sf):
     return views.flow_share(_net_view(spark, sf))
@@ -376,8 +376,8 @@ def q_view_top_edges(spark, sf):
     return views.top_edges(_net_view(spark, sf))
 
 
-@query("view_top_sources", O.with_ctes("""
-SELECT source_node, CAST(SUM(CAST(weight AS DECIMAL(38,2))) AS DOUBLE) AS total_weight
+@query("view_top_sources", O.with_ctes(f"""
+SELECT source_node, {O.money("SUM(" + O.exact('weight') + ")")} AS total_weight
 FROM top_edges GROUP BY 1""", "top_edges"))
 def q_view_top_sources(spark, sf):
     return views.top_sources(views.top_edges(_net_view(spark, sf)))
@@ -420,8 +420,8 @@ SELECT cand_name, election_cycle, 'Political Committees (PACs)' AS source_type,
 FROM t2_first""", ["t2_first"])
 
 
-@query("view_donor_mix", O.with_ctes("""
-SELECT *, amount / nullif(CAST(SUM(CAST(amount AS DECIMAL(38,2))) OVER () AS DOUBLE), 0) AS share FROM t2_mix""", "t2_mix"))
+@query("view_donor_mix", O.with_ctes(f"""
+SELECT *, amount / nullif({O.money("SUM(" + O.exact('amount') + ") OVER ()")}, 0) AS share FROM t2_mix""", "t2_mix"))
 def q_view_donor_mix(spark, sf):
     _, donor, cyc, cand = _tab2(spark, sf)
     return views.donor_mix(donor, candidate=cand, cycle=cyc)
