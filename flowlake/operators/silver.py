@@ -25,9 +25,15 @@ from ..functions import rules
 from ..sources.delimited import CORRUPT_COLUMN, read_delimited
 from ..sources.paths import path_exists
 from ..sources.snapshots import read_snapshots
+from ..sources.tables import REJECTED_PREFIX, REJECTED_SCHEMA
 
 DATASET_COLUMN = "dataset"
 
+#: Rejected lines: their columns, and the reason of a wrong field count.
+REJECTED_COLUMNS = dict(c.split() for c in REJECTED_SCHEMA.split(", "))
+BAD_FIELDS = "fields"
+_FILE, _ID = "_origin_file", "_origin_id"
+
 
 def project_mapping(
     df: DataFrame,
@@ -43,6 +49,12 @@ def project_mapping(
     value to string (snapshot sources); ``missing_tokens`` turns stringified
     missing values (``nan``/``None``) back into NULL.
     """
+    return df.select(mapped_columns(df, mapping, targets, as_text, missing_tokens))
+
+
+def mapped_columns(df: DataFrame, mapping: Mapping[str, str], targets: list[str], as_text: bool = False,
+                   missing_tokens: tuple[str, ...] | None = None) -> list[F.Column]:
+    """The columns of ``project_mapping``."""
     present = set(df.columns)
     cols = []
     for t in targets:
@@ -56,7 +68,7 @@ def project_mapping(
             if missing_tokens:
                 c = rules.null_tokens(c, missing_tokens)
         cols.append(c.alias(t))
-    return df.select(cols)
+    return cols
 
 
 def project_bulk(df: DataFrame, dataset: str) -> DataFrame:
@@ -90,18 +102,19 @@ def filter_codes(df: DataFrame, dataset: str) -> DataFrame:
     return df if cond is None else df.where(cond)
 
 
-def clean_column(name: str) -> F.Column:
-    """Cleaning rule chosen by column name."""
+def clean_column(name: str, raw: F.Column | None = None) -> F.Column:
+    """Cleaning rule chosen by column name, for the column itself or ``raw``."""
+    raw = F.col(name) if raw is None else raw
     if name in R.DATE_COLUMNS:
-        c = rules.normalize_date(name)
+        c = rules.normalize_date(raw)
     elif name in R.AMOUNT_COLUMNS:
-        c = rules.normalize_amount(name)
+        c = rules.normalize_amount(raw)
     elif name in R.ID_COLUMNS:
-        c = rules.normalize_id(name)
+        c = rules.normalize_id(raw)
     elif name in R.LABEL_COLUMNS:
-        c = rules.normalize_label(name)
+        c = rules.normalize_label(raw)
     else:
-        c = rules.normalize_text(name)
+        c = rules.normalize_text(raw)
     return c.alias(name)
 
 
@@ -226,6 +239,92 @@ def build_split_silver(
     return dedup(clean(_counted(unified, obs), keep=(DATASET_COLUMN,)))
 
 
+def with_origin(df: DataFrame | None) -> DataFrame | None:
+    """A source as it was read, with the file of each row and a number that
+    tells equal lines apart; needed by ``silver_and_rejected``."""
+    if df is None:
+        return None
+    return df.select("*", F.col("_metadata.file_path").alias(_FILE), F.monotonically_increasing_id().alias(_ID))
+
+
+def _whole_line(df: DataFrame, sep: str = "|") -> F.Column:
+    """The line a raw row was read from: a malformed one as it stood, another
+    one from its fields (quoting is off); a snapshot row as JSON."""
+    names = [c for c in df.columns if c not in (CORRUPT_COLUMN, _FILE, _ID)]
+    if CORRUPT_COLUMN not in df.columns:
+        return F.to_json(F.struct(*(F.col(f"`{c}`") for c in names)))
+    return F.coalesce(CORRUPT_COLUMN, F.concat_ws(sep, *(F.coalesce(f"`{c}`", F.lit("")) for c in names)))
+
+
+def _rows_and_lines(df: DataFrame, datasets: tuple[str, ...], api: bool) -> DataFrame:
+    """A raw source as cleaned rows and rejected lines, each under its label.
+
+    A row goes to the first of ``datasets`` whose code filter it passes. Its
+    line is rejected too if a value could not be read; a line with the wrong
+    number of fields is rejected whether its row passes a filter or not."""
+    targets = R.target_columns(datasets[0])
+    mapping = R.MAPPINGS[datasets[0]]["api" if api else "bulk"]
+    raw = dict(zip(targets, mapped_columns(df, mapping, targets, api, ("nan", "None") if api else None)))
+    label = F.lit(None).cast("string")
+    for d in reversed(datasets):
+        codes = R.DATASET_CODES.get(d)
+        label = F.when(raw["trans_type"].isin(*codes), F.lit(d)).otherwise(label) if codes else F.lit(d)
+    ragged = F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in df.columns else F.lit(False)
+    # cleaned once, used by the row and by the reason
+    base = df.select("*", label.alias("_label"), ragged.alias("_ragged"),
+                     *(clean_column(t, raw[t]).alias(f"_clean_{t}") for t in targets))
+    reasons = [F.when(F.col("_ragged"), F.lit(BAD_FIELDS))]
+    for t in targets:
+        if t in R.DATE_COLUMNS:
+            bad = (F.trim(raw[t]) != "") & F.col(f"_clean_{t}").isNull()
+        elif t in R.AMOUNT_COLUMNS:
+            bad = (F.col(f"_clean_{t}") == 0) & rules.rejected_amount(raw[t])
+        else:
+            continue
+        reasons.append(F.when(F.col("_label").isNotNull() & bad, F.lit(t)))
+    reason = F.concat_ws(",", *reasons)
+    types = {t: "double" if t in R.AMOUNT_COLUMNS else "string" for t in targets}
+    row = F.struct(F.col("_label").alias(DATASET_COLUMN), *(F.col(f"_clean_{t}").alias(t) for t in targets),
+                   *(F.lit(None).cast(kind).alias(c) for c, kind in REJECTED_COLUMNS.items()))
+    line = F.struct(F.concat(F.lit(REJECTED_PREFIX), F.coalesce("_label", F.lit(datasets[0]))).alias(DATASET_COLUMN),
+                    *(F.lit(None).cast(types[t]).alias(t) for t in targets),
+                    reason.alias("reason"), _whole_line(df).alias("line"), F.col(_FILE).alias("file"),
+                    F.col(_ID).alias("line_id"))
+    both = F.array(F.when(F.col("_label").isNotNull(), row), F.when(reason != "", line))
+    # the outer form: for the inner one the optimizer infers a filter that repeats the whole expression
+    return base.select(both.alias("_both")).select(F.inline_outer("_both")).where(F.col(DATASET_COLUMN).isNotNull())
+
+
+def silver_and_rejected(bulk_raw: DataFrame | None, api_raw: Mapping[str, DataFrame | None],
+                        datasets: tuple[str, ...], obs: Observation | None = None) -> DataFrame:
+    """The silver rows of the datasets cut from one bulk source, and the lines
+    that a user has to look at, in one pass: one scan per source and one
+    distinct. Sources come through ``with_origin``.
+
+    Output: ``dataset``, the canonical columns, ``REJECTED_COLUMNS``. Rows are
+    labelled with their dataset and are those of ``silver_from_sources`` or
+    ``build_split_silver``. Lines are labelled ``rejected_`` and the dataset
+    (the first one if their row passes no code filter) and hold the whole
+    line, why it was rejected (``fields``: wrong number of fields; else the
+    names of the columns that could not be read), its file, and a number that
+    is unique within the file and one run. ``obs`` counts as in
+    ``silver_from_sources``."""
+    parts = [] if bulk_raw is None else [_rows_and_lines(bulk_raw, datasets, api=False)]
+    parts += [_rows_and_lines(api_raw[d], (d,), api=True) for d in datasets if api_raw.get(d) is not None]
+    if not parts:
+        raise ValueError("no source")
+    out = reduce(lambda a, b: a.unionByName(b), parts)
+    if obs is not None:
+        metrics = [F.count_if(F.col("reason").isNull()).alias("candidate_rows")]
+        for c in R.target_columns(datasets[0]):
+            if c in R.DATE_COLUMNS + R.AMOUNT_COLUMNS:
+                metrics.append(F.count_if(F.array_contains(F.split("reason", ","), c)).alias(f"bad_{c}"))
+            if c in R.AMOUNT_COLUMNS:
+                metrics.append(F.count_if(rules.sub_cent(c) & F.col("reason").isNull()).alias(f"sub_cent_{c}"))
+        out = out.observe(obs, *metrics)
+    return dedup(out)
+
+
 def layer_counts(bulk_raw: DataFrame | None, api_raw: DataFrame | None, silver: DataFrame) -> DataFrame:
     """Row counts of the raw bulk scan, the snapshot frame and the silver
     output, as one small DataFrame (each count is a global aggregate with

@@ -23,6 +23,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import registry as R
 from ..operators import gold, silver
@@ -58,7 +59,7 @@ def _observe_bulk(df: DataFrame | None):
     # CSV column pruning the parser would otherwise tokenize only the mapped
     # columns and never notice a row with the wrong field count. (A
     # non-nullable expression such as a struct would be folded to count(1).)
-    raw = [F.col(f"`{c}`") for c in df.columns if c != silver.CORRUPT_COLUMN]
+    raw = [F.col(f"`{c}`") for c in df.columns if c != silver.CORRUPT_COLUMN and not c.startswith("_origin")]
     return df.observe(obs, F.count(F.lit(1)).alias("bulk_rows"),
                       F.count(silver.CORRUPT_COLUMN).alias("malformed_rows"),
                       F.count(F.coalesce(*raw)).alias("non_empty_rows")), obs
@@ -92,9 +93,14 @@ def bad_share(metrics: dict) -> float:
     return max((v / rows for k, v in metrics.items() if k.startswith("bad_") and rows), default=0.0)
 
 
-def _publish(spark, root, dataset, part, schema, metrics, inputs, max_bad_share) -> dict:
-    """Make a staged part the table, unless too many of its values were unreadable."""
+def _publish(spark, root, dataset, part, rejected, schema, metrics, inputs, max_bad_share) -> dict:
+    """Make a staged part the table, unless too many of its values were
+    unreadable. The rejected lines are published in either case."""
     layer = tables.silver_layer(root)
+    name, lines = f"{tables.REJECTED_PREFIX}{dataset}", [rejected] if rejected else []
+    versions.commit(spark, layer, name, versions.load(spark, layer, name), lines, rows=metrics["rejected_lines"],
+                    schema=StructType.fromDDL(tables.REJECTED_SCHEMA))
+    versions.vacuum(spark, layer, name)
     published = max_bad_share is None or bad_share(metrics) <= max_bad_share
     if published:
         versions.commit(spark, layer, dataset, versions.load(spark, layer, dataset), [part], rows=metrics["rows"],
@@ -118,25 +124,27 @@ def _build_group(spark: SparkSession, bulk_file: str, group, bronze_root, landin
         done = {d: versions.load(spark, tables.silver_layer(out_root), d) for d, _ in group}
         if all(done[d].inputs == inputs[d] for d in done):
             return {d: {**done[d].extra["metrics"], "published": True, "resumed": True} for d in done}
-    bulk, bulk_obs = _observe_bulk(silver.read_bulk(spark, bulk_path, layouts.get(bulk_file), flag_corrupt=True))
+    bulk, bulk_obs = _observe_bulk(silver.with_origin(
+        silver.read_bulk(spark, bulk_path, layouts.get(bulk_file), flag_corrupt=True)))
     api, api_obs = {}, {}
     for d, prefix in group:
         raw = snapshots.read_snapshots(spark, landing_root, prefix) if landing_root else None
-        api[d], api_obs[d] = _observe_rows(raw, "api_rows")
+        api[d], api_obs[d] = _observe_rows(silver.with_origin(raw), "api_rows")
     if bulk is None and all(v is None for v in api.values()):
         log.warning("no source for %s; skipped", [d for d, _ in group])
         return {}
-    rejected = Observation()
+    counters = Observation()
     datasets = tuple(d for d, _ in group)
-    if len(group) == 1:
-        out = silver.silver_from_sources(datasets[0], bulk, api[datasets[0]], rejected)
-        staged, schema = {datasets[0]: tables.stage_silver(out, out_root, datasets[0])}, out.schema
-    else:
-        split = silver.build_split_silver(bulk, api, datasets, rejected)
-        staged, schema = tables.stage_split_silver(split, out_root, datasets), split.drop(silver.DATASET_COLUMN).schema
-    shared = _metrics(bulk_obs, rejected)
-    return {d: _publish(spark, out_root, d, part, schema, {**shared, **_metrics(api_obs[d]), "rows": rows}, inputs[d],
-                        max_bad_share) for d, (part, rows) in staged.items()}
+    out = silver.silver_and_rejected(bulk, api, datasets, counters)
+    schema = out.select(R.target_columns(datasets[0])).schema
+    aside = {d: f"{tables.REJECTED_PREFIX}{d}" for d in datasets}
+    staged = tables.stage_split_silver(out, out_root, datasets, aside.values())
+    shared, done = _metrics(bulk_obs, counters), {}
+    for d in datasets:
+        (part, rows), (lines, n) = staged[d], staged[aside[d]]
+        metrics = {**shared, **_metrics(api_obs[d]), "rows": rows, "rejected_lines": n}
+        done[d] = _publish(spark, out_root, d, part, lines, schema, metrics, inputs[d], max_bad_share)
+    return done
 
 
 def run_silver(spark: SparkSession, bronze_root: str | None, landing_root: str | None, out_root: str,
@@ -147,8 +155,9 @@ def run_silver(spark: SparkSession, bronze_root: str | None, landing_root: str |
     observed during the write job itself: ``bulk_rows`` and
     ``malformed_rows`` of the bulk scan, ``api_rows`` of the snapshots,
     ``bad_*`` and ``sub_cent_*`` values met by the cleaning rules (for a
-    split source, over all its datasets), ``rows`` written and whether they
-    were ``published``. A dataset with no source at all is skipped; one with
+    split source, over all its datasets), ``rows`` written, ``rejected_lines``
+    kept whole beside the table (``tables.load_rejected``) in the same pass
+    over the sources, and whether the rows were ``published``. A dataset with no source at all is skipped; one with
     more than ``max_bad_share`` unreadable values in a column keeps its old
     version; with ``resume`` one whose input files are those of its current
     version is left as it is.

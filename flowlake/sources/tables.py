@@ -34,6 +34,8 @@ GOLD_SCHEMAS = {
                        "transaction_count bigint",
 }
 CYCLES = "cycles"
+REJECTED_PREFIX = "rejected_"
+REJECTED_SCHEMA = "reason string, line string, file string, line_id bigint"
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -42,11 +44,12 @@ def table_path(root: str, layer: str, name: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                observe: bool = False, mode: str | None = None) -> dict | None:
+                observe: bool = False, mode: str | None = None, rebalance: bool = True) -> dict | None:
     """Overwrite a Parquet table (Snappy). With ``observe`` the row count is
     collected as a metric of the write itself, not by a second scan; ``mode``
-    is the partition overwrite mode."""
-    if partition_by:
+    is the partition overwrite mode. Rows are clustered by the partition
+    columns first unless ``rebalance`` is False."""
+    if partition_by and rebalance:
         df = df.hint("rebalance", *(F.col(c) for c in partition_by))
     obs = None
     if observe:
@@ -90,18 +93,22 @@ def write_silver(df: DataFrame, root: str, dataset: str, observe: bool = False,
     return {"rows": rows} if observe else None
 
 
-def stage_split_silver(df: DataFrame, root: str, datasets: Iterable[str]) -> dict[str, tuple[str, int]]:
+def stage_split_silver(df: DataFrame, root: str, datasets: Iterable[str],
+                       optional: Iterable[str] = ()) -> dict[str, tuple[str | None, int]]:
     """Datasets cut from one source (``dataset`` column) in one write: part
-    and rows of each; a dataset without rows gets an empty part."""
-    datasets = list(datasets)
+    and rows of each; a dataset without rows gets an empty part, an
+    ``optional`` one none. With a few labels every task writes its own files;
+    ``session.sized_for`` lets it do so without sorting its rows."""
+    datasets, optional = list(datasets), list(optional)
     group, path = versions.new_part(silver_layer(root))
     obs = Observation()
-    counts = [F.count(F.when(F.col("dataset") == d, 1)).alias(d) for d in datasets]
-    write_table(df.observe(obs, *counts), path, partition_by=["dataset"])
+    counts = [F.count(F.when(F.col("dataset") == d, 1)).alias(d) for d in datasets + optional]
+    write_table(df.observe(obs, *counts), path, partition_by=["dataset"], rebalance=False)
     for d in datasets:
         if not obs.get[d]:
             write_table(df.drop("dataset").limit(0), f"{path}/dataset={d}")
-    return {d: (f"{group}/dataset={d}", obs.get[d]) for d in datasets}
+    return {d: (f"{group}/dataset={d}" if d in datasets or obs.get[d] else None, obs.get[d])
+            for d in datasets + optional}
 
 
 def write_split_silver(df: DataFrame, root: str, datasets: Iterable[str]) -> dict[str, int]:
@@ -126,6 +133,15 @@ def load_silver(spark: SparkSession, root: str, datasets=GOLD_INPUTS) -> dict[st
     return {d: versions.read(spark, silver_layer(root), d) for d in datasets}
 
 
+def load_rejected(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """The lines that the current load of a silver table could not read in
+    full: reason, line, file and a number (see ``operators.silver``)."""
+    layer, name = silver_layer(root), f"{REJECTED_PREFIX}{dataset}"
+    if not versions.load(spark, layer, name).parts:
+        return spark.createDataFrame([], REJECTED_SCHEMA)
+    return versions.read(spark, layer, name)
+
+
 def cycles_path(root: str, name: str) -> str:
     return table_path(root, "gold", f"{CYCLES}/table={name}")
 

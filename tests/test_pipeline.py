@@ -8,6 +8,7 @@ import pytest
 
 from conftest import SF_SMALL
 from flowlake import registry as R
+from flowlake.operators import silver
 from flowlake.plans import bindings as B
 from flowlake.plans import oracle as O
 from flowlake.plans import pipeline
@@ -88,6 +89,68 @@ def test_malformed_rows_counted(spark, tmp_dir):
     assert out["committee_master"]["rows"] == 3
 
 
+def test_rejected_lines_are_kept_whole(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/bronze")
+    layout = R.BULK_LAYOUTS["itcont.txt"]
+
+    def line(**fields):
+        return "|".join(fields.get(c, "") for c in layout)
+
+    good = line(CMTE_ID="C1", NAME="A", TRANSACTION_DT="01052026", TRANSACTION_AMT="5")
+    bad_date = line(CMTE_ID="C1", NAME='B "x', TRANSACTION_DT="02302026", TRANSACTION_AMT="7")
+    bad_both = line(CMTE_ID="C2", NAME=" C", TRANSACTION_DT="junk", TRANSACTION_AMT="$5")
+    long, short = good + "|extra|more", "C3|short"
+    with open(f"{tmp_dir}/bronze/itcont.txt", "w") as f:
+        f.write("\n".join([good, bad_date, bad_date, bad_both, long, short, good]) + "\n")
+    d = "individual_contributions"
+    m = pipeline.run_silver(spark, f"{tmp_dir}/bronze", None, tmp_dir, tasks=[(d, "itcont.txt", "api_none")])[d]
+    lines = tables.load_rejected(spark, tmp_dir, d).collect()
+    assert sorted((r.reason, r.line) for r in lines) == sorted([
+        ("trans_date", bad_date), ("trans_date", bad_date), ("trans_amt,trans_date", bad_both),
+        ("fields", long), ("fields", short)])
+    assert all(r.file.endswith("/itcont.txt") for r in lines) and len({r.line_id for r in lines}) == 5
+    assert (m["rejected_lines"], m["malformed_rows"], m["bad_trans_date"], m["bad_trans_amt"]) == (5, 2, 3, 1)
+    assert (m["bulk_rows"], m["candidate_rows"], m["rows"]) == (7, 7, 4)
+    # the rows are those of the plain plan, and the next load replaces the lines
+    plain = silver.build_silver(spark, d, f"{tmp_dir}/bronze/itcont.txt")
+    got = tables.load_silver(spark, tmp_dir, [d])[d]
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    with open(f"{tmp_dir}/bronze/itcont.txt", "w") as f:
+        f.write(good + "\n")
+    pipeline.run_silver(spark, f"{tmp_dir}/bronze", None, tmp_dir, tasks=[(d, "itcont.txt", "api_none")])
+    assert tables.load_rejected(spark, tmp_dir, d).count() == 0
+
+
+def test_rejected_lines_of_a_split_file(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/bronze")
+    layout = R.BULK_LAYOUTS["itpas2.txt"]
+
+    def line(**fields):
+        return "|".join(fields.get(c, "") for c in layout)
+
+    direct, independent = (d for d, f, _ in R.SILVER_TASKS if f == "itpas2.txt")
+    codes = {d: R.DATASET_CODES[d][0] for d in (direct, independent)}
+    fine = line(CMTE_ID="C1", TRANSACTION_TP=codes[direct], TRANSACTION_DT="01052026", TRANSACTION_AMT="5")
+    wild = line(CMTE_ID="C1", TRANSACTION_TP=codes[independent], TRANSACTION_DT="01052026", TRANSACTION_AMT="inf")
+    other = line(CMTE_ID="C1", TRANSACTION_TP="??", TRANSACTION_DT="junk", TRANSACTION_AMT="5")
+    with open(f"{tmp_dir}/bronze/itpas2.txt", "w") as f:
+        f.write("\n".join([fine, wild, other, "C9|short"]) + "\n")
+    tasks = [t for t in R.SILVER_TASKS if t[1] == "itpas2.txt"]
+    m = pipeline.run_silver(spark, f"{tmp_dir}/bronze", None, tmp_dir, tasks=tasks)
+
+    def lines(d):
+        return [(r.reason, r.line) for r in tables.load_rejected(spark, tmp_dir, d).collect()]
+
+    # a line whose row belongs to no dataset is looked at only if it is malformed
+    assert lines(direct) == [("fields", "C9|short")] and lines(independent) == [("trans_amt", wild)]
+    assert [m[d]["rows"] for d in (direct, independent)] == [1, 1]
+    assert m[direct]["malformed_rows"] == 1 and m[direct]["candidate_rows"] == 2
+
+
 @pytest.mark.parametrize("table,cte", [("geo_summary", "geo"), ("donor_type_summary", "donor"),
                                        ("network_metrics", "network")])
 def test_gold_matches_oracle_on_silver(spark, built, table, cte):
