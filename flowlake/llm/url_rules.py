@@ -5,11 +5,13 @@ subdomains and the paths that start with the rule's; the longest wins.
 
 Mined rules: every labelled URL becomes a transaction of its URL tokens: all
 host labels and their words, all path words, all query keys, the whole host,
-scheme, file ending and flags.  Spark's FP-growth mines the token combinations
-of any length that are frequent among the bad ones, an inverted index counts
-how many labelled URLs of either class hold each combination, and one becomes
-a block rule if it has enough support and confidence and chance would not
-give it: the Chernoff bound of so many bad matches at the share of bad URLs,
+scheme, file ending and flags.  The token combinations of any length that are
+frequent among the bad ones are mined level by level: a combination of k + 1
+tokens is tried if all its parts of k tokens are left, an inverted index counts
+how many labelled URLs of either class hold it, and it is left out if one of
+its parts matches the same URLs (the part then gives the same rule, shorter).
+One becomes a block rule if it has enough support and confidence and chance
+would not give it: the Chernoff bound of so many bad matches at the share of bad URLs,
 times the number of different sets of URLs that the combinations match, stays
 below ``CHANCE``.  A rule that contains another rule is pruned.  Matching uses the
 same inverted index: each rule is filed under its rarest token, URLs are
@@ -18,12 +20,12 @@ exploded into tokens and meet only the rules filed under them.
 Labels (``labelled_pages``): a URL whose host has a word of ``SEED_WORDS`` is
 bad, any other has the label of the row with its number, if there is one.
 
-Sizes: every frequent token is mined alone, whatever their number in a URL;
-combinations are mined among the ``COMBINED`` frequent tokens of a URL that
-tell most about the class by themselves, as a URL with k tokens has 2^k
-combinations.  At most ``2^COMBINED / support`` combinations are frequent,
-far fewer become rules; the planner decides by the table's real size whether
-it is broadcast.
+Sizes: every frequent token of a URL is combined with every other, whatever
+their number.  Tokens that always come together, or one only with another (the
+steps of a deep path), give no combination beyond their pairs, so what is
+counted follows the number of different sets of URLs that combinations match,
+not the 2^k combinations of a URL with k tokens.  Far fewer become rules; the
+planner decides by the table's real size whether it is broadcast.
 
 Defined results: a null URL or one without ``://`` has empty host and path,
 no rule and the verdict allow.  Verdicts are a function of the URL, so
@@ -35,8 +37,8 @@ extra columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,8 +54,11 @@ SEED_WORDS = (
     "tracking viagra warez webcam xxx"
 ).split()
 
-#: Mining: share of the bad URLs, bad URLs at least, precision, expected rules by chance, tokens of a URL that are combined.
-MIN_SUPPORT, MIN_MATCHES, MIN_CONFIDENCE, CHANCE, COMBINED = 0.005, 3, 0.8, 0.5, 12
+#: Mining: share of the bad URLs, bad URLs at least, precision, expected rules by chance.
+MIN_SUPPORT, MIN_MATCHES, MIN_CONFIDENCE, CHANCE = 0.005, 3, 0.8, 0.5
+
+#: Tokens of a URL that the SQL of the query combines, which tries all 2^k; ``mine`` combines all.
+COMBINED = 12
 
 
 def host(url: Column) -> Column:
@@ -121,9 +126,57 @@ def _log_chance(n: Column, b: Column, base: float) -> Column:
     return -n * (part(b / n, base) + part(1 - b / n, 1 - base))
 
 
+def _pairs(urls: DataFrame) -> DataFrame:
+    """The pairs of tokens of bad URLs, as sorted antecedents."""
+    later = F.transform("tokens", lambda x, i: F.struct(x.alias("t"), F.slice("tokens", i + 2, F.size("tokens")).alias("rest")))
+    each = urls.filter("b > 0").select(F.explode(later).alias("x"))
+    return each.select("x.t", F.explode("x.rest").alias("u")).distinct().select(F.array("t", "u").alias("antecedent"))
+
+
+def _longer(sets: DataFrame, size: int) -> DataFrame:
+    """The antecedents of ``size + 1`` tokens whose parts of ``size`` tokens are all among ``sets``."""
+    head = sets.select(F.slice("antecedent", 1, size - 1).alias("head"), F.element_at("antecedent", -1).alias("last"))
+    both = head.join(head.withColumnRenamed("last", "next"), "head").filter("last < next")
+    tried = both.select(F.concat("head", F.array("last", "next")).alias("antecedent"))
+    parts = tried.select("antecedent", F.explode(_parts(F.col("antecedent"))).alias("part"))
+    held = parts.join(sets.select(F.col("antecedent").alias("part")), "part")
+    return held.groupBy("antecedent").agg(F.count("*").alias("held")).filter(F.col("held") == size + 1).select("antecedent")
+
+
+def _parts(antecedent: Column) -> Column:
+    """The parts of an antecedent that miss one token."""
+    return F.transform(antecedent, lambda x: F.array_remove(antecedent, x))
+
+
+def _combinations(urls: DataFrame, single: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(antecedent, n_match, n_bad, matched) of the token combinations with ``least`` bad URLs or more of which no
+    part matches the same URLs, and (antecedent, filed) with the rarest token of each.
+
+    ``urls``: tokens, n, b, url_hash; ``single``: t, b of the frequent tokens, kept whatever they match."""
+    counts = lambda tried: _matches(urls, tried).groupBy("antecedent").agg(
+        F.sum("n").alias("n_match"), F.sum("b").alias("n_bad"), F.bit_xor("url_hash").alias("matched"))
+    index = single.select(F.array("t").alias("antecedent"), F.col("t").alias("filed"))
+    level = common.written(counts(index), "counted")
+    levels, indexes = [level], [index]
+    while True:
+        size = len(levels)
+        tried = _pairs(urls) if size == 1 else _longer(level, size)
+        rare = tried.select("antecedent", F.explode("antecedent").alias("t")).join(single.select("t", "b"), "t")
+        index = common.written(rare.groupBy("antecedent").agg(F.min(F.struct("b", "t")).alias("m"), F.count("*").alias("k")).filter(
+            F.col("k") == size + 1).select("antecedent", F.col("m.t").alias("filed")), "itemsets")
+        found = counts(index).filter(F.col("n_bad") >= least)
+        parts = found.select("antecedent", F.explode(_parts(F.col("antecedent"))).alias("part"), "n_match", "n_bad", "matched")
+        parts = parts.join(level.select(F.col("antecedent").alias("part"), F.col("n_match").alias("more")), "part")
+        found = parts.groupBy("antecedent", "n_match", "n_bad", "matched").agg(F.min("more").alias("more"))
+        level = common.written(found.filter("n_match < more").drop("more"), "counted")
+        if level.isEmpty():
+            return (reduce(DataFrame.union, levels), reduce(DataFrame.union, indexes))
+        levels.append(level)
+        indexes.append(index)
+
+
 def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", min_support: float = MIN_SUPPORT,
-         min_matches: int = MIN_MATCHES, min_confidence: float = MIN_CONFIDENCE, chance: float = CHANCE,
-         combined: int = COMBINED) -> DataFrame:
+         min_matches: int = MIN_MATCHES, min_confidence: float = MIN_CONFIDENCE, chance: float = CHANCE) -> DataFrame:
     """(antecedent, filed, n_match, n_bad, confidence): the block rules mined from labelled URLs.
 
     Identical transactions are counted once with their numbers of either
@@ -136,31 +189,16 @@ def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", min_support: f
         F.count(F.lit(1)).alias("n"), F.sum("bad").alias("b")), "transactions")
     total, n_bad = groups.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
     least = max(1, min_matches, math.ceil(min_support * n_bad))
-    single = groups.select(F.explode("tokens").alias("t"), "n", "b").groupBy("t").agg(
-        F.sum("n").alias("n"), F.sum("b").alias("b")).filter(F.col("b") >= least)
-    single = common.written(single.select("t", "b", ((F.col("b") + 1) / (F.col("n") + 2)).alias("tells")), "tokens")
+    single = groups.select(F.explode("tokens").alias("t"), "b").groupBy("t").agg(F.sum("b").alias("b"))
+    single = common.written(single.filter(F.col("b") >= least), "tokens")
 
     # what a URL matches depends on its frequent tokens alone: transactions that share them are one from here on
-    each = groups.select("tokens", "n", "b", F.explode("tokens").alias("t")).join(single.select("t", "tells"), "t")
-    each = each.groupBy("tokens").agg(F.first("n").alias("n"), F.first("b").alias("b"), F.sort_array(
-        F.collect_list(F.struct((-F.col("tells")).alias("k"), "t"))).alias("k"))
-    each = each.select(F.transform("k", lambda x: x["t"]).alias("best"), "n", "b").groupBy("best").agg(
-        F.sum("n").alias("n"), F.sum("b").alias("b"))
-    groups = common.written(each.select(F.array_sort("best").alias("tokens"), F.slice("best", 1, combined).alias("items"),
-                                        "n", "b"), "frequent")
-    copies = groups.groupBy("items").agg(F.sum("b").alias("b")).filter("b > 0").select(
-        "items", F.explode(F.sequence(F.lit(1).cast("long"), "b")))
-    model = FPGrowth(itemsCol="items", minSupport=least / n_bad if n_bad else 1.0,
-                     numPartitions=common.shuffle_width(rows)).fit(copies.select("items"))
-    sets = model.freqItemsets.select(F.array_sort("items").alias("antecedent")).union(
-        single.select(F.array("t"))).distinct()
-    rare = sets.select("antecedent", F.explode("antecedent").alias("t")).join(single.select("t", "b"), "t")
-    index = common.written(rare.groupBy("antecedent").agg(F.min(F.struct("b", "t")).alias("m")).select(
-        "antecedent", F.col("m.t").alias("filed")), "itemsets")
-
-    urls = groups.select("tokens", "n", "b", F.xxhash64("tokens").alias("url_hash"))
-    counted = common.written(_matches(urls, index).groupBy("antecedent").agg(
-        F.sum("n").alias("n_match"), F.sum("b").alias("n_bad"), F.bit_xor("url_hash").alias("matched")), "counted")
+    each = groups.select("tokens", "n", "b", F.explode("tokens").alias("t")).join(single.select("t"), "t")
+    each = each.groupBy("tokens").agg(F.first("n").alias("n"), F.first("b").alias("b"),
+                                      F.sort_array(F.collect_list("t")).alias("k"))
+    urls = common.written(each.groupBy(F.col("k").alias("tokens")).agg(F.sum("n").alias("n"), F.sum("b").alias("b")).select(
+        "*", F.xxhash64("tokens").alias("url_hash")), "frequent")
+    counted, index = _combinations(urls, single, least)
     base, tried = n_bad / total if total else 0.0, counted.select("n_match", "n_bad", "matched").distinct().count()
     good = counted.join(index, "antecedent").withColumn("confidence", F.col("n_bad") / F.col("n_match")).filter(
         (F.col("n_bad") >= least) & (F.col("confidence") >= min_confidence))
