@@ -130,3 +130,33 @@ def test_individual_edges_shuffle_raw_facts_once(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_small_races_shuffle_donor_payments_once(spark):
+    """Register and cycles in one broadcast: the payments are shuffled to their edges only; same edges as by shuffles,
+    with null keys, a committee named twice and a candidate without cycles."""
+    facts = spark.range(3000).select(
+        F.when(F.col("id") % 11 > 0, F.concat(F.lit("C"), (F.col("id") % 9).cast("string"))).alias("com_id"),
+        F.when(F.col("id") % 13 > 0, (F.col("id") % 50).cast("string")).alias("contrib_name"),
+        (F.col("id") - 1000.0).alias("trans_amt"))
+    com = spark.sql("SELECT * FROM VALUES ('C1', 'H0'), ('C2', 'H1'), ('C2', 'H1'), ('C3', NULL), (NULL, 'H0'), "
+                    "('C4', 'H2') AS t(com_id, cand_id)")
+    cand = spark.sql("SELECT * FROM VALUES ('H0', 'A', 'H', '[2024, 2026]'), ('H1', 'A', 'H', '2024'), "
+                     "('H2', 'B', 'S', '2025') AS t(cand_id, cand_name, cand_off, cand_el_yr)")
+    cycles = gold.explode_cycles(cand)
+    once = gold.edges_individual(facts, com, cycles, min_weight=0.0)
+    shuffled = gold.edges_individual(facts, com, cycles, min_weight=0.0, broadcast_limit=0)
+    assert len([ln for ln in _plan(once).splitlines() if "- Exchange" in ln]) == 1
+    found = sorted(map(repr, once.collect()))
+    assert found and found == sorted(map(repr, shuffled.collect()))
+    assert gold._small_races(com, cycles, 40) is None  # counted: more than the limit
+
+
+def test_second_snapshot_is_copied_from_the_first(spark, tmp_dir):
+    from flowlake.sources import snapshots
+
+    catalog._land_individual(spark, SF_SMALL, tmp_dir)
+    paths = snapshots.find_snapshots(spark, f"{tmp_dir}/landing", "api_raw_individual_contribs")
+    first, second = (spark.read.parquet(p) for p in sorted(paths))
+    assert first.schema == second.schema and first.count() == second.count() > 0
+    assert first.exceptAll(second).isEmpty()
