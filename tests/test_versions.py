@@ -281,3 +281,32 @@ def test_refresh_that_fails_adds_nothing_twice(spark, tmp_dir, monkeypatch):
     incremental.refresh(spark, tmp_dir)
     sums = versions.read(spark, incremental.partials_layer(tmp_dir), "transfers")
     assert [tuple(r) for r in sums.select("_amt", "_n").collect()] == [(500, 1)]
+
+
+def test_buckets_follow_the_input(spark, tmp_dir):
+    """A larger table gets more buckets, not larger ones."""
+    from flowlake.sources.versions import buckets_for
+
+    for name, n in (("small", 1000), ("large", 100_000)):
+        rows(spark, n).repartition(4).write.parquet(f"{tmp_dir}/{name}")
+    small, large = (spark.read.parquet(f"{tmp_dir}/{name}") for name in ("small", "large"))
+    assert buckets_for(small) == 8
+    assert buckets_for(large, 4096) > 10 * buckets_for(small, 4096) > 80
+
+
+def test_maintained_payments_are_joined_once(spark, monkeypatch):
+    """Every increment holds its rows of the joined payments, which are dealt in one write."""
+    from conftest import SF_SMALL
+    from flowlake.plans import catalog
+
+    planned = []
+    append = incremental.append
+    monkeypatch.setattr(incremental, "append", lambda df, root, d, *a, **k: (
+        planned.append((d, df._jdf.queryExecution().optimizedPlan().toString())), append(df, root, d, *a, **k))[1])
+    root = catalog.maintained_root(spark, SF_SMALL)
+    plans = [p for d, p in planned if d == "individual_contributions"]
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
+    inputs = catalog._in(spark, SF_SMALL)
+    for d in {d for d, _ in incremental.PARTIALS.values()}:
+        kept = tables.load_silver(spark, root, [d])[d]
+        assert kept.exceptAll(inputs[d]).isEmpty() and inputs[d].exceptAll(kept).isEmpty()
