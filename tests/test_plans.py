@@ -1,6 +1,8 @@
 """Plan checks: dimensions broadcast after a size check, scans pruned and
 filtered at the source, no Python UDF anywhere in the catalogue."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,3 +162,29 @@ def test_second_snapshot_is_copied_from_the_first(spark, tmp_dir):
     first, second = (spark.read.parquet(p) for p in sorted(paths))
     assert first.schema == second.schema and first.count() == second.count() > 0
     assert first.exceptAll(second).isEmpty()
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_payment_joins_are_dealt_by_their_bytes(spark, monkeypatch):
+    """A large join gets a partition per ``TASK_BYTES``, whatever the session's number; the rows are the same."""
+    def edges():
+        return catalog.QUERIES["network_individual"](spark, SF_SMALL)
+
+    before = _rows(edges())
+    monkeypatch.setattr(joins, "TASK_BYTES", 1 << 10)
+    assert len(re.findall(r"REPARTITION_BY_NUM", _plan(edges()))) >= 2
+    assert _rows(edges()) == before
+
+
+def test_sums_meet_their_cycles_in_dealt_partitions(spark, monkeypatch):
+    """The register, then the candidates' cycles, by shuffle: three joins of the payments, all dealt by their bytes."""
+    def edges():
+        return catalog.QUERIES["network_individual_shuffled"](spark, SF_SMALL)
+
+    before = _rows(edges())
+    monkeypatch.setattr(joins, "TASK_BYTES", 1 << 10)
+    assert len(re.findall(r"Exchange hashpartitioning\(cand_id#\d+, \d+\), REPARTITION_BY_NUM", _plan(edges()))) == 2
+    assert _rows(edges()) == before
