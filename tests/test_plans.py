@@ -188,3 +188,12 @@ def test_sums_meet_their_cycles_in_dealt_partitions(spark, monkeypatch):
     monkeypatch.setattr(joins, "TASK_BYTES", 1 << 10)
     assert len(re.findall(r"Exchange hashpartitioning\(cand_id#\d+, \d+\), REPARTITION_BY_NUM", _plan(edges()))) == 2
     assert _rows(edges()) == before
+
+
+def test_stored_gold_joins_the_payments_once(spark, tmp_path, monkeypatch):
+    """Rollup and edges read one table of joined payments, not the orders again."""
+    built = {}
+    monkeypatch.setattr(catalog.tables, "write_gold", lambda t, root, **kw: built.update(t))
+    catalog._write_gold(spark, SF_SMALL, str(tmp_path))
+    assert "orders.parquet" not in _plan(built["network_metrics"])
+    assert spark.read.parquet(f"{tmp_path}/_payments").count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
