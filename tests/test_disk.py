@@ -111,3 +111,18 @@ def test_no_table_of_some_pieces(spark, tmp_path):
         assert not Path(f"{tmp_path}/gold/network_metrics").exists()
         tables.write_gold({"network_metrics": row}, str(tmp_path), partitioned, pieces={"network_metrics": [row, row]})
         assert spark.read.parquet(f"{tmp_path}/gold/network_metrics").count() == 2
+
+
+def test_maintained_network_in_pieces(spark, sliced, monkeypatch):
+    """Joined payments go once silver holds them, the network is written in pieces from the partial sums."""
+    roots, write, pieces = [], tables.write_gold, []
+    monkeypatch.setattr(tables, "write_gold", lambda t, root, *a, **kw: (
+        roots.append(root.removeprefix("file:")), pieces.extend(kw["pieces"]["network_metrics"]),
+        write(t, root, *a, pieces={"network_metrics": pieces}))[-1])
+    got = catalog.QUERIES["maintained_network"](spark, SF_SMALL)
+    full = catalog.QUERIES["network_edges"](spark, SF_SMALL)
+    assert got.columns == full.columns and _rows(got) == _rows(full)
+    assert len(pieces) == 4 * joins.MOST_SLICES and any("partials/parts" in f for f in pieces[0].inputFiles())
+    assert not list(Path(roots[0]).glob("dealt/_increment=*"))
+    sums = list(Path(roots[0]).glob("partials/parts/*/*/*.parquet"))
+    assert sums and all(".zstd." in f.name for f in sums)
